@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import price_per_sqm_expr, to_utc_wallclock
 from ..sources import adapters as A
-from . import marts, staging, star
+from ..operators import quality
+from . import marts, params, staging, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -145,3 +146,68 @@ def q_mart_district_summary(spark, d):
 @register("mart_market_trends")
 def q_mart_market_trends(spark, d):
     return marts.market_trends(staging.listings_daily(raw(spark, d), lookup(spark, d)))
+
+
+# ---- D: quality gate -------------------------------------------------------------------------
+
+def gate_input(spark, d):
+    return A.gate_batches_from_events(spark, d)
+
+
+def gate_run(spark, d, cities=None):
+    b = gate_input(spark, d)
+    if cities is not None:
+        b = b.filter(F.col("source_city").isin(list(cities)))
+    return quality.gate(b, seed=lookup(spark, d))
+
+
+RULE_COLS = ["source_city", "batch_date", "suite", "expectation", "column", "rule_kind", "mostly", "success",
+             "unexpected_count", "unexpected_percent", "element_count"]
+
+
+@register("dq_ppsm_gap")
+def q_dq_ppsm_gap(spark, d):
+    return quality.ppsm_gap(gate_input(spark, d)).select(
+        "source_city", "batch_date", "seq", "id", "price", "area_sqm", "price_per_sqm_listed", quality.GAP)
+
+
+def _rule_query(kind):
+    def fn(spark, d):
+        return gate_run(spark, d).rule_results.filter(F.col("rule_kind") == kind).select(*RULE_COLS)
+    return fn
+
+
+for _key, _kind in [("dq_not_null", "not_null"), ("dq_unique", "unique"), ("dq_between", "between"),
+                    ("dq_mostly", "mostly"), ("dq_in_set", "in_set"), ("dq_cross_field", "cross_field"),
+                    ("dq_geo_bbox", "geo"), ("dq_warning_rate", "warning")]:
+    register(_key)(_rule_query(_kind))
+
+
+@register("dq_report")
+def q_dq_report(spark, d):
+    return quality.report(gate_run(spark, d))
+
+
+@register("dq_clean_rows")
+def q_dq_clean_rows(spark, d):
+    return gate_run(spark, d).clean
+
+
+@register("dq_quarantined_rows")
+def q_dq_quarantined_rows(spark, d):
+    return gate_run(spark, d).quarantine
+
+
+@register("dq_batch_verdict")
+def q_dq_batch_verdict(spark, d):
+    return gate_run(spark, d).verdict
+
+
+@register("dq_gate")
+def q_dq_gate(spark, d):
+    return quality.run_summary(gate_run(spark, d).verdict)
+
+
+@register("filter_city_subset")
+def q_filter_city_subset(spark, d):
+    return gate_run(spark, d, cities=params.SUBSET_CITIES).verdict

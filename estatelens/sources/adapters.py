@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
 
+# run date stamped on the synthetic batches
+BATCH_DATE = "2024-01-31"
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -123,7 +126,7 @@ def gate_batches_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup_district = (nk % 4 == 0) & (eid % 2 == 0)
     return e.select(
         F.col("source_city"),
-        F.lit("2024-01-31").cast("date").alias("batch_date"),
+        F.lit(BATCH_DATE).cast("date").alias("batch_date"),
         eid.alias("seq"),
         F.when(eid % 89 == 0, -(nk + 1000)).otherwise(eid).cast("long").alias("id"),
         F.when(defect(2), F.lit(None).cast("string"))
@@ -203,7 +206,7 @@ def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(item))
     return e.select(
         F.col("source_city"),
-        F.lit("2024-01-31").cast("date").alias("batch_date"),
+        F.lit(BATCH_DATE).cast("date").alias("batch_date"),
         eid.alias("seq"),
         text.alias("item_json"),
     )
