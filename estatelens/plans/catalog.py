@@ -5,6 +5,7 @@ Every query reads the driver tables through ``sources.adapters`` and runs the li
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import price_per_sqm_expr, to_utc_wallclock
 from ..sources import adapters as A
-from ..operators import quality
-from . import marts, params, staging, star
+from ..operators import checks, quality, scd2
+from . import assertions, marts, params, reports, staging, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -211,3 +212,206 @@ def q_dq_gate(spark, d):
 @register("filter_city_subset")
 def q_filter_city_subset(spark, d):
     return gate_run(spark, d, cities=params.SUBSET_CITIES).verdict
+
+
+# ---- F: day spine, incremental load, merge ---------------------------------------------------
+
+def dim_date_for(spark, d):
+    """Spine from 2010-01-01 to one year past the newest collection day."""
+    last = staging.max_day(raw(spark, d))
+    return star.dim_date(spark, end=star.one_year_after(last))
+
+
+@register("dim_date")
+def q_dim_date(spark, d):
+    return dim_date_for(spark, d)
+
+
+def incremental_parts(spark, d):
+    r = raw(spark, d)
+    lk = lookup(spark, d)
+    target = star.fact(staging.stg_listings(r.filter(F.col("date_collected") < F.lit(params.INCREMENTAL_CUTOFF)
+                                                     .cast("timestamp_ntz")), lk))
+    s = staging.stg_listings(r, lk)
+    return target, s
+
+
+@register("fact_incremental_slice")
+def q_fact_incremental_slice(spark, d):
+    target, s = incremental_parts(spark, d)
+    return star.incremental_slice(s, target)
+
+
+@register("fact_merge")
+def q_fact_merge(spark, d):
+    target, s = incremental_parts(spark, d)
+    return star.incremental_fact(s, target)
+
+
+@register("fact_schema_sync")
+def q_fact_schema_sync(spark, d):
+    target, s = incremental_parts(spark, d)
+    old = target.drop("url").withColumn("legacy_score", F.lit(1.0))
+    return star.incremental_fact(s, old)
+
+
+# ---- H: history ------------------------------------------------------------------------------
+
+def backfill(spark, d, end):
+    daily = staging.stg_daily(raw(spark, d), lookup(spark, d))
+    return scd2.scd2_backfill(daily, end, extra=[c for c in scd2.SNAPSHOT_COLUMNS
+                                                 if c not in ("listing_id", "price", "listing_status")])
+
+
+@register("snap_status")
+def q_snap_status(spark, d):
+    return scd2.snapshot_source(stg(spark, d), params.AS_OF)
+
+
+@register("snap_scd2_history")
+def q_snap_scd2_history(spark, d):
+    return backfill(spark, d, params.AS_OF)
+
+
+@register("snap_scd2_apply")
+def q_snap_scd2_apply(spark, d):
+    prev = backfill(spark, d, params.AS_OF - dt.timedelta(days=1))
+    return scd2.scd2_apply(prev, scd2.snapshot_source(stg(spark, d), params.AS_OF), params.AS_OF)
+
+
+@register("report_listing_history")
+def q_report_listing_history(spark, d):
+    return scd2.history_of(backfill(spark, d, params.AS_OF), params.HISTORY_LISTING_ID)
+
+
+# ---- I: data checks --------------------------------------------------------------------------
+
+def star_models(spark, d):
+    s = stg(spark, d)
+    lk = lookup(spark, d)
+    return s, lk, star.fact(s), star.dim_city(s, lk)
+
+
+@register("chk_unique")
+def q_chk_unique(spark, d):
+    return checks.unique(stg(spark, d), "listing_id")
+
+
+@register("chk_not_null")
+def q_chk_not_null(spark, d):
+    s, lk, _, dc = star_models(spark, d)
+    return checks.not_null(dc, "voivodeship")
+
+
+@register("chk_relationships")
+def q_chk_relationships(spark, d):
+    return checks.relationships(stg(spark, d), "city", lookup(spark, d), "city_name").select("listing_id", "city")
+
+
+@register("chk_accepted_values")
+def q_chk_accepted_values(spark, d):
+    return checks.accepted_values(stg(spark, d), "market_type", ["primary", "secondary"])
+
+
+@register("chk_expression")
+def q_chk_expression(spark, d):
+    return checks.expression_is_true(lookup(spark, d), "bbox_lat_min < bbox_lat_max and bbox_lon_min < bbox_lon_max")
+
+
+@register("chk_unique_combo")
+def q_chk_unique_combo(spark, d):
+    s = stg(spark, d)
+    return checks.unique_combination(marts.district_summary(star.fact(s), star.dim_district(s)), ["city", "district"])
+
+
+@register("chk_fk_where")
+def q_chk_fk_where(spark, d):
+    return checks.relationships(fact(spark, d), "date_published_key", dim_date_for(spark, d), "date_key",
+                                where="date_published_key is not null").select("listing_id", "date_published_key")
+
+
+@register("chk_price_bounds")
+def q_chk_price_bounds(spark, d):
+    return assertions.price_within_bounds(stg(spark, d))
+
+
+@register("chk_area_bounds")
+def q_chk_area_bounds(spark, d):
+    return assertions.area_within_bounds(stg(spark, d))
+
+
+@register("chk_ppsm")
+def q_chk_ppsm(spark, d):
+    return assertions.price_per_sqm_consistent(stg(spark, d))
+
+
+@register("chk_geo")
+def q_chk_geo(spark, d):
+    return assertions.geo_within_city_bounds(stg(spark, d), lookup(spark, d))
+
+
+@register("chk_reconcile")
+def q_chk_reconcile(spark, d):
+    s, lk, f, dc = star_models(spark, d)
+    return assertions.mart_reconciles(marts.city_summary(f, dc), s)
+
+
+@register("chk_summary")
+def q_chk_summary(spark, d):
+    r = raw(spark, d)
+    lk = lookup(spark, d)
+    s = staging.stg_listings(r, lk)
+    return checks.run_checks(assertions.suite(spark, r, lk, s, dim_date=dim_date_for(spark, d),
+                                              daily=staging.listings_daily(r, lk)))
+
+
+# ---- J: reports ------------------------------------------------------------------------------
+
+@register("report_top_districts")
+def q_report_top_districts(spark, d):
+    s = stg(spark, d)
+    return reports.top_districts(marts.district_summary(star.fact(s), star.dim_district(s)))
+
+
+@register("report_trend_month")
+def q_report_trend_month(spark, d):
+    return reports.trend_month(q_mart_market_trends(spark, d))
+
+
+@register("report_region_rollup")
+def q_report_region_rollup(spark, d):
+    s, lk, f, dc = star_models(spark, d)
+    return reports.region_rollup(f, dc)
+
+
+@register("report_kpi")
+def q_report_kpi(spark, d):
+    return reports.kpi(marts.price_statistics(fact(spark, d)))
+
+
+@register("report_daily_volume")
+def q_report_daily_volume(spark, d):
+    return reports.daily_volume(fact(spark, d), dim_date_for(spark, d))
+
+
+@register("report_market_compare")
+def q_report_market_compare(spark, d):
+    s = stg(spark, d)
+    return reports.market_compare(star.fact(s), star.dim_market(s))
+
+
+@register("report_top_cities")
+def q_report_top_cities(spark, d):
+    s, lk, f, dc = star_models(spark, d)
+    return reports.top_cities(marts.city_summary(f, dc))
+
+
+@register("report_dual_series")
+def q_report_dual_series(spark, d):
+    return reports.dual_series(fact(spark, d))
+
+
+@register("report_map_points")
+def q_report_map_points(spark, d):
+    s, lk, f, dc = star_models(spark, d)
+    return reports.map_points(f, dc)

@@ -11,3 +11,6 @@ INCREMENTAL_CUTOFF = "2024-01-20"
 # the gate run restricted to a city subset
 SUBSET_CITIES = ("nation-0-africa", "nation-5-africa", "nation-7-asia", "nation-10-africa", "nation-14-middle-east",
                  "nation-20-africa", "nation-21-america", "nation-24-middle-east")
+
+# the listing whose version history the history report shows
+HISTORY_LISTING_ID = 8

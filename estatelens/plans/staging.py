@@ -70,3 +70,16 @@ def listings_daily(raw: DataFrame, lookup: DataFrame, tiebreak: Sequence[str] =
     base = in_bounds(base)
     out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak))
     return out.drop(*tiebreak)
+
+
+def stg_daily(raw: DataFrame, lookup: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Staging columns at daily grain: newest in-bounds scrape per (listing, UTC day). This is the
+    state a daily snapshot run sees, used by the history backfill."""
+    base = in_bounds(renamed(raw, lookup, extra=tiebreak))
+    out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak))
+    return out.drop(*tiebreak)
+
+
+def max_day(raw: DataFrame):
+    """Newest UTC collection day (a one-row aggregate returned as a scalar)."""
+    return raw.agg(F.max(utc_day("date_collected")).alias("d")).first()["d"]

@@ -36,15 +36,19 @@ def dim_market(stg: DataFrame) -> DataFrame:
     return d.select(surrogate_key(F.col("market_type")).alias("market_key"), "market_type")
 
 
+def one_year_after(day: dt.date) -> dt.date:
+    if day.month == 2 and day.day == 29:
+        return day.replace(year=day.year + 1, day=28)
+    return day.replace(year=day.year + 1)
+
+
 def dim_date(spark: SparkSession, start: dt.date = SPINE_START, end: dt.date | None = None) -> DataFrame:
     """Day spine [start, end) with calendar attributes. ``end`` defaults to as-of + 1 year.
 
     Built from ``spark.range`` so the rows are generated in parallel, not in one task.
     """
     if end is None:
-        today = dt.date.today()
-        end = today.replace(year=today.year + 1) if not (today.month == 2 and today.day == 29) \
-            else today.replace(year=today.year + 1, day=28)
+        end = one_year_after(dt.date.today())
     n = (end - start).days
     day = F.date_add(F.lit(start), F.col("id").cast("int"))
     d = spark.range(0, max(n, 0)).select(day.alias("date_day"))
