@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import price_per_sqm_expr, to_utc_wallclock
+from ..functions import (bool_label, floor, fold, leading_number, market, price_per_m, price_per_sqm_expr, rooms,
+                         to_utc_wallclock)
 from ..sources import adapters as A
-from ..operators import checks, quality, scd2
+from ..operators import checks, linkage, normalize, quality, scd2
 from . import assertions, marts, params, reports, staging, star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -415,3 +416,109 @@ def q_report_dual_series(spark, d):
 def q_report_map_points(spark, d):
     s, lk, f, dc = star_models(spark, d)
     return reports.map_points(f, dc)
+
+
+# ---- B: normalisation of nested items --------------------------------------------------------
+
+def items(spark, d):
+    return A.items_from_events(spark, d)
+
+
+def item_labels(spark, d):
+    good, _ = normalize.split_malformed(items(spark, d))
+    return normalize.params_to_columns(normalize.flatten_items(good))
+
+
+@register("norm_flatten")
+def q_norm_flatten(spark, d):
+    good, _ = normalize.split_malformed(items(spark, d))
+    return normalize.flatten_items(good).drop("params")
+
+
+@register("norm_params")
+def q_norm_params(spark, d):
+    return item_labels(spark, d).select("source_city", "seq", "id", "price", "currency", *normalize.PARAM_KEYS)
+
+
+@register("norm_area")
+def q_norm_area(spark, d):
+    return item_labels(spark, d).select("seq", "id", "m", leading_number(F.col("m")).alias("area_sqm"),
+                                        "rent", leading_number(F.col("rent")).alias("extra_rent_pln"))
+
+
+@register("norm_rooms")
+def q_norm_rooms(spark, d):
+    r = rooms(F.col("rooms"))
+    return item_labels(spark, d).select("seq", "rooms", r["num_rooms"].alias("num_rooms"),
+                                        r["rooms_capped"].alias("rooms_capped"))
+
+
+@register("norm_floor")
+def q_norm_floor(spark, d):
+    f = floor(F.col("floor_select"))
+    return item_labels(spark, d).select("seq", "floor_select", f["floor"].alias("floor"),
+                                        f["floor_capped"].alias("floor_capped"))
+
+
+@register("norm_bool")
+def q_norm_bool(spark, d):
+    return item_labels(spark, d).select("seq", "furniture", bool_label(F.col("furniture")).alias("is_furnished"))
+
+
+@register("norm_market")
+def q_norm_market(spark, d):
+    return item_labels(spark, d).select("seq", "market", market(F.col("market")).alias("market_type"))
+
+
+@register("norm_ppsm")
+def q_norm_ppsm(spark, d):
+    return item_labels(spark, d).select("seq", "price_per_m",
+                                        price_per_m(F.col("price_per_m")).alias("price_per_sqm_listed"))
+
+
+@register("norm_malformed_count")
+def q_norm_malformed_count(spark, d):
+    return normalize.malformed_counts(items(spark, d), ["source_city", "batch_date"])
+
+
+@register("dedup_last_wins")
+def q_dedup_last_wins(spark, d):
+    return normalize.normalize(items(spark, d), params.COLLECTED_AT)
+
+
+# ---- C: location linkage ---------------------------------------------------------------------
+
+def capture_entries(spark, d):
+    return linkage.parse_capture_docs(A.captures_from_suppliers(spark, d))
+
+
+@register("text_fold")
+def q_text_fold(spark, d):
+    e = capture_entries(spark, d)
+    return e.select("doc_id", "pos", "city_name", fold(F.col("city_name")).alias("city_norm"),
+                    "region_name", fold(F.col("region_name")).alias("region_norm"))
+
+
+@register("link_candidates")
+def q_link_candidates(spark, d):
+    return linkage.candidates(capture_entries(spark, d))
+
+
+def link_matches(spark, d):
+    return linkage.link(lookup(spark, d), linkage.candidates(capture_entries(spark, d)))
+
+
+@register("link_match")
+def q_link_match(spark, d):
+    return link_matches(spark, d)
+
+
+@register("link_report")
+def q_link_report(spark, d):
+    return linkage.link_report(link_matches(spark, d))
+
+
+@register("link_unmapped")
+def q_link_unmapped(spark, d):
+    targets = A.scrape_targets(spark, d)
+    return linkage.coverage(targets, linkage.location_ids(link_matches(spark, d)))

@@ -14,3 +14,6 @@ SUBSET_CITIES = ("nation-0-africa", "nation-5-africa", "nation-7-asia", "nation-
 
 # the listing whose version history the history report shows
 HISTORY_LISTING_ID = 8
+
+# collection time stamped on normalised items (UTC wall clock)
+COLLECTED_AT = "2024-01-31 03:00:00"

@@ -42,6 +42,11 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
                     slug(F.col("n_name"), F.col("r_name")).alias("source_city")))
 
 
+def scrape_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scrape-target slug (one per nation), mapped in the seed or not."""
+    return _geo(spark, sf_dir).select("source_city")
+
+
 def lookup_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City seed: one row per nation except every sixth (5, 11, 17, 23 stay unmapped)."""
     g = _geo(spark, sf_dir).filter(F.col("n_nationkey") % 6 != 5)
@@ -190,7 +195,7 @@ def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         generic("m", F.concat(half, F.lit(" m²"))),
     )
     item = F.struct(
-        eid.alias("id"),
+        F.when(eid % 89 == 0, -(F.col("n_nationkey") + 1000)).otherwise(eid).cast("long").alias("id"),
         F.concat(F.lit("https://listings.example/ad/"), eid.cast("string")).alias("url"),
         F.concat(et, F.lit(" flat")).alias("title"),
         F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")).alias("created_time"),
@@ -213,35 +218,40 @@ def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def captures_from_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location-search capture documents (JSON text), four entries at most per document.
+    """Location-search capture documents (doc_id, doc JSON text).
 
-    Entry per supplier: city id ``nationkey*10 + suppkey % 3`` (so (city, region) ids repeat across
-    documents), city name spelt three ways that fold to 'miasto <nationkey>', region id/name of
-    the supplier's nation, moved to the next region for every 7th supplier. Documents cycle over the
-    three accepted shapes: a bare list, ``{"data": [...]}``, and (for single-entry groups) one object.
+    One entry per supplier: city id ``nationkey*10 + suppkey % 3`` (so (city, region) pairs repeat),
+    a city name spelt three ways that all fold to 'miasto <nationkey>', the region of the supplier's
+    nation (the next region for every 7th supplier; no region id for every 11th). Every 5th supplier
+    is captured alone as a single-object document; the rest are grouped four per document, as a bare
+    list or wrapped in {"data": [...]} by turns, and every 13th group is unreadable text.
     """
     supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    sk = F.col("s_suppkey")
     s = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-    rk = F.when(F.col("s_suppkey") % 7 == 0, (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
+    rk = F.when(sk % 7 == 0, (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
     s = s.withColumn("rk", rk).join(F.broadcast(region), F.col("rk") == F.col("r_regionkey"))
     nk = F.col("s_nationkey").cast("string")
-    name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("Miasto "), nk)) \
-        .when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("MIASTÓ "), nk)) \
+    name = F.when(sk % 3 == 0, F.concat(F.lit("Miasto "), nk)) \
+        .when(sk % 3 == 1, F.concat(F.lit("MIASTÓ "), nk)) \
         .otherwise(F.concat(F.lit(" miaśto "), nk))
     entry = F.struct(
-        F.struct((F.col("s_nationkey") * 10 + F.col("s_suppkey") % 3).cast("long").alias("id"), name.alias("name")).alias("city"),
-        F.struct(F.col("rk").cast("long").alias("id"), F.col("r_name").alias("name")).alias("region"),
+        F.struct((F.col("s_nationkey") * 10 + sk % 3).cast("long").alias("id"), name.alias("name")).alias("city"),
+        F.struct(F.when(sk % 11 == 0, F.lit(None)).otherwise(F.col("rk")).cast("long").alias("id"),
+                 F.col("r_name").alias("name")).alias("region"),
     )
-    doc_id = (F.col("s_suppkey") / 4).cast("long")
-    grouped = (s.select(doc_id.alias("doc_id"), F.col("s_suppkey"), entry.alias("entry"))
+    grp = F.expr("s_suppkey div 4")
+    doc_id = F.when(sk % 5 == 0, sk * 10 + 1).otherwise(grp * 10).cast("long")
+    grouped = (s.select(doc_id.alias("doc_id"), sk, entry.alias("entry"))
                .groupBy("doc_id")
                .agg(F.sort_array(F.collect_list(F.struct("s_suppkey", "entry"))).alias("es")))
     entries = F.transform(F.col("es"), lambda x: x["entry"])
-    shape = F.col("doc_id") % 3
-    text = F.when((shape == 2) & (F.size("es") == 1), F.to_json(F.element_at(entries, 1))) \
-        .when(shape == 1, F.to_json(F.struct(entries.alias("data")))) \
+    g = F.col("doc_id") / 10
+    text = F.when(F.col("doc_id") % 10 == 1, F.to_json(F.element_at(entries, 1))) \
+        .when(g.cast("long") % 13 == 7, F.lit("not json {")) \
+        .when(g.cast("long") % 2 == 1, F.to_json(F.struct(entries.alias("data")))) \
         .otherwise(F.to_json(entries))
     return grouped.select(F.col("doc_id"), text.alias("doc"))
 
