@@ -51,13 +51,17 @@ def date_key(c) -> Column:
 
 
 def to_utc_wallclock(c) -> Column:
-    """Parse ISO text with an optional offset into a UTC timestamp_ntz; junk gives null.
+    """Parse ISO text with an optional offset into a UTC timestamp_ntz (no offset = UTC); junk gives null.
 
     The instant is read with try_cast (tolerant), then its session-zone wall clock is moved to UTC, so
     the result does not depend on the session time zone.
     """
-    ts = as_col(c).try_cast("timestamp")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    c = as_col(c)
+    has_offset = c.rlike(r"(?i)(z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    instant = c.try_cast("timestamp")
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    # text without an offset is already a UTC wall clock
+    return F.when(has_offset, moved).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def price_per_sqm_expr(price="price", area="area_sqm") -> Column:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import (bool_label, floor, fold, leading_number, market, price_per_m, price_per_sqm_expr, rooms,
                          to_utc_wallclock)
+from ..session import scratch_path
 from ..sources import adapters as A
+from ..sources import batches
 from ..operators import checks, linkage, normalize, quality, scd2
 from . import assertions, marts, params, reports, staging, star
 
@@ -48,11 +50,6 @@ def fact(spark, d):
 
 # ---- A: sources ------------------------------------------------------------------------------
 
-@register("src_city_lookup")
-def q_src_city_lookup(spark, d):
-    return lookup(spark, d)
-
-
 @register("stg_renamed")
 def q_stg_renamed(spark, d):
     return staging.renamed(raw(spark, d), lookup(spark, d))
@@ -522,3 +519,41 @@ def q_link_report(spark, d):
 def q_link_unmapped(spark, d):
     targets = A.scrape_targets(spark, d)
     return linkage.coverage(targets, linkage.location_ids(link_matches(spark, d)))
+
+
+# ---- A: sources and sinks (round trips through the shared scratch folder) --------------------
+
+def landing_rows(spark, d):
+    """Normalised batches as the scraper lands them (the 22 raw columns + batch_date)."""
+    return normalize.normalize(items(spark, d), params.COLLECTED_AT).drop("seq")
+
+
+@register("sink_landing_roundtrip")
+def q_sink_landing_roundtrip(spark, d):
+    root = scratch_path(spark, "landing")
+    rows = landing_rows(spark, d)
+    batches.write_landing(rows, root)
+    return batches.read_batches(spark, root)
+
+
+@register("src_batch_rows")
+def q_src_batch_rows(spark, d):
+    root = scratch_path(spark, "arrays")
+    batches.write_array_files(landing_rows(spark, d), root)
+    return batches.read_batches(spark, root, layout="arrays")
+
+
+@register("sink_raw_append")
+def q_sink_raw_append(spark, d):
+    path = scratch_path(spark, "raw")
+    rows = landing_rows(spark, d)
+    batches.append_raw(rows, path)
+    batches.append_raw(rows, path)  # a rerun of the same delivery: append keeps both copies
+    return batches.read_raw(spark, path)
+
+
+@register("src_city_lookup")
+def q_src_city_lookup(spark, d):
+    path = scratch_path(spark, "seed")
+    batches.write_seed(lookup(spark, d), path)
+    return batches.read_seed(spark, path)

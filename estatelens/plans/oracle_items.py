@@ -131,3 +131,20 @@ def build() -> dict[str, str]:
         CASE WHEN m.source_city IS NULL THEN 'free_text' ELSE 'location_id' END AS search_mode
         FROM geo g LEFT JOIN (SELECT source_city FROM matches WHERE status <> 'MISS') m ON g.source_city = m.source_city""")
     return q
+
+
+def build_sources() -> dict[str, str]:
+    base = [GEO, EV, IT]
+    cols = ", ".join("TIMESTAMP '" + params.COLLECTED_AT + "' AS date_collected" if c == "date_collected" else c
+                     for c in RAW_COLS)
+    landed = with_ctes(base, f"SELECT {cols}, batch_date FROM it WHERE NOT malformed "
+                             "QUALIFY row_number() OVER (PARTITION BY source_city, batch_date, id ORDER BY seq DESC) = 1")
+    twice = with_ctes(base + [f"""landed AS (SELECT {cols} FROM it WHERE NOT malformed
+        QUALIFY row_number() OVER (PARTITION BY source_city, batch_date, id ORDER BY seq DESC) = 1)"""],
+                      "SELECT * FROM landed UNION ALL SELECT * FROM landed")
+    return {
+        "sink_landing_roundtrip": landed,
+        "src_batch_rows": landed,
+        "sink_raw_append": twice,
+        "src_city_lookup": with_ctes([GEO, LOOKUP], "SELECT * FROM lookup"),
+    }
