@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio
+from ..session import checkpoint_root
 
 # The gate's thresholds.
 PRICE_MIN, PRICE_MAX = 1, 20_000_000
@@ -141,6 +142,17 @@ class GateResult:
     quarantine: DataFrame    # quarantined rows of passing batches (original columns)
 
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on batch keys treating null = null (a batch may have no city); still an equi-join."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def with_bounds(df: DataFrame, seed: DataFrame | None, city_col: str = "source_city") -> DataFrame:
     """Attach the batch city's bounding box (a seed row per city; broadcast: one row per target).
     Seeds without the bbox columns, or cities without a full box, leave the bounds null (rule skipped)."""
@@ -159,7 +171,8 @@ def with_bounds(df: DataFrame, seed: DataFrame | None, city_col: str = "source_c
 
 def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str] = BATCH_KEYS,
          rules: Sequence[Rule] | None = None, warnings: Sequence[Rule] | None = None,
-         max_quarantine: float = QUARANTINE_MAX_FRACTION, city_col: str = "source_city") -> GateResult:
+         max_quarantine: float = QUARANTINE_MAX_FRACTION, city_col: str = "source_city",
+         materialize: bool = True) -> GateResult:
     keys = list(batch_keys)
     original = df.columns
     has_geo = {"latitude", "longitude"}.issubset(df.columns)
@@ -175,7 +188,7 @@ def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str]
     for col in {r.column for r in all_rules if r.expectation == UNIQUE}:
         dups = (x.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select(*keys, col, F.lit(True).alias(f"_dup_{col}")))
-        x = x.join(dups, [*keys, col], "left").withColumn(f"_dup_{col}", F.coalesce(F.col(f"_dup_{col}"), F.lit(False)))
+        x = _join(x, dups, [*keys, col], "left").withColumn(f"_dup_{col}", F.coalesce(F.col(f"_dup_{col}"), F.lit(False)))
 
     bad_m, cnt_m, app_m = F.lit(0), F.lit(0), F.lit(0)
     for i, r in enumerate(all_rules):
@@ -187,6 +200,11 @@ def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str]
     flags = x.withColumn("_bad", bad_m).withColumn("_cnt", cnt_m).withColumn("_app", app_m)
 
     stats = flags.groupBy(*keys, "_bad", "_cnt", "_app").agg(F.count(F.lit(1)).alias("_n"))
+    if materialize:
+        # the per-batch mask counts are tiny; writing them once (reliable checkpoint in the shared
+        # folder) lets every verdict / report / split below reuse them instead of rescanning the input
+        checkpoint_root(df.sparkSession)
+        stats = stats.checkpoint(eager=True)
 
     # per (batch, rule) counts, on the small stats table
     spec = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(r.expectation).alias("expectation"),
@@ -219,10 +237,10 @@ def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str]
                             F.array_sort(F.collect_list(F.concat(F.col("expectation"), F.lit("("), F.col("column"), F.lit(")"))))
                             .alias("failed_rules"))
     batch_rows = stats.groupBy(*keys).agg(F.sum("_n").alias("rows"))
-    sv = stats.join(failed, keys, "left").withColumn("_failed_mask", F.coalesce("_failed_mask", F.lit(0)))
+    sv = _join(stats, failed, keys, "left").withColumn("_failed_mask", F.coalesce("_failed_mask", F.lit(0)))
     qcount = sv.groupBy(*keys).agg(
         F.sum(F.when((F.col("_bad").bitwiseAND(F.col("_failed_mask"))) != 0, F.col("_n")).otherwise(0)).alias("quarantined"))
-    verdict = (batch_rows.join(qcount, keys).join(failed, keys, "left")
+    verdict = (_join(_join(batch_rows, qcount, keys), failed, keys, "left")
                .select(*keys, F.col("rows").cast("long").alias("rows"),
                        F.col("quarantined").cast("long").alias("quarantined_rows"),
                        (F.col("quarantined").cast("double") / F.col("rows").cast("double")).alias("quarantine_fraction"),
@@ -232,7 +250,7 @@ def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str]
 
     # one row per batch: AQE broadcasts it at run time when small (it is: cities x days)
     v = verdict.select(*keys, "_failed_mask", "systemic_failure")
-    joined = flags.join(v, keys, "inner")
+    joined = _join(flags, v, keys, "inner")
     row_bad = (F.col("_bad").bitwiseAND(F.col("_failed_mask"))) != 0
     quarantine = joined.filter(~F.col("systemic_failure") & row_bad).select(*original)
     clean = joined.filter(~F.col("systemic_failure") & ~row_bad).select(*original)
@@ -267,7 +285,7 @@ def report(res: GateResult, df_rules: Sequence[Rule] | None = None, seq: str = "
     samples = top.groupBy(*keys, "rule_idx").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "v"))), lambda s: s["v"]), ", ")
         .alias("sample_values"))
-    return rules_df.join(samples, [*keys, "rule_idx"], "left").select(
+    return _join(rules_df, samples, [*keys, "rule_idx"], "left").select(
         *keys, "suite", "expectation", "column", "rule_kind", "success", "unexpected_count",
         "unexpected_percent", "element_count", F.coalesce("sample_values", F.lit("")).alias("sample_values"))
 

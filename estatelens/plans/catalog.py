@@ -557,3 +557,29 @@ def q_src_city_lookup(spark, d):
     path = scratch_path(spark, "seed")
     batches.write_seed(lookup(spark, d), path)
     return batches.read_seed(spark, path)
+
+
+# ---- K: the daily job, and the streaming incremental load --------------------------------------
+
+@register("pipeline_daily")
+def q_pipeline_daily(spark, d):
+    """One daily run over the gate batches (all cities); returns the fact table it produced."""
+    from ..sources.tables import TableStore
+    from . import pipeline
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    pipeline.run_daily(spark, gate_input(spark, d), params.AS_OF, store, lookup(spark, d),
+                       collected_at=params.COLLECTED_AT)
+    return store.read("fact_apartments")
+
+
+@register("fact_stream_incremental")
+def q_fact_stream_incremental(spark, d):
+    """The raw table drained through the streaming merge in several micro-batches; must equal the
+    full rebuild of the fact."""
+    from ..sources.tables import TableStore
+    from ..streaming import incremental
+    raw_path = scratch_path(spark, "raw-stream")
+    batches.append_raw(raw(spark, d), raw_path)
+    store = TableStore(spark, scratch_path(spark, "stream-store"))
+    return incremental.run_incremental(spark, raw_path, store, lookup(spark, d),
+                                       checkpoint=scratch_path(spark, "stream-ckpt"), max_files_per_trigger=150)
