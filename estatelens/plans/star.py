@@ -99,16 +99,27 @@ def watermark(target: DataFrame) -> int:
     return int(row["wm"])
 
 
-def incremental_slice(stg: DataFrame, target: DataFrame | None, wm: int | None = None) -> DataFrame:
-    """Staging rows collected on or after the target's newest day (same-day reruns re-merge)."""
+def incremental_slice(stg: DataFrame, target: DataFrame | None, wm: int | None = None,
+                      lookback_days: int = 0) -> DataFrame:
+    """Staging rows collected on or after the target's newest day (same-day reruns re-merge).
+
+    Default (``lookback_days=0``): a batch dated before that day is never merged (late data is lost,
+    as in the source pipeline). ``lookback_days=n`` re-reads n more days before the watermark.
+    """
     if target is None and wm is None:
         return stg
     wm = watermark(target) if wm is None else wm
+    if lookback_days and wm > 0:
+        start = dt.date(wm // 10000, wm // 100 % 100, wm % 100) - dt.timedelta(days=lookback_days)
+        wm = start.year * 10000 + start.month * 100 + start.day
+    # the watermark is a literal, so the filter is pushed to the scan (and prunes day partitions when
+    # staging reads a raw table partitioned by day)
     return stg.filter(date_key(F.col("date_collected")) >= F.lit(wm))
 
 
-def incremental_fact(stg: DataFrame, target: DataFrame | None, full_refresh: bool = False) -> DataFrame:
+def incremental_fact(stg: DataFrame, target: DataFrame | None, full_refresh: bool = False,
+                     lookback_days: int = 0) -> DataFrame:
     """New fact version: full build on first run / refresh, else merge of the incremental slice."""
     if target is None or full_refresh:
         return fact(stg)
-    return merge_by_key(target, fact(incremental_slice(stg, target)), ["listing_key"])
+    return merge_by_key(target, fact(incremental_slice(stg, target, lookback_days=lookback_days)), ["listing_key"])
