@@ -30,6 +30,11 @@ def read_capture_docs(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.dense_rank().over(w).cast("long").alias("doc_id"), "doc")
 
 
+def read_captures(spark: SparkSession, path: str) -> DataFrame:
+    """Capture files -> entries (doc_id, pos, city/region ids and names); unreadable files skipped."""
+    return parse_capture_docs(read_capture_docs(spark, path))
+
+
 def parse_capture_docs(docs: DataFrame) -> DataFrame:
     """docs (doc_id, doc) -> entries (doc_id, pos, city_id, city_name, region_id, region_name)."""
     lst = F.from_json(F.col("doc"), T.ArrayType(CAPTURE_ENTRY))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (bool_label, floor, fold, leading_number, market, price_per_m, price_per_sqm_expr, rooms,
                          to_utc_wallclock)
-from ..session import scratch_path
+from ..session import materialized, scratch_path
 from ..sources import adapters as A
 from ..sources import batches
 from ..operators import checks, linkage, normalize, quality, scd2
@@ -358,7 +358,8 @@ def q_chk_reconcile(spark, d):
 def q_chk_summary(spark, d):
     r = raw(spark, d)
     lk = lookup(spark, d)
-    s = staging.stg_listings(r, lk)
+    # staging feeds ~30 of the checks: computed once, read many times
+    s = materialized(staging.stg_listings(r, lk))
     return checks.run_checks(assertions.suite(spark, r, lk, s, dim_date=dim_date_for(spark, d),
                                               daily=staging.listings_daily(r, lk)))
 

@@ -55,7 +55,9 @@ def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store:
     B.append_raw(gate.clean, raw_path, mode=raw_mode)
     raw = B.read_raw(spark, raw_path)
 
-    stg = store.view("stg_listings", staging.stg_listings(raw, seed))
+    # staging is a view in the model, but every later table reads it: materialise it once per run
+    store.write("stg_listings", staging.stg_listings(raw, seed))
+    stg = store.read("stg_listings")
     daily = staging.listings_daily(raw, seed)
     store.write("dim_city", star.dim_city(stg, seed))
     store.write("dim_district", star.dim_district(stg))

@@ -53,3 +53,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/estatelens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialized(df):
+    """Reliable checkpoint into the shared checkpoint folder: cuts the lineage so a frame used by many
+    downstream jobs is computed once, and a lost executor never recomputes past it."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -99,6 +99,18 @@ def to_raw_rows(df: DataFrame, source_city: str | None = None) -> DataFrame:
     return df.select(*out)
 
 
+def ensure_raw(spark: SparkSession, path: str) -> None:
+    """Create the (empty) raw table with its day/city partitioning on first use; never touch an
+    existing one, so later appends cannot disagree with the partition spec."""
+    try:
+        spark.read.parquet(path).limit(0).collect()
+        return
+    except AnalysisException:
+        pass
+    empty = spark.createDataFrame([], RAW_SCHEMA).withColumn("collected_date", F.lit(None).cast("date"))
+    empty.write.mode("ignore").partitionBy("collected_date", "source_city").parquet(path)
+
+
 def append_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append to the raw table, partitioned by collection day and city, rows sorted by city.
 
