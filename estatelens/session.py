@@ -60,3 +60,16 @@ def materialized(df):
     downstream jobs is computed once, and a lost executor never recomputes past it."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Fan a scan with fewer partitions than task slots out to all slots (round robin).
+
+    Small inputs stored as one file with one row group are read by a single task, which then also
+    runs every per-row step before the first shuffle (JSON parsing, label decoding). On real data the
+    scan already has more splits than slots and this is a no-op.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -19,13 +19,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
+from ..session import spread
 
 # run date stamped on the synthetic batches
 BATCH_DATE = "2024-01-31"
 
 
+# tables that grow with the data (the rest are small dimensions)
+FACT_TABLES = {"events", "lineitem", "orders"}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def slug(n_name: Column, r_name: Column) -> Column:
