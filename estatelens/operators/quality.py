@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio
-from ..session import checkpoint_root
+from ..session import checkpoint_root, small
 
 # The gate's thresholds.
 PRICE_MIN, PRICE_MAX = 1, 20_000_000
@@ -166,7 +166,7 @@ def with_bounds(df: DataFrame, seed: DataFrame | None, city_col: str = "source_c
     for c in cols:
         full = full & F.col(c).isNotNull()
     s = seed.filter(full).select(F.col("source_city").alias("_seed_city"), *cols)
-    return df.join(F.broadcast(s), df[city_col] == F.col("_seed_city"), "left").drop("_seed_city")
+    return df.join(small(s), df[city_col] == F.col("_seed_city"), "left").drop("_seed_city")
 
 
 def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str] = BATCH_KEYS,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import price_per_sqm_expr, safe_ratio
 from ..operators import checks as C
+from ..session import small
 from . import marts, star
 
 PRICE_MAX = 20_000_000
@@ -35,7 +36,7 @@ def price_per_sqm_consistent(stg: DataFrame) -> DataFrame:
 def geo_within_city_bounds(stg: DataFrame, lookup: DataFrame) -> DataFrame:
     """Listings whose coordinates fall outside their city's box: equi join on the city (seed rows are
     one per target city, broadcast) plus a range predicate; null coordinates are not judged."""
-    box = F.broadcast(lookup.select(F.col("city_name"), "bbox_lat_min", "bbox_lat_max", "bbox_lon_min", "bbox_lon_max"))
+    box = small(lookup.select(F.col("city_name"), "bbox_lat_min", "bbox_lat_max", "bbox_lon_min", "bbox_lon_max"))
     j = stg.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()) \
         .join(box, F.col("city") == F.col("city_name"), "inner")
     lat, lon = F.col("latitude"), F.col("longitude")

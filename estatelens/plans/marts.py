@@ -40,10 +40,10 @@ def with_generated_at(df: DataFrame) -> DataFrame:
 def city_summary(fact: DataFrame, dim_city: DataFrame) -> DataFrame:
     """Per city: listings, avg price, median area, avg rooms, avg price per m².
 
-    dim_city has one row per scrape-target city (bounded by the seed plus unmapped targets), so it is
-    broadcast; the aggregate is partial per task before the shuffle on city.
+    dim_city is one row per city: AQE broadcasts it from its measured size (a shuffle join beyond the
+    threshold); the aggregate is partial per task before the shuffle on city.
     """
-    j = fact.join(F.broadcast(dim_city.select("city_key", "city")), "city_key", "inner") \
+    j = fact.join(dim_city.select("city_key", "city"), "city_key", "inner") \
         .select("city", "price", "area_sqm", "num_rooms", "price_per_sqm_calculated")
     j = materialized(j)  # read by the aggregate and the three median passes
     agg = j.groupBy("city").agg(

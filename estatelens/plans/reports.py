@@ -22,8 +22,8 @@ def trend_month(trends: DataFrame) -> DataFrame:
 
 
 def region_rollup(fact: DataFrame, dim_city: DataFrame) -> DataFrame:
-    """Avg price per m² by voivodeship (dim_city is one row per city: broadcast)."""
-    j = fact.join(F.broadcast(dim_city.select("city_key", "voivodeship")), "city_key")
+    """Avg price per m² by voivodeship (dim_city is one row per city; AQE broadcasts it when small)."""
+    j = fact.join(dim_city.select("city_key", "voivodeship"), "city_key")
     return (j.groupBy("voivodeship").agg(F.count(F.lit(1)).alias("num_listings"),
                                           round2(F.avg("price_per_sqm_calculated")).alias("avg_price_per_sqm"))
             .orderBy(F.col("avg_price_per_sqm").desc()))
@@ -43,7 +43,7 @@ def daily_volume(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def market_compare(fact: DataFrame, dim_market: DataFrame) -> DataFrame:
     """Primary vs secondary (vs Unknown) market: count, avg price, avg price per m²."""
-    j = fact.join(F.broadcast(dim_market), "market_key")
+    j = fact.join(dim_market, "market_key")
     return j.groupBy("market_type").agg(F.count(F.lit(1)).alias("num_listings"),
                                         round2(F.avg("price")).alias("avg_price"),
                                         round2(F.avg("price_per_sqm_calculated")).alias("avg_price_per_sqm"))
@@ -62,5 +62,5 @@ def dual_series(fact: DataFrame) -> DataFrame:
 def map_points(fact: DataFrame, dim_city: DataFrame) -> DataFrame:
     """Listing coordinates for the map visual (rows with both coordinates)."""
     j = fact.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()) \
-        .join(F.broadcast(dim_city.select("city_key", "city")), "city_key")
+        .join(dim_city.select("city_key", "city"), "city_key")
     return j.select("listing_id", "city", "latitude", "longitude", "price")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import initcap_words, price_per_sqm_expr, surrogate_key, to_utc_wallclock, utc_day
 from ..operators.dedup import latest_per_key
+from ..session import small
 
 PRICE_MIN, PRICE_MAX = 1, 20_000_000
 AREA_MIN, AREA_MAX = 10, 500
@@ -20,7 +21,7 @@ AREA_MIN, AREA_MAX = 10, 500
 
 def standardize_city(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Add ``city``: seed display name, else the slug capitalised word by word."""
-    seed = F.broadcast(lookup.select("source_city", F.col("city_name").alias("_city_name")))
+    seed = small(lookup.select("source_city", F.col("city_name").alias("_city_name")))
     return (raw.join(seed, "source_city", "left")
             .withColumn("city", F.coalesce(F.col("_city_name"), initcap_words(F.col("source_city"))))
             .drop("_city_name"))
@@ -29,7 +30,7 @@ def standardize_city(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 def renamed(raw: DataFrame, lookup: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Raw scan projected to the staging columns (keys, parsed publish time, standard city)."""
     j = (raw.select(*[c for c in raw.columns if c != "city"])
-         .join(F.broadcast(lookup.select("source_city", F.col("city_name").alias("_city_name"))),
+         .join(small(lookup.select("source_city", F.col("city_name").alias("_city_name"))),
                "source_city", "left"))
     return j.select(
         surrogate_key(F.col("id")).alias("listing_key"),

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions import date_key, or_unknown, price_per_sqm_expr, surrogate_key
 from ..operators.merge import merge_by_key
+from ..session import small
 
 SPINE_START = dt.date(2010, 1, 1)
 
 
 def dim_city(stg: DataFrame, lookup: DataFrame) -> DataFrame:
     cities = stg.select("city").distinct()
-    seed = F.broadcast(lookup.select(F.col("city_name").alias("city"), "voivodeship", "is_mvp"))
+    seed = small(lookup.select(F.col("city_name").alias("city"), "voivodeship", "is_mvp"))
     return cities.join(seed, "city", "left").select(
         surrogate_key(F.col("city")).alias("city_key"), "city", "voivodeship",
         F.coalesce(F.col("is_mvp"), F.lit(False)).alias("is_mvp"))

@@ -73,3 +73,17 @@ def spread(df):
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
+
+
+# broadcast only what is proven small: at most this many rows (checked, not assumed)
+BROADCAST_MAX_ROWS = 200_000
+
+
+def small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``df`` when it has at most ``max_rows`` rows, checked with a bounded count
+    (``limit(max_rows + 1)`` stops early); otherwise return it unchanged, so the planner and AQE pick
+    the join from measured sizes (a shuffle join beyond the bound)."""
+    from pyspark.sql import functions as F
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -9,8 +9,9 @@ Every registered query starts here, so its work grows with the given tables.
 * ``captures_from_suppliers`` -- location-search capture documents for the linkage job
 * ``raw_from_lineitem`` -- a large raw table for benchmarking (seven years of history)
 
-nation / region are fixed 25 / 5 row dimensions, so they are broadcast; customer and supplier grow
-with the data and are joined by a regular (AQE-planned) join.
+nation / region are fixed 25 / 5 row dimensions (by the TPC-H definition), so they are broadcast
+unconditionally; customer and supplier grow with the data and are joined by a regular join that AQE
+plans from measured sizes.
 """
 
 from __future__ import annotations

@@ -118,7 +118,8 @@ def append_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     ``mode="replace"`` makes reruns idempotent: each delivered (day, city) partition is replaced.
     """
     rows = to_raw_rows(df).withColumn("collected_date", utc_day("date_collected"))
-    rows = rows.repartition("collected_date", "source_city").sortWithinPartitions("source_city", "id")
+    # rebalance (not repartition): AQE splits a hot city-day into several tasks instead of one
+    rows = rows.hint("rebalance", "collected_date", "source_city").sortWithinPartitions("source_city", "id")
     w = rows.write.partitionBy("collected_date", "source_city")
     if mode == "replace":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
