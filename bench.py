@@ -14,29 +14,20 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from estatelens.plans import catalog, marts, staging, star  # noqa: E402
+from estatelens.plans import catalog, marts, star  # noqa: E402
 from estatelens.session import build_session  # noqa: E402
-from estatelens.sources import adapters as A  # noqa: E402
 
-TIEBREAK = ["l_linenumber", "l_partkey", "l_suppkey"]
-
-
-def li_raw(spark, d):
-    return A.raw_from_lineitem(spark, d)
-
-
-def li_stg(spark, d):
-    return staging.stg_listings(li_raw(spark, d), A.lookup_from_nations(spark, d), tiebreak=TIEBREAK)
+def li_district_summary(s, d):
+    stg = catalog.li_stg(s, d)
+    return marts.district_summary(star.fact(stg), star.dim_district(stg))
 
 
 BENCH = {
-    "li_stg_listings": lambda s, d: li_stg(s, d),
-    "li_market_trends": lambda s, d: marts.market_trends(
-        staging.listings_daily(li_raw(s, d), A.lookup_from_nations(s, d), tiebreak=TIEBREAK)),
-    "li_city_summary": lambda s, d: marts.city_summary(
-        star.fact(li_stg(s, d)), star.dim_city(li_stg(s, d), A.lookup_from_nations(s, d))),
-    "li_price_statistics": lambda s, d: marts.price_statistics(star.fact(li_stg(s, d))),
-    "li_district_summary": lambda s, d: marts.district_summary(star.fact(li_stg(s, d)), star.dim_district(li_stg(s, d))),
+    "li_stg_listings": catalog.REGISTRY["li_stg_listings"],
+    "li_market_trends": catalog.REGISTRY["li_market_trends"],
+    "li_city_summary": catalog.REGISTRY["li_city_summary"],
+    "li_price_statistics": catalog.REGISTRY["li_price_statistics"],
+    "li_district_summary": li_district_summary,
     "mart_market_trends": catalog.REGISTRY["mart_market_trends"],
     "dq_batch_verdict": catalog.REGISTRY["dq_batch_verdict"],
     "dq_report": catalog.REGISTRY["dq_report"],

@@ -584,3 +584,37 @@ def q_fact_stream_incremental(spark, d):
     store = TableStore(spark, scratch_path(spark, "stream-store"))
     return incremental.run_incremental(spark, raw_path, store, lookup(spark, d),
                                        checkpoint=scratch_path(spark, "stream-ckpt"), max_files_per_trigger=150)
+
+
+# ---- lineitem adapter: the bench workloads (seven years of scrapes, ties broken by line keys) -----
+
+LI_TIEBREAK = ["l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def li_raw(spark, d):
+    return A.raw_from_lineitem(spark, d)
+
+
+def li_stg(spark, d):
+    return staging.stg_listings(li_raw(spark, d), lookup(spark, d), tiebreak=LI_TIEBREAK)
+
+
+@register("li_stg_listings")
+def q_li_stg_listings(spark, d):
+    return li_stg(spark, d)
+
+
+@register("li_market_trends")
+def q_li_market_trends(spark, d):
+    return marts.market_trends(staging.listings_daily(li_raw(spark, d), lookup(spark, d), tiebreak=LI_TIEBREAK))
+
+
+@register("li_city_summary")
+def q_li_city_summary(spark, d):
+    s = li_stg(spark, d)
+    return marts.city_summary(star.fact(s), star.dim_city(s, lookup(spark, d)))
+
+
+@register("li_price_statistics")
+def q_li_price_statistics(spark, d):
+    return marts.price_statistics(star.fact(li_stg(spark, d)))
