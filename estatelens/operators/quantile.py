@@ -51,8 +51,16 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
         target = per_b.filter((F.col("_cumb") >= F.col("_tot") * p)
                               & ((F.col("_cumb") - F.col("_nb")) < F.col("_tot") * p)) \
             .select(*keys, "_b", (F.col("_cumb") - F.col("_nb")).alias("_off"), "_tot")
-        rows = vb.join(target, [*keys, "_b"], "inner")
-        comp = rows.groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        if keys:
+            rows = vb.join(target, [*keys, "_b"], "inner")
+            comp = rows.groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        else:
+            # one global target bucket: its id, rank offset and total are three scalars
+            t = target.first()
+            if t is None:
+                return v.limit(0).select(F.col("_v").alias(alias))
+            comp = (vb.filter(F.col("_b") == F.lit(int(t["_b"]))).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+                    .withColumn("_off", F.lit(int(t["_off"]))).withColumn("_tot", F.lit(int(t["_tot"]))))
     else:
         comp = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
         comp = comp.withColumn("_off", F.lit(0).cast("long")).withColumn(

@@ -18,16 +18,21 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: dict[str, str] = {}  # pointers this process wrote or already read
 
     def _pointer(self, name: str) -> str:
         return f"{self.root}/{name}/_current"
 
     def current_path(self, name: str) -> str | None:
+        if name in self._known:
+            return self._known[name]
         try:
             row = self.spark.read.text(self._pointer(name)).first()
         except AnalysisException:
             return None
-        return row["value"].strip() if row else None
+        if row:
+            self._known[name] = row["value"].strip()
+        return self._known.get(name)
 
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
@@ -45,6 +50,7 @@ class TableStore:
         w.parquet(path)
         self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self._pointer(name))
+        self._known[name] = path
         return path
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
