@@ -53,14 +53,28 @@ def mart_reconciles(city_summary: DataFrame, stg: DataFrame) -> DataFrame:
 
 
 def suite(spark: SparkSession, raw: DataFrame, lookup: DataFrame, stg: DataFrame,
-          dim_date: DataFrame, daily: DataFrame, geo_severity: str = "error") -> list[C.Check]:
-    """Every test declared for the models, each with its severity."""
-    fact = star.fact(stg)
-    dc, dd = star.dim_city(stg, lookup), star.dim_district(stg)
-    db, dm = star.dim_building_type(stg), star.dim_market(stg)
-    cs = marts.city_summary(fact, dc)
-    ds = marts.district_summary(fact, dd)
-    tr = marts.market_trends(daily)
+          dim_date: DataFrame, daily: DataFrame, geo_severity: str = "error",
+          models: dict[str, DataFrame] | None = None) -> list[C.Check]:
+    """Every test declared for the models, each with its severity.
+
+    ``models`` passes already-built tables (as the daily job does) so the tests read them instead of
+    recomputing them; anything missing is derived from staging.
+    """
+    m = models or {}
+    fact = m.get("fact_apartments")
+    fact = fact if fact is not None else star.fact(stg)
+
+    def get(name, build):
+        got = m.get(name)
+        return got if got is not None else build()
+
+    dc = get("dim_city", lambda: star.dim_city(stg, lookup))
+    dd = get("dim_district", lambda: star.dim_district(stg))
+    db = get("dim_building_type", lambda: star.dim_building_type(stg))
+    dm = get("dim_market", lambda: star.dim_market(stg))
+    cs = get("mart_city_summary", lambda: marts.city_summary(fact, dc))
+    ds = get("mart_district_summary", lambda: marts.district_summary(fact, dd))
+    tr = get("mart_market_trends", lambda: marts.market_trends(daily))
     k = C.Check
     return [
         k("not_null", "raw", "id", C.not_null(raw, "id")),

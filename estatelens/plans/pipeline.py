@@ -76,8 +76,12 @@ def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store:
     current = scd2.snapshot_source(stg, run_date)
     store.write("snapshots_listings", scd2.scd2_apply(store.read("snapshots_listings"), current, run_date))
 
+    # tests run against the tables just built, not against recomputed models
+    built = {n: store.read(n) for n in ("fact_apartments", "dim_city", "dim_district", "dim_building_type",
+                                        "dim_market", "mart_city_summary", "mart_district_summary",
+                                        "mart_market_trends")}
     suite = assertions.suite(spark, raw, seed, stg, dim_date=store.read("dim_date"), daily=daily,
-                             geo_severity=geo_severity)
+                             geo_severity=geo_severity, models=built)
     store.write("check_results", checks.run_checks(suite))
     results = store.read("check_results")
 
