@@ -40,13 +40,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="estatelens-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
-    return root
+    if root:
+        return root
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    # the cluster's shared folder when the session names one; a private folder only when it does not
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="estatelens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
