@@ -10,7 +10,9 @@ partially before any shuffle:
 3. only that bucket's rows are kept, compacted to (group, value, count) with a partial aggregate,
    and a running sum over the distinct values picks the answer.
 
-The final window sees the distinct values of one bucket of one group, about 1/``buckets`` of it.
+Per group, the final window sees the distinct values of one bucket of that group (about 1/``buckets``
+of it). Without groups the refinement repeats on the target bucket's value range until that bucket is
+at most ``MAX_EXACT_ROWS`` rows or a single value (see ``_global_quantile``).
 The result is the smallest value whose cumulative share reaches ``p`` (same as percentile_disc).
 """
 
@@ -31,6 +33,9 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
     v = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
+    if not keys and buckets > 1:
+        return _global_quantile(v, p, buckets, alias)
+
     if buckets > 1:
         cuts = [i / buckets for i in range(1, buckets)]
         bounds = v.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10000).alias("_cuts"))
@@ -70,3 +75,62 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
     comp = comp.withColumn("_cum", F.col("_off") + F.sum("_n").over(wv))
     pick = comp.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))
     return pick.select(*keys, F.col("_v").alias(alias))
+
+
+# ---- global case: iterative range refinement -------------------------------------------------------
+
+# a final bucket at most this large is resolved exactly by one window over its distinct values
+MAX_EXACT_ROWS = 2_000_000
+MAX_ROUNDS = 8
+
+
+def _in_range(df: DataFrame, lo, hi) -> DataFrame:
+    if lo is not None:
+        df = df.filter(F.col("_v") > F.lit(lo))
+    if hi is not None:
+        df = df.filter(F.col("_v") <= F.lit(hi))
+    return df
+
+
+def _global_quantile(v: DataFrame, p: float, buckets: int, alias: str) -> DataFrame:
+    """Exact global quantile: each round sketches the current value range, counts rows per bucket
+    (at most ``buckets`` rows come back) and narrows the range to the bucket holding the rank, until
+    that bucket is small or holds one value. Every round is two passes with partial aggregation; the
+    only data on the driver are cut points and bucket counts."""
+    tot = v.count()
+    if tot == 0:
+        return v.limit(0).select(F.col("_v").alias(alias))
+    rank = p * tot
+    lo = hi = None
+    off = 0
+    cuts_frac = [i / buckets for i in range(1, buckets)]
+    for _ in range(MAX_ROUNDS):
+        sub = _in_range(v, lo, hi)
+        cuts = sub.agg(F.percentile_approx("_v", cuts_frac, 10000).alias("c")).first()["c"] or []
+        cuts = [float(c) for c in cuts]
+        arr = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+        per_b = (sub.select(F.size(F.filter(arr, lambda c: c < F.col("_v"))).alias("_b"), "_v")
+                 .groupBy("_b").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+                 .collect())
+        cum = off
+        chosen = None
+        for r in sorted(per_b, key=lambda r: r["_b"]):
+            if cum + r["n"] >= rank:
+                chosen = r
+                break
+            cum += r["n"]
+        if chosen is None:  # cannot happen unless the data changed between passes
+            break
+        b = chosen["_b"]
+        b_lo = cuts[b - 1] if b > 0 else lo
+        b_hi = cuts[b] if b < len(cuts) else hi
+        if chosen["mn"] == chosen["mx"]:
+            return v.limit(1).select(F.lit(chosen["mn"]).cast(v.schema["_v"].dataType).alias(alias))
+        lo, hi, off = b_lo, b_hi, cum
+        if chosen["n"] <= MAX_EXACT_ROWS:
+            break
+    comp = _in_range(v, lo, hi).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    wv = Window.partitionBy(F.lit(0)).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    comp = comp.withColumn("_cum", F.lit(off) + F.sum("_n").over(wv))
+    pick = comp.filter((F.col("_cum") >= F.lit(rank)) & ((F.col("_cum") - F.col("_n")) < F.lit(rank)))
+    return pick.select(F.col("_v").alias(alias))

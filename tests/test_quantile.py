@@ -35,3 +35,14 @@ def test_median_matches_brute_force_on_skewed_groups(spark):
     assert quantile_disc(df, "x", alias="m", buckets=1).first()["m"] == brute(allv)
     assert quantile_disc(df.filter(F.col("g") == 1), "x", alias="m", p=0.9).first()["m"] == \
         brute([x for gg, x in rows if gg == 1], 0.9)
+
+
+def test_global_median_multi_round_refinement(spark, monkeypatch):
+    """Force several refinement rounds (tiny exact threshold) and compare with brute force."""
+    from estatelens.operators import quantile as Qm
+    monkeypatch.setattr(Qm, "MAX_EXACT_ROWS", 20)
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([rng.exponential(50, 4000).round(3), np.full(1500, 7.0)])
+    df = spark.createDataFrame([(float(x),) for x in vals], "x double").repartition(8)
+    for p in (0.5, 0.25, 0.9):
+        assert quantile_disc(df, "x", alias="m", p=p, buckets=8).first()["m"] == brute(vals, p), p
