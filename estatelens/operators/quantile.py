@@ -35,6 +35,8 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
 
     if not keys and buckets > 1:
         return _global_quantile(v, p, buckets, alias)
+    if keys and buckets > 1:
+        return _grouped_quantile(v, keys, p, buckets, alias)
 
     if buckets > 1:
         cuts = [i / buckets for i in range(1, buckets)]
@@ -134,3 +136,55 @@ def _global_quantile(v: DataFrame, p: float, buckets: int, alias: str) -> DataFr
     comp = comp.withColumn("_cum", F.lit(off) + F.sum("_n").over(wv))
     pick = comp.filter((F.col("_cum") >= F.lit(rank)) & ((F.col("_cum") - F.col("_n")) < F.lit(rank)))
     return pick.select(F.col("_v").alias(alias))
+
+
+def _grouped_quantile(v: DataFrame, keys: list[str], p: float, buckets: int, alias: str) -> DataFrame:
+    """Exact quantile per group by iterative range refinement.
+
+    A per-group state table (value range, rank offset, total, resolved value) is small (one row per
+    group) and checkpointed each round. Each round joins the rows with the state of the unresolved
+    groups, sketches cut points per group, counts rows per (group, bucket) and narrows every group to
+    the bucket holding its rank; a bucket with a single value resolves the group at once. Rounds stop
+    when every remaining target bucket has at most ``MAX_EXACT_ROWS`` rows, so the final window never
+    holds more than that per group.
+    """
+    from ..session import materialized
+
+    vtype = v.schema["_v"].dataType
+    fr = [i / buckets for i in range(1, buckets)]
+    in_range = ((F.col("_lo").isNull() | (F.col("_v") > F.col("_lo")))
+                & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))))
+    state = materialized(v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tot")).select(
+        *keys, "_tot", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"),
+        F.lit(0).cast("long").alias("_off"), F.lit(None).cast(vtype).alias("_ans")))
+    for _ in range(MAX_ROUNDS):
+        live = state.filter(F.col("_ans").isNull()).drop("_ans")
+        sub = v.join(live, keys).filter(in_range)
+        cuts = sub.groupBy(*keys).agg(F.percentile_approx("_v", fr, 10000).cast("array<double>").alias("_cuts"))
+        vb = sub.join(cuts, keys).withColumn("_b", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v"))))
+        per_b = vb.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"),
+                                            F.max("_v").alias("_mx"))
+        per_b = per_b.join(live, keys).join(cuts, keys)
+        w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per_b = per_b.withColumn("_cum", F.col("_off") + F.sum("_n").over(w))
+        tgt = per_b.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))
+        nxt = materialized(tgt.select(
+            *keys, "_tot",
+            F.when(F.col("_b") > 0, F.try_element_at("_cuts", F.col("_b"))).otherwise(F.col("_lo")).alias("_lo"),
+            F.when(F.col("_b") < F.size("_cuts"), F.try_element_at("_cuts", F.col("_b") + 1))
+             .otherwise(F.col("_hi")).alias("_hi"),
+            (F.col("_cum") - F.col("_n")).alias("_off"),
+            F.when(F.col("_mn") == F.col("_mx"), F.col("_mn")).cast(vtype).alias("_ans"),
+            F.col("_n")))
+        done = state.filter(F.col("_ans").isNotNull())
+        state = materialized(done.unionByName(nxt.drop("_n")))
+        biggest = nxt.filter(F.col("_ans").isNull()).agg(F.max("_n").alias("m")).first()["m"]
+        if biggest is None or biggest <= MAX_EXACT_ROWS:
+            break
+    live = state.filter(F.col("_ans").isNull()).drop("_ans")
+    comp = v.join(live, keys).filter(in_range).groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    wv = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    comp = comp.withColumn("_cum", F.col("_off") + F.sum("_n").over(wv))
+    pick = comp.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))
+    resolved = state.filter(F.col("_ans").isNotNull()).select(*keys, F.col("_ans").alias(alias))
+    return pick.select(*keys, F.col("_v").alias(alias)).unionByName(resolved)

@@ -46,3 +46,20 @@ def test_global_median_multi_round_refinement(spark, monkeypatch):
     df = spark.createDataFrame([(float(x),) for x in vals], "x double").repartition(8)
     for p in (0.5, 0.25, 0.9):
         assert quantile_disc(df, "x", alias="m", p=p, buckets=8).first()["m"] == brute(vals, p), p
+
+
+def test_grouped_median_multi_round_refinement(spark, monkeypatch):
+    from estatelens.operators import quantile as Qm
+    monkeypatch.setattr(Qm, "MAX_EXACT_ROWS", 15)
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(4):
+        n = 3000 if g == 0 else 400
+        vals = rng.gamma(2.0, 30 + 10 * g, n).round(2)
+        if g == 2:
+            vals[:] = 9.5  # a single-valued group resolves at once
+        rows += [(g, float(x)) for x in vals]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(8)
+    for p in (0.5, 0.75):
+        got = {r["g"]: r["m"] for r in quantile_disc(df, "x", ["g"], alias="m", p=p, buckets=8).collect()}
+        assert got == {g: brute([x for gg, x in rows if gg == g], p) for g in range(4)}, p
