@@ -106,7 +106,8 @@ def _global_quantile(v: DataFrame, p: float, buckets: int, alias: str) -> DataFr
     lo = hi = None
     off = 0
     cuts_frac = [i / buckets for i in range(1, buckets)]
-    for _ in range(MAX_ROUNDS):
+    # already within the exact bound: no refinement round needed
+    for _ in range(MAX_ROUNDS if tot > MAX_EXACT_ROWS else 0):
         sub = _in_range(v, lo, hi)
         cuts = sub.agg(F.percentile_approx("_v", cuts_frac, 10000).alias("c")).first()["c"] or []
         cuts = [float(c) for c in cuts]
@@ -157,7 +158,9 @@ def _grouped_quantile(v: DataFrame, keys: list[str], p: float, buckets: int, ali
     state = materialized(v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tot")).select(
         *keys, "_tot", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"),
         F.lit(0).cast("long").alias("_off"), F.lit(None).cast(vtype).alias("_ans")))
-    for _ in range(MAX_ROUNDS):
+    # refinement only while some group is larger than the exact bound
+    largest = state.agg(F.max("_tot").alias("m")).first()["m"] or 0
+    for _ in range(MAX_ROUNDS if largest > MAX_EXACT_ROWS else 0):
         live = state.filter(F.col("_ans").isNull()).drop("_ans")
         sub = v.join(live, keys).filter(in_range)
         cuts = sub.groupBy(*keys).agg(F.percentile_approx("_v", fr, 10000).cast("array<double>").alias("_cuts"))
