@@ -131,7 +131,12 @@ def append_raw(df: DataFrame, path: str, mode: str = "append") -> None:
 def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Raw table scan with the 22 columns; ``since`` prunes day partitions (a literal filter on the
     stored partition column, so it prunes folders)."""
-    df = spark.read.parquet(path)
+    # explicit schema: a table with no rows yet (every batch blocked so far) or no folder reads as empty
+    schema = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("collected_date", T.DateType())])
+    try:
+        df = spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        df = spark.createDataFrame([], schema)
     if since is not None:
         df = df.filter(F.col("collected_date") >= F.lit(since).cast("date"))
     return df.select(*[f.name for f in RAW_SCHEMA.fields])
