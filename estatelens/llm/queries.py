@@ -81,8 +81,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 OP2 = """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-             AND len(list_filter(embedding, x -> x <> 0)) > 0),
+           WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
@@ -93,9 +93,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '-'
 t AS (SELECT host, count(*) AS pages FROM d GROUP BY host),
 l AS (SELECT DISTINCT r, host, trim(x) AS line FROM (SELECT r, host, unnest(ls) AS x FROM d) WHERE trim(x) <> ''),
 b AS (SELECT host, list(line) AS bad FROM (SELECT l.host, line FROM l JOIN t ON l.host = t.host GROUP BY l.host, line, pages HAVING count(*) >= 5 AND count(*) > 0.02 * pages) GROUP BY host),
-j AS (SELECT d.*, list_filter(ls, x -> trim(x) = '' OR NOT coalesce(list_contains(bad, trim(x)), false)) AS rest FROM d LEFT JOIN b ON d.host = b.host),
-k AS (SELECT *, list_sum(list_transform(ls, x -> length(x))) - coalesce(list_sum(list_transform(rest, x -> length(x))), 0) > 0.5 * list_sum(list_transform(ls, x -> length(x))) AS copy FROM j)
-SELECT doc_id, coalesce(len(list_filter(ls, x -> trim(x) <> '')), 0)::BIGINT AS n_lines,
+j AS (SELECT d.*, list_filter(ls, lambda x: trim(x) = '' OR NOT coalesce(list_contains(bad, trim(x)), false)) AS rest FROM d LEFT JOIN b ON d.host = b.host),
+k AS (SELECT *, list_sum(list_transform(ls, lambda x: length(x))) - coalesce(list_sum(list_transform(rest, lambda x: length(x))), 0) > 0.5 * list_sum(list_transform(ls, lambda x: length(x))) AS copy FROM j)
+SELECT doc_id, coalesce(len(list_filter(ls, lambda x: trim(x) <> '')), 0)::BIGINT AS n_lines,
        CASE WHEN text IS NULL OR copy THEN 0 ELSE len(ls) - len(rest) END::BIGINT AS n_dropped,
        md5(CASE WHEN text IS NULL THEN '' WHEN copy THEN text ELSE array_to_string(rest, chr(10)) END) AS clean_md5 FROM k
 """
