@@ -53,13 +53,14 @@ def date_key(c) -> Column:
 def to_utc_wallclock(c) -> Column:
     """Parse ISO text with an optional offset into a UTC timestamp_ntz (no offset = UTC); junk gives null.
 
-    The instant is read with try_cast (tolerant), then its session-zone wall clock is moved to UTC, so
-    the result does not depend on the session time zone.
+    The instant is read with try_cast (tolerant) and its microseconds since the epoch are added to the
+    epoch's wall clock, so the result does not depend on the session time zone or its clock changes.
     """
     c = as_col(c)
     has_offset = c.rlike(r"(?i)(z|[+-][0-9]{2}(:?[0-9]{2})?)$")
     instant = c.try_cast("timestamp")
-    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    since_epoch = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    moved = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), since_epoch)
     # text without an offset is already a UTC wall clock
     return F.when(has_offset, moved).otherwise(c.try_cast("timestamp_ntz"))
 

@@ -83,7 +83,15 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
 
 # a final bucket at most this large is resolved exactly by one window over its distinct values
 MAX_EXACT_ROWS = 2_000_000
-MAX_ROUNDS = 8
+
+
+def _same_group(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on the group keys; a null key is a group like any other."""
+    right = b.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    return a.join(right, match).drop(*[f"_g_{k}" for k in keys])
 
 
 def _in_range(df: DataFrame, lo, hi) -> DataFrame:
@@ -106,8 +114,8 @@ def _global_quantile(v: DataFrame, p: float, buckets: int, alias: str) -> DataFr
     lo = hi = None
     off = 0
     cuts_frac = [i / buckets for i in range(1, buckets)]
-    # already within the exact bound: no refinement round needed
-    for _ in range(MAX_ROUNDS if tot > MAX_EXACT_ROWS else 0):
+    size = tot
+    while True:
         sub = _in_range(v, lo, hi)
         cuts = sub.agg(F.percentile_approx("_v", cuts_frac, 10000).alias("c")).first()["c"] or []
         cuts = [float(c) for c in cuts]
@@ -130,8 +138,9 @@ def _global_quantile(v: DataFrame, p: float, buckets: int, alias: str) -> DataFr
         if chosen["mn"] == chosen["mx"]:
             return v.limit(1).select(F.lit(chosen["mn"]).cast(v.schema["_v"].dataType).alias(alias))
         lo, hi, off = b_lo, b_hi, cum
-        if chosen["n"] <= MAX_EXACT_ROWS:
+        if chosen["n"] <= MAX_EXACT_ROWS or chosen["n"] == size:  # small, or one value holds nearly all of it
             break
+        size = chosen["n"]
     comp = _in_range(v, lo, hi).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     wv = Window.partitionBy(F.lit(0)).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     comp = comp.withColumn("_cum", F.lit(off) + F.sum("_n").over(wv))
@@ -158,16 +167,15 @@ def _grouped_quantile(v: DataFrame, keys: list[str], p: float, buckets: int, ali
     state = materialized(v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tot")).select(
         *keys, "_tot", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"),
         F.lit(0).cast("long").alias("_off"), F.lit(None).cast(vtype).alias("_ans")))
-    # refinement only while some group is larger than the exact bound
-    largest = state.agg(F.max("_tot").alias("m")).first()["m"] or 0
-    for _ in range(MAX_ROUNDS if largest > MAX_EXACT_ROWS else 0):
+    size = None
+    while True:
         live = state.filter(F.col("_ans").isNull()).drop("_ans")
-        sub = v.join(live, keys).filter(in_range)
+        sub = _same_group(v, live, keys).filter(in_range)
         cuts = sub.groupBy(*keys).agg(F.percentile_approx("_v", fr, 10000).cast("array<double>").alias("_cuts"))
-        vb = sub.join(cuts, keys).withColumn("_b", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v"))))
+        vb = _same_group(sub, cuts, keys).withColumn("_b", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v"))))
         per_b = vb.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"),
                                             F.max("_v").alias("_mx"))
-        per_b = per_b.join(live, keys).join(cuts, keys)
+        per_b = _same_group(_same_group(per_b, live, keys), cuts, keys)
         w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         per_b = per_b.withColumn("_cum", F.col("_off") + F.sum("_n").over(w))
         tgt = per_b.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))
@@ -182,10 +190,11 @@ def _grouped_quantile(v: DataFrame, keys: list[str], p: float, buckets: int, ali
         done = state.filter(F.col("_ans").isNotNull())
         state = materialized(done.unionByName(nxt.drop("_n")))
         biggest = nxt.filter(F.col("_ans").isNull()).agg(F.max("_n").alias("m")).first()["m"]
-        if biggest is None or biggest <= MAX_EXACT_ROWS:
+        if biggest is None or biggest <= MAX_EXACT_ROWS or biggest == size:  # small, or one value holds nearly all
             break
+        size = biggest
     live = state.filter(F.col("_ans").isNull()).drop("_ans")
-    comp = v.join(live, keys).filter(in_range).groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    comp = _same_group(v, live, keys).filter(in_range).groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
     wv = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     comp = comp.withColumn("_cum", F.col("_off") + F.sum("_n").over(wv))
     pick = comp.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))

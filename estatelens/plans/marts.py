@@ -53,7 +53,8 @@ def city_summary(fact: DataFrame, dim_city: DataFrame) -> DataFrame:
         round2(F.avg("price_per_sqm_calculated")).alias("avg_price_per_sqm"),
     )
     med = quantile_disc(j, "area_sqm", ["city"], alias="median_area_sqm")
-    return agg.join(med, "city", "left").select(
+    med = med.withColumnRenamed("city", "_city")
+    return agg.join(med, F.col("city").eqNullSafe(F.col("_city")), "left").select(
         "city", "num_listings", "avg_price", "median_area_sqm", "avg_rooms", "avg_price_per_sqm")
 
 

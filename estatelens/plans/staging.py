@@ -52,14 +52,17 @@ def in_bounds(df: DataFrame, id_col: str = "listing_id") -> DataFrame:
                      & F.col("area_sqm").between(AREA_MIN, AREA_MAX))
 
 
-def latest_order(tiebreak: Sequence[str] = ()) -> list[Column]:
-    return [F.col("date_collected").desc()] + [F.col(c).desc() for c in tiebreak]
+def latest_order(tiebreak: Sequence[str] = (), rest: Sequence[str] = ()) -> list[Column]:
+    """Newest first, then ``tiebreak``, then the remaining columns: a total order, so that ties do not
+    depend on how the rows are dealt out."""
+    named = {"date_collected", *tiebreak}
+    return [F.col(c).desc() for c in ("date_collected", *tiebreak, *(c for c in rest if c not in named))]
 
 
 def stg_listings(raw: DataFrame, lookup: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Current state: newest in-bounds scrape per listing."""
     base = in_bounds(renamed(raw, lookup, extra=tiebreak))
-    out = latest_per_key(base, ["listing_id"], latest_order(tiebreak))
+    out = latest_per_key(base, ["listing_id"], latest_order(tiebreak, base.columns))
     return out.drop(*tiebreak)
 
 
@@ -69,7 +72,7 @@ def listings_daily(raw: DataFrame, lookup: DataFrame, tiebreak: Sequence[str] =
         F.col("id").alias("listing_id"), "date_collected", "city", "price", "area_sqm",
         price_per_sqm_expr().alias("price_per_sqm_calculated"), *tiebreak)
     base = in_bounds(base)
-    out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak))
+    out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak, base.columns))
     return out.drop(*tiebreak)
 
 
@@ -77,7 +80,7 @@ def stg_daily(raw: DataFrame, lookup: DataFrame, tiebreak: Sequence[str] = ()) -
     """Staging columns at daily grain: newest in-bounds scrape per (listing, UTC day). This is the
     state a daily snapshot run sees, used by the history backfill."""
     base = in_bounds(renamed(raw, lookup, extra=tiebreak))
-    out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak))
+    out = latest_per_key(base, ["listing_id", utc_day("date_collected")], latest_order(tiebreak, base.columns))
     return out.drop(*tiebreak)
 
 

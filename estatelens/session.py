@@ -43,7 +43,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         return root
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    # the cluster's shared folder when the session names one; a private folder only when it does not
+    if not named and not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # the cluster's shared folder when the session names one; a private folder only in a local session
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="estatelens-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import to_utc_wallclock, utc_day
+from .tables import only_missing
 from ..schemas import BATCH_COLUMNS, LOOKUP_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 
 PARTITIONS = ["source_city", "batch_date"]
@@ -57,7 +58,8 @@ def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None =
             full = T.StructType(schema.fields + [T.StructField("source_city", T.StringType()),
                                                  T.StructField("batch_date", T.DateType())])
             df = spark.read.schema(full).json(root)
-    except AnalysisException:
+    except AnalysisException as e:
+        only_missing(e)
         return empty
     if cities is not None:
         df = df.filter(F.col("source_city").isin(list(cities)))
@@ -105,8 +107,8 @@ def ensure_raw(spark: SparkSession, path: str) -> None:
     try:
         spark.read.parquet(path).limit(0).collect()
         return
-    except AnalysisException:
-        pass
+    except AnalysisException as e:
+        only_missing(e)
     empty = spark.createDataFrame([], RAW_SCHEMA).withColumn("collected_date", F.lit(None).cast("date"))
     empty.write.mode("ignore").partitionBy("collected_date", "source_city").parquet(path)
 
@@ -135,7 +137,8 @@ def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFr
     schema = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("collected_date", T.DateType())])
     try:
         df = spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        only_missing(e)
         df = spark.createDataFrame([], schema)
     if since is not None:
         df = df.filter(F.col("collected_date") >= F.lit(since).cast("date"))
@@ -152,7 +155,8 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame | None:
     seed without them (geo rule skipped)."""
     try:
         raw = spark.read.option("header", True).csv(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        only_missing(e)
         return None
     types = {f.name: f.dataType for f in LOOKUP_SCHEMA.fields}
     return raw.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])

@@ -14,25 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def only_missing(e: AnalysisException) -> None:
+    """Nothing at the path means empty; any other error is raised again."""
+    if (e.getCondition() or "").split(".")[0] not in NOTHING_THERE:
+        raise e
+
+
 class TableStore:
+    """Tables as immutable versions. Pointers are only ever appended, after their version is complete, and the newest
+    one wins, so a crash at any point leaves the version before it in place."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._known: dict[str, str] = {}  # pointers this process wrote or already read
 
     def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
+        return f"{self.root}/{name}/_pointers"
 
     def current_path(self, name: str) -> str | None:
-        if name in self._known:
-            return self._known[name]
         try:
-            row = self.spark.read.text(self._pointer(name)).first()
-        except AnalysisException:
-            return None
-        if row:
-            self._known[name] = row["value"].strip()
-        return self._known.get(name)
+            newest = self.spark.read.text(self._pointer(name)).agg({"value": "max"}).first()[0]
+        except AnalysisException as e:
+            only_missing(e)
+            newest = None
+        if newest is None:
+            try:
+                self.spark.read.parquet(f"{self.root}/{name}/v-*")
+            except AnalysisException as e:
+                only_missing(e)
+                return None
+            raise RuntimeError(f"{self.root}/{name} holds versions but no pointer names the current one")
+        return f"{self.root}/{name}/{newest}"
 
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
@@ -43,15 +58,15 @@ class TableStore:
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Materialise ``df`` as a new version and make it current. Returns the version path."""
-        path = f"{self.root}/{name}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+        last = self.current_path(name)
+        stamp = max(int(time.time() * 1000), int(last.rsplit("/v-", 1)[1].split("-")[0]) + 1 if last else 0)
+        version = f"v-{stamp}-{uuid.uuid4().hex[:8]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer(name))
-        self._known[name] = path
-        return path
+        w.parquet(f"{self.root}/{name}/{version}")
+        self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(self._pointer(name))
+        return f"{self.root}/{name}/{version}"
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """A lazy, non-materialised model (kept only as a temp view)."""

@@ -63,3 +63,9 @@ def test_grouped_median_multi_round_refinement(spark, monkeypatch):
     for p in (0.5, 0.75):
         got = {r["g"]: r["m"] for r in quantile_disc(df, "x", ["g"], alias="m", p=p, buckets=8).collect()}
         assert got == {g: brute([x for gg, x in rows if gg == g], p) for g in range(4)}, p
+
+
+def test_null_group_has_its_quantile(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 5.0), (None, 9.0), ("a", 2.0)], "g string, x double")
+    got = {r["g"]: r["q"] for r in quantile_disc(df, "x", ["g"], alias="q").collect()}
+    assert got == {None: 5.0, "a": 2.0}
