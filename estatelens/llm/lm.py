@@ -158,9 +158,9 @@ def windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     each = 1 + -(-np.maximum(sizes - WINDOW, 0) // STRIDE)
     doc = np.repeat(np.arange(len(sizes)), each)
     begin = (np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)) * STRIDE
-    place = begin[:, None] + np.arange(WINDOW)
-    valid = place < sizes[doc][:, None]
-    at = np.minimum(heads[doc][:, None] + place, len(flat) - 1)
+    place = (begin[:, None] + np.arange(WINDOW)).astype(np.int32)
+    valid = place < sizes[doc][:, None].astype(np.int32)
+    at = np.minimum(heads[doc][:, None].astype(np.int32) + place, np.int32(len(flat) - 1))
     targets = flat[at]
     inputs = np.where(place > 0, flat[np.maximum(at - 1, 0)], CLASSES)
     return inputs, targets, valid & ((begin[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - STRIDE)), doc
