@@ -166,8 +166,8 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns. The text is never shuffled: statistics are recomputed in the
-    filtering scan and only the per-group estimates are joined to it."""
+    """The documents that pass, with all their columns. Rows are written once beside their statistics: texts are scanned
+    once and never shuffled, the estimates read the narrow columns only, and the small table of them is joined to the rows."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    states = estimates(staged(statistics(docs, []), "quality-stats"))
-    return _judged(statistics(docs, [row]), states).where("kept").select("_row.*")
+    stats = staged(statistics(docs, [row]), "quality-rows")
+    return _judged(stats, estimates(stats)).where("kept").select("_row.*")
