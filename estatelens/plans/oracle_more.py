@@ -5,9 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from . import params
-from .oracle_sql import (BASE, DAILY, DIM_BUILDING, DIM_CITY, DIM_DISTRICT, DIM_MARKET, DISTRICT_AGG,
-                         DISTRICT_SUMMARY, EV, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS, RAW, RENAMED, STG,
-                         TRENDS, CITY_SUMMARY, dkey, r2, sk, with_ctes)
+from .oracle_sql import (BASE, DAILY, DIM_BUILDING, DIM_CITY, DIM_DISTRICT, DIM_MARKET,
+                         DISTRICT_AGG, DISTRICT_SUMMARY, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS,
+                         RENAMED, STG, TRENDS, CITY_SUMMARY, dkey, r2, with_ctes)
 
 DIM_DATE = """dim_date AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date_day,
@@ -227,6 +227,3 @@ def build() -> dict[str, str]:
         FROM fact f JOIN dim_city c ON f.city_key = c.city_key
         WHERE f.latitude IS NOT NULL AND f.longitude IS NOT NULL""")
     return q
-
-
-_unused = (EV, RAW, sk)

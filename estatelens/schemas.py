@@ -59,7 +59,6 @@ RAW_SCHEMA = T.StructType([T.StructField(n, t) for n, t in RAW_FIELDS])
 RAW_COLUMNS = [n for n, _ in RAW_FIELDS]
 
 # Typed batch = raw row without the load-time source_city stamp.
-BATCH_COLUMNS = [c for c in RAW_COLUMNS if c != "source_city"]
 
 LOOKUP_SCHEMA = T.StructType([
     T.StructField("source_city", T.StringType()),

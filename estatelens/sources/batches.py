@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions import to_utc_wallclock, utc_day
 from .tables import only_missing
-from ..schemas import BATCH_COLUMNS, LOOKUP_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from ..schemas import LOOKUP_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 
 PARTITIONS = ["source_city", "batch_date"]
 
@@ -33,21 +34,39 @@ def write_landing(df: DataFrame, root: str) -> None:
      .partitionBy(*PARTITIONS).json(root))
 
 
+def _folders(key: str, names: Sequence[str] | None) -> str:
+    """Glob over the folders of one level, plain or key=value; ``None`` means all of them."""
+    if names is None:
+        return "*"
+    literal = [re.sub(r"([\\{}\[\],*?])", r"\\\1", n) for n in names]
+    return "{" + ",".join(p + n for n in literal for p in ("", f"{key}=")) + "}"
+
+
+def _array_path(root: str, cities: Sequence[str] | None, day: str | None) -> str:
+    """The <city>/<day> folders asked for. One glob, so that a missing city is no rows rather than an error."""
+    if cities is None and day is None:
+        return root
+    return f"{root}/{_folders(PARTITIONS[0], cities)}/{_folders(PARTITIONS[1], None if day is None else [day])}"
+
+
 def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None = None,
                  day: str | None = None, layout: str = "landing") -> DataFrame:
     """Read city/day batches. ``layout="landing"``: folders written by ``write_landing`` (JSON lines
     under source_city=/batch_date=); ``layout="arrays"``: the source's own ``<city>/<day>/*.json``
     files, each one JSON array. A missing folder or an empty array is an empty batch, not an error.
-    City/day filters are partition filters, so other folders are never opened.
+    City/day filters are partition filters (landing) or part of the path (arrays), so other folders are never opened.
     """
     schema = batch_schema()
     empty = spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("source_city", T.StringType()),
                                                                    T.StructField("batch_date", T.DateType())]))
+    empty = empty.withColumn("date_collected", F.lit(None).cast("timestamp_ntz"))
+    if cities is not None and not cities:
+        return empty
     try:
         if layout == "arrays":
             # recursive lookup: folder names are parsed below, never inferred as partition columns
             df = (spark.read.schema(schema).option("multiLine", True)
-                  .option("recursiveFileLookup", True).json(root))
+                  .option("recursiveFileLookup", True).json(_array_path(root, cities, day)))
             path = F.input_file_name()
             city = F.regexp_extract(path, r"/([^/]+)/[^/]+/[^/]+$", 1)
             day_dir = F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
@@ -164,6 +183,3 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame | None:
 
 def write_seed(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-_ = BATCH_COLUMNS

@@ -15,7 +15,6 @@ raw history. Re-running a batch after a failure is harmless: the upsert is idemp
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
@@ -67,6 +66,3 @@ def run_incremental(spark: SparkSession, raw_path: str, store: TableStore, looku
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return store.read(FACT)
-
-
-_ = F
