@@ -5,12 +5,14 @@ group-by. The base score looks a word's count up in a broadcast table of at most
 other words go through a join.
 
 The model works on subword ids of lower-cased words (a public vocabulary, given by path). Ids are counted over the whole
-training corpus through the word counts. The most frequent ids are classes of their own, the others are binned by
-frequency into classes, and P(id | context) = P(class | context) * P(id | class): the first factor comes from one
-causal self-attention block, the second from smoothed counts. Training runs on one in ``TRAIN_SHARE`` training
-documents, dealt by hash to groups of about ``GROUP_DOCS``; a task trains a copy of the model on each group, copies are
-averaged by their tokens, ``ROUNDS`` times. Work and what is gathered grow with the corpus; what the driver sees is the
-size of the model and the vocabulary.
+training corpus through the word counts. The most frequent ids are leaves of their own, the others are binned by
+frequency into ``BINS`` leaves. Leaves form ``CLASSES`` classes of ``MEMBERS``, and
+P(id | context) = P(class | context) * P(leaf | class, context) * P(id | leaf): the first two factors come from one
+causal self-attention block by a softmax over the classes and one over the members of the class at hand, which costs
+``CLASSES`` + ``MEMBERS`` terms an id and not their product; the third comes from smoothed counts. Training runs on one
+in ``TRAIN_SHARE`` training documents, dealt by hash to groups of about ``GROUP_DOCS``; a task trains a copy of the model
+on each group, copies are averaged by their tokens, ``ROUNDS`` times. Work and what is gathered grow with the corpus;
+what the driver sees is the size of the model and the vocabulary.
 
 Scoring cuts a text into windows of ``WINDOW`` ids that overlap by ``WINDOW`` - ``STRIDE``; a window scores the ids that
 the one before did not reach, under masked attention in batches, so that each id counts once.
@@ -42,10 +44,12 @@ TRAIN_SHARE = 32
 GROUP_DOCS = 256
 ROUNDS = 2
 EPOCHS = 1
-RATE = 0.01
-CLASSES, SINGLES = 96, 80
-WIDTH, HIDDEN = 16, 32
-WINDOW, STRIDE = 16, 12
+RATE = 0.03
+BATCH = 96  # windows of a training step
+CLASSES, MEMBERS = 32, 32
+LEAVES, BINS = CLASSES * MEMBERS, 16
+WIDTH, HIDDEN = 24, 24
+WINDOW, STRIDE = 20, 16
 CHUNK = 512  # windows that are scored at once
 VOCABULARY = 50_257
 END = VOCABULARY  # one id past the vocabulary
@@ -90,11 +94,15 @@ class Subwords:
         return got
 
 
-def new_model(bias: np.ndarray) -> dict[str, np.ndarray]:
+def new_model(frequency: np.ndarray) -> dict[str, np.ndarray]:
+    """Initial weights; the biases give each leaf its frequency."""
     r = np.random.default_rng(5)
-    n = lambda *shape: r.normal(0, 0.3 / np.sqrt(shape[0]) if len(shape) > 1 else 0.0, shape)
-    return {"emb": r.normal(0, 0.3, (CLASSES + 1, WIDTH)), "pos": r.normal(0, 0.1, (WINDOW, WIDTH)), "q": n(WIDTH, WIDTH), "k": n(WIDTH, WIDTH), "v": n(WIDTH, WIDTH), "o": n(WIDTH, WIDTH),
-            "w1": n(WIDTH, HIDDEN), "b1": np.zeros(HIDDEN), "w2": n(HIDDEN, WIDTH), "out": n(WIDTH, CLASSES), "bias": bias.astype(float)}
+    n = lambda *shape: r.normal(0, 0.3 / np.sqrt(WIDTH), shape)
+    share = frequency.reshape(CLASSES, MEMBERS)
+    top = share.sum(axis=1)
+    return {"emb": r.normal(0, 0.3, (LEAVES + 1, WIDTH)), "pos": r.normal(0, 0.1, (WINDOW, WIDTH)), "q": n(WIDTH, WIDTH), "k": n(WIDTH, WIDTH), "v": n(WIDTH, WIDTH), "o": n(WIDTH, WIDTH),
+            "w1": n(WIDTH, HIDDEN), "b1": np.zeros(HIDDEN), "w2": n(HIDDEN, WIDTH), "out": n(WIDTH, CLASSES), "bias": np.log(top),
+            "leaf": n(CLASSES, WIDTH, MEMBERS), "leaf_bias": np.log(share / top[:, None])}
 
 
 MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -105,8 +113,8 @@ def _dense(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[2]) @ w).reshape(*x.shape[:2], w.shape[1])
 
 
-def forward(m: dict, inp: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Logits of the next class at each place of each window, and what the backward pass needs."""
+def hidden(m: dict, inp: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """Output vector at each place of each window, and what the backward pass needs."""
     x = m["emb"][inp]
     x += m["pos"]
     q, k, v = _dense(x, m["q"] * np.float32(1 / np.sqrt(WIDTH))), _dense(x, m["k"]), _dense(x, m["v"])
@@ -119,19 +127,52 @@ def forward(m: dict, inp: np.ndarray) -> tuple[np.ndarray, tuple]:
     h = _dense(y, m["w1"])
     h += m["b1"]
     np.maximum(h, 0, out=h)
-    z = y + _dense(h, m["w2"])
-    logits = _dense(z, m["out"])
-    logits += m["bias"]
-    return logits, (x, q, k, v, a, c, y, h, z)
-
-
-def backward(m: dict, inp: np.ndarray, state: tuple, dl: np.ndarray) -> dict[str, np.ndarray]:
-    x, q, k, v, a, c, y, h, z = state
+    return y + _dense(h, m["w2"]), (x, q, k, v, a, c, y, h)
+
+
+def _chosen(z: np.ndarray, w: np.ndarray, bias: np.ndarray, pick: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of ``pick`` under the softmax of z @ w + bias, and its slope by each logit."""
+    logits = z @ w
+    logits += bias
+    np.minimum(logits, 60, out=logits)
+    rows = np.arange(len(pick))
+    got = logits[rows, pick]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones((logits.shape[1], 1), logits.dtype)
+    got -= np.log(total[:, 0])
+    if not slopes:
+        return got, None
+    logits /= -total
+    logits[rows, pick] += 1
+    return got, logits
+
+
+def log_likelihood(m: dict, z: np.ndarray, targets: np.ndarray, slopes: bool = False) -> tuple[np.ndarray, np.ndarray | None, dict]:
+    """Log probability of each target leaf at its output vector; with ``slopes`` also the gradients of their sum by ``z``
+    and by the weights of both softmax levels."""
+    of, member = targets // MEMBERS, targets % MEMBERS
+    got, d = _chosen(z, m["out"], m["bias"], of, slopes)
+    dz, g = None, {}
+    if slopes:
+        dz = d @ m["out"].T
+        g = {"out": z.T @ d, "bias": d.sum(0), "leaf": np.zeros_like(m["leaf"]), "leaf_bias": np.zeros_like(m["leaf_bias"])}
+    order = np.argsort(of, kind="stable")
+    ends = np.searchsorted(of[order], np.arange(CLASSES + 1))
+    for c in np.flatnonzero(np.diff(ends)):
+        at = order[ends[c]:ends[c + 1]]
+        own, d = _chosen(z[at], m["leaf"][c], m["leaf_bias"][c], member[at], slopes)
+        got[at] += own
+        if slopes:
+            dz[at] += d @ m["leaf"][c].T
+            g["leaf"][c], g["leaf_bias"][c] = z[at].T @ d, d.sum(0)
+    return got, dz, g
+
+
+def backward(m: dict, inp: np.ndarray, state: tuple, dz: np.ndarray) -> dict[str, np.ndarray]:
+    x, q, k, v, a, c, y, h = state
     scale = np.float32(1 / np.sqrt(WIDTH))
     dot = lambda p, r: p.reshape(-1, p.shape[2]).T @ r.reshape(-1, r.shape[2])
-    g = {"out": dot(z, dl), "bias": dl.sum((0, 1))}
-    dz = _dense(dl, m["out"].T)
-    g["w2"] = dot(h, dz)
+    g = {"w2": dot(h, dz)}
     dh = _dense(dz, m["w2"].T)
     dh *= h > 0
     g["w1"], g["b1"] = dot(y, dh), dh.sum((0, 1))
@@ -144,16 +185,17 @@ def backward(m: dict, inp: np.ndarray, state: tuple, dl: np.ndarray) -> dict[str
     g["q"], g["k"], g["v"] = dot(x, dq), dot(x, dk), dot(x, dv)
     dx = dy + _dense(dq, m["q"].T) + _dense(dk, m["k"].T) + _dense(dv, m["v"].T)
     g["pos"] = dx.sum(0)
-    one = np.zeros((inp.size, CLASSES + 1), np.float32)
-    one[np.arange(inp.size), inp.ravel()] = 1
-    g["emb"] = one.T @ dx.reshape(-1, WIDTH)
+    order = np.argsort(inp, axis=None, kind="stable")
+    leaves, heads = np.unique(inp.ravel()[order], return_index=True)
+    g["emb"] = np.zeros_like(m["emb"])
+    g["emb"][leaves] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], heads, axis=0)
     return g
 
 
-def windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(inputs, targets, scored places, document) of the windows over the class sequences; CLASSES is the start mark."""
-    sizes = np.array([len(c) for c in classes])
-    flat = np.concatenate(classes)
+def windows(leaves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, targets, scored places, document) of the windows over the leaf sequences; LEAVES is the start mark."""
+    sizes = np.array([len(c) for c in leaves])
+    flat = np.concatenate(leaves)
     heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     each = 1 + -(-np.maximum(sizes - WINDOW, 0) // STRIDE)
     doc = np.repeat(np.arange(len(sizes)), each)
@@ -162,46 +204,45 @@ def windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     valid = place < sizes[doc][:, None].astype(np.int32)
     at = np.minimum(heads[doc][:, None].astype(np.int32) + place, np.int32(len(flat) - 1))
     targets = flat[at]
-    inputs = np.where(place > 0, flat[np.maximum(at - 1, 0)], CLASSES)
+    inputs = np.where(place > 0, flat[np.maximum(at - 1, 0)], LEAVES)
     return inputs, targets, valid & ((begin[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - STRIDE)), doc
 
 
-def train(m: dict, classes: list[np.ndarray], epochs: int, seed: int) -> dict:
+def train(m: dict, leaves: list[np.ndarray], epochs: int, seed: int) -> dict:
     """The model after ``epochs`` of Adam over the sequences."""
-    inputs, targets, scored, _ = windows(classes)
+    inputs, targets, scored, _ = windows(leaves)
     m = {k: v.astype(np.float32) for k, v in m.items()}
     first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
-    r, step, batch = np.random.default_rng(seed), 0, 48
-    total = epochs * -(-len(inputs) // batch)
+    r, step = np.random.default_rng(seed), 0
+    total = epochs * -(-len(inputs) // BATCH)
     for _ in range(epochs):
         order = r.permutation(len(inputs))
-        for b in range(0, len(order), batch):
-            pick = order[b:b + batch]
-            logits, state = forward(m, inputs[pick])
-            p = np.exp(np.minimum(logits, 60))
-            p /= p.sum(axis=2, keepdims=True)
-            np.put_along_axis(p, targets[pick][:, :, None], np.take_along_axis(p, targets[pick][:, :, None], 2) - 1, 2)
-            p *= scored[pick][:, :, None] / max(1, scored[pick].sum())
+        for b in range(0, len(order), BATCH):
+            pick = order[b:b + BATCH]
+            z, state = hidden(m, inputs[pick])
+            dz = np.zeros_like(z)
+            _, dz[scored[pick]], grads = log_likelihood(m, z[scored[pick]], targets[pick][scored[pick]], True)
+            grads |= backward(m, inputs[pick], state, dz)
+            down = np.float32(-1 / max(1, scored[pick].sum()))
             step += 1
             rate = RATE * (1 - 0.9 * step / total)
-            for k, g in backward(m, inputs[pick], state, p.astype(np.float32)).items():
+            for k, g in grads.items():
+                g = g * down
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
                 m[k] -= (rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
     return m
 
 
-def score(m: dict, classes: list[np.ndarray]) -> np.ndarray:
-    """Log10 probability of each class sequence."""
-    inputs, targets, scored, doc = windows(classes)
-    out = np.zeros(len(doc))
+def score(m: dict, leaves: list[np.ndarray]) -> np.ndarray:
+    """Log10 probability of each leaf sequence."""
+    inputs, targets, scored, doc = windows(leaves)
+    out = np.zeros(len(leaves))
     for b in range(0, len(doc), CHUNK):
-        logits = forward(m, inputs[b:b + CHUNK])[0]
-        got = np.take_along_axis(logits, targets[b:b + CHUNK][:, :, None], 2)[:, :, 0]
-        np.exp(np.minimum(logits, 60, out=logits), out=logits)
-        got = np.minimum(got, 60) - np.log(_dense(logits, np.ones((CLASSES, 1), logits.dtype))[:, :, 0])
-        out[b:b + CHUNK] = np.where(scored[b:b + CHUNK], got, 0).sum(axis=1, dtype=np.float64)
-    return np.bincount(doc, weights=out, minlength=len(classes)) / np.log(10)
+        at = scored[b:b + CHUNK]
+        got = log_likelihood(m, hidden(m, inputs[b:b + CHUNK])[0][at], targets[b:b + CHUNK][at])[0]
+        out += np.bincount(np.repeat(doc[b:b + CHUNK], at.sum(axis=1)), weights=got, minlength=len(leaves))
+    return out / np.log(10)
 
 
 def _flat(m: dict) -> list[float]:
@@ -245,18 +286,18 @@ def _subword_counts(counts: DataFrame, path: str) -> np.ndarray:
     return out
 
 
-def class_table(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class of each id, log10 probability of the id within it, log frequency of the classes) from id counts."""
+def leaf_table(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(leaf of each id, log10 probability of the id within it, share of the leaves) from id counts."""
     smooth = n + 0.5
     order = np.argsort(-smooth, kind="stable")
     order = np.concatenate([[END], order[order != END]])
-    of = np.zeros(len(n), np.int64)
-    of[order[:SINGLES]] = np.arange(SINGLES)
-    rest = order[SINGLES:]
+    of, singles = np.zeros(len(n), np.int64), LEAVES - BINS
+    of[order[:singles]] = np.arange(singles)
+    rest = order[singles:]
     mass = np.cumsum(smooth[rest])
-    of[rest] = SINGLES + np.minimum((mass - smooth[rest]) / mass[-1] * (CLASSES - SINGLES), CLASSES - SINGLES - 1).astype(np.int64)
-    total = np.maximum(np.bincount(of, weights=smooth, minlength=CLASSES), 1e-9)
-    return of, np.log10(smooth / total[of]), np.log(total / total.sum())
+    of[rest] = singles + np.minimum((mass - smooth[rest]) / mass[-1] * BINS, BINS - 1).astype(np.int64)
+    total = np.maximum(np.bincount(of, weights=smooth, minlength=LEAVES), 1e-9)
+    return of, np.log10(smooth / total[of]), total / total.sum()
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -270,8 +311,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     floor = 0.5 * (distinct + 1) + total
     hot = counts.orderBy(F.desc("c"), "word").limit(HOT_WORDS).toArrow()
     hot_words, hot_logs = hot.column("word").to_pylist(), np.append(np.log10((np.array(hot.column("c").to_pylist(), float) + 0.5) / floor), 0.0)
-    of, within, frequency = class_table(_subword_counts(counts, path))
-    of8, model = of.astype(np.uint8), new_model(frequency)
+    of, within, frequency = leaf_table(_subword_counts(counts, path))
+    of, model = of.astype(np.uint16), new_model(frequency)
 
     sample = learn.select("text", F.xxhash64("id", "text", F.lit(23)).alias("h")).where(F.pmod("h", F.lit(TRAIN_SHARE)) == 0)
     sample = staged(sample, "lm-sample")
@@ -311,7 +352,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
                     tail = Counter(rest)
                     code = np.frombuffer(b"".join(chain(ids.of(w), (end,))), "<u2")
                     rows.append((len(w) + 1, len(w) + 1 - len(rest), float(hot_logs[at].sum()) + (end_log or 0.0), list(tail.keys()), list(tail.values())))
-                    seqs.append(of8[code])
+                    seqs.append(of[code])
                     extra.append(within[code].sum())
                 lm = score(model, seqs) + np.array(extra)
                 n, known, base, tails, times = zip(*rows)

@@ -167,20 +167,44 @@ def test_lm(docs, empty):
 
 
 def test_model_gradient():
-    lm_model = {k: v.astype(float) for k, v in lm.new_model(np.zeros(lm.CLASSES)).items()}
-    inp = np.random.default_rng(0).integers(0, lm.CLASSES, (2, lm.WINDOW))
-    logits, state = lm.forward(lm_model, inp)
-    grads = lm.backward(lm_model, inp, state, np.ones_like(logits) * logits)
-    for k in ("q", "k", "v", "o", "w1", "w2", "out", "emb", "pos"):
+    r = np.random.default_rng(0)
+    lm_model = {k: v.astype(float) for k, v in lm.new_model(r.random(lm.LEAVES) + 0.1).items()}
+    inp, targets = r.integers(0, lm.LEAVES, (2, lm.WINDOW)), r.integers(0, lm.LEAVES, 2 * lm.WINDOW)
+    flat = lambda z: z.reshape(-1, lm.WIDTH)
+    z, state = lm.hidden(lm_model, inp)
+    _, dz, grads = lm.log_likelihood(lm_model, flat(z), targets, True)
+    grads |= lm.backward(lm_model, inp, state, dz.reshape(z.shape))
+    assert grads.keys() == lm_model.keys()
+    for k in grads:
         at = np.unravel_index(np.abs(grads[k]).argmax(), grads[k].shape)
         step = []
         for d in (1e-5, -1e-5):
             m = {n: v.copy() for n, v in lm_model.items()}
             m[k][at] += d
-            step.append((lm.forward(m, inp)[0] ** 2).sum() / 2)
+            step.append(lm.log_likelihood(m, flat(lm.hidden(m, inp)[0]), targets)[0].sum())
         assert grads[k][at] == pytest.approx((step[0] - step[1]) / 2e-5, rel=1e-3), k
 
 
+def test_model_is_a_distribution():
+    """The probabilities of all leaves at a place sum to one, and a later id does not change an earlier score."""
+    r = np.random.default_rng(3)
+    m = lm.new_model(r.random(lm.LEAVES) + 0.1)
+    z = lm.hidden(m, r.integers(0, lm.LEAVES, (1, lm.WINDOW)))[0][0, 5]
+    assert np.exp(lm.log_likelihood(m, np.tile(z, (lm.LEAVES, 1)), np.arange(lm.LEAVES))[0]).sum() == pytest.approx(1, rel=1e-9)
+    seq = r.integers(0, lm.LEAVES, 3 * lm.WINDOW)
+    parts = [lm.score(m, [seq[:k]])[0] for k in range(1, len(seq) + 1)]
+    assert all(b < a for a, b in zip(parts, parts[1:])) and lm.score(m, [seq, seq[:7]]) == pytest.approx([parts[-1], parts[6]], rel=1e-9)
+
+
+def test_model_beats_base_score(spark):
+    """On held-out texts with regular word order the model scores above the unigram base."""
+    r = np.random.default_rng(9)
+    names = [f"{a}{b}" for a in ("stone", "river", "north", "green", "black") for b in ("field", "wood", "gate", "house")]
+    text = lambda: " ".join(names[(k + j) % 20] for k in r.integers(0, 20, 40) for j in range(4))
+    rows = lm.scored(spark.createDataFrame([(i, text()) for i in range(1500)], "doc_id long, text string").repartition(4)).where("held_out").collect()
+    assert len(rows) > 200 and sum(x["score"] for x in rows) > sum(x["base_score"] for x in rows)
+
+
 def test_mixing(docs, empty):
     got = mixing.taken(docs).collect()
     assert mixing.taken(empty).count() == 0 and mixing.mixed(empty).count() == 0 and len(got) == docs.count()
