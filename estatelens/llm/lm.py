@@ -45,7 +45,7 @@ GROUP_DOCS = 256
 ROUNDS = 2
 EPOCHS = 1
 RATE = 0.03
-BATCH = 96  # windows of a training step
+BATCH = 160  # windows of a training step
 CLASSES, MEMBERS = 32, 32
 LEAVES, BINS = CLASSES * MEMBERS, 16
 WIDTH, HIDDEN = 24, 24
