@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,16 +44,19 @@ TRAIN_SHARE = 32
 GROUP_DOCS = 256
 ROUNDS = 2
 EPOCHS = 1
-RATE = 0.03
+RATE = 0.04
 BATCH = 160  # windows of a training step
 CLASSES, MEMBERS = 32, 32
 LEAVES, BINS = CLASSES * MEMBERS, 16
-WIDTH, HIDDEN = 24, 24
+WIDTH, HIDDEN = 16, 32
 WINDOW, STRIDE = 20, 16
 CHUNK = 512  # windows that are scored at once
 VOCABULARY = 50_257
 END = VOCABULARY  # one id past the vocabulary
+END_BYTES = np.array([END], "<u2").tobytes()
 CACHE_WORDS = 300_000
+CACHE_BYTES = 1 << 24
+BLOCK_CHARS = 1 << 20  # text that is scored at once
 
 
 def vocabulary() -> str:
@@ -94,6 +97,62 @@ class Subwords:
         return got
 
 
+class _Numbered(dict):
+    """Numbers of words; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class WordRows:
+    """Row numbers of words and the ids of each row, for the time of a task: first the most frequent words, then those that
+    occur. Rows beyond the frequent ones are forgotten between blocks once they take over ``CACHE_WORDS`` entries or ``CACHE_BYTES``."""
+
+    def __init__(self, hot: list[bytes], ids: Subwords):
+        self.hot, self.ids = hot, ids
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number, self.bytes = _Numbered(zip(self.hot, range(len(self.hot)))), 0
+        self.size, self.start, self.codes = np.full(len(self.hot), -1, np.int64), np.zeros(len(self.hot), np.int64), np.zeros(0, "<u2")
+
+    def of(self, many: list[bytes]) -> np.ndarray:
+        if len(self.number) > len(self.hot) + CACHE_WORDS or self.bytes > CACHE_BYTES:
+            self._clear()
+        rows = np.fromiter(map(self.number.__getitem__, many), np.int64, len(many))
+        grown = len(self.number) - len(self.size)
+        self.size, self.start = np.append(self.size, np.full(grown, -1)), np.append(self.start, np.zeros(grown, np.int64))
+        need, where = np.unique(np.where(self.size[rows] < 0, rows, -1), return_index=True)
+        need, where = need[need >= 0], where[need >= 0]
+        if len(need):
+            names = [many[i] for i in where]
+            parts = [p if w else END_BYTES for w, p in zip(names, self.ids.of(names))]
+            self.size[need] = sizes = np.array([len(p) // 2 for p in parts])
+            self.start[need] = len(self.codes) + np.cumsum(sizes) - sizes
+            self.codes = np.append(self.codes, np.frombuffer(b"".join(parts), "<u2"))
+            self.bytes += sum(len(w) for w, r in zip(names, need) if r >= len(self.hot))
+        return rows
+
+    def sequence(self, rows: np.ndarray) -> np.ndarray:
+        """The ids of all rows, one after another."""
+        n = self.size[rows]
+        return self.codes[np.arange(n.sum()) + np.repeat(self.start[rows] - np.cumsum(n) + n, n)]
+
+
+def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``BLOCK_CHARS`` characters, one text at least."""
+    begin = held = 0
+    for i, t in enumerate(texts):
+        size = len(t or "") + 64
+        if i > begin and held + size > BLOCK_CHARS:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if texts:
+        yield begin, len(texts)
+
+
 def new_model(frequency: np.ndarray) -> dict[str, np.ndarray]:
     """Initial weights; the biases give each leaf its frequency."""
     r = np.random.default_rng(5)
@@ -336,28 +395,25 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     model = {k: v.astype(np.float32) for k, v in model.items()}
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, ids = dict(zip(hot_words, range(len(hot_words)))), Subwords(path)
-        missing, end = len(hot_words), np.array([END], "<u2").tobytes()
-        end_log = hot_logs[place[b""]] if b"" in place else None
+        table, missing = WordRows(hot_words, Subwords(path)), len(hot_words)
         for b in batches:
             texts = b.column(1).to_pylist()
-            for a in range(0, len(texts), 256):
-                rows, seqs, extra = [], [], []
-                for t in texts[a:a + 256]:
-                    w = words(t)
-                    at = np.fromiter(map(place.get, w, repeat(missing)), np.int64, len(w))
-                    rest = [w[i] for i in np.flatnonzero(at == missing)]
-                    if end_log is None:
-                        rest.append(b"")
-                    tail = Counter(rest)
-                    code = np.frombuffer(b"".join(chain(ids.of(w), (end,))), "<u2")
-                    rows.append((len(w) + 1, len(w) + 1 - len(rest), float(hot_logs[at].sum()) + (end_log or 0.0), list(tail.keys()), list(tail.values())))
-                    seqs.append(of[code])
-                    extra.append(within[code].sum())
-                lm = score(model, seqs) + np.array(extra)
-                n, known, base, tails, times = zip(*rows)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, len(rows)), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(lm, pa.float64()),
-                                                  pa.array(tails, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))], names=["id", "n_tokens", "known", "base", "score", "tail", "times"])
+            for first, last in blocks(texts):
+                lists = [[*words(t), b""] for t in texts[first:last]]
+                n = np.array([len(x) for x in lists])
+                heads = np.cumsum(n) - n
+                flat = list(chain.from_iterable(lists))
+                rows = table.of(flat)
+                rare = np.flatnonzero(rows >= missing)
+                cuts = np.searchsorted(rare, np.append(heads, len(flat)))
+                tails = [Counter([flat[i] for i in rare[u:v]]) for u, v in zip(cuts, cuts[1:])]
+                code, ends = table.sequence(rows), np.cumsum(np.add.reduceat(table.size[rows], heads))
+                begins = np.append(0, ends[:-1])
+                lm = score(model, np.split(of[code], begins[1:])) + np.add.reduceat(within[code], begins)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(n, pa.int64()), pa.array(n - np.diff(cuts), pa.int64()),
+                                                  pa.array(np.add.reduceat(hot_logs[np.minimum(rows, missing)], heads), pa.float64()), pa.array(lm, pa.float64()),
+                                                  pa.array([list(t.keys()) for t in tails], pa.list_(pa.binary())), pa.array([list(t.values()) for t in tails], pa.list_(pa.int64()))],
+                                                 names=["id", "n_tokens", "known", "base", "score", "tail", "times"])
 
     kind = own.schema["id"].dataType.simpleString()
     rows = own.mapInArrow(judged, f"id {kind}, n_tokens long, known long, base double, score double, tail array<binary>, times array<long>")
