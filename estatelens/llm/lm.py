@@ -45,7 +45,7 @@ GROUP_DOCS = 256
 ROUNDS = 2
 EPOCHS = 1
 RATE = 0.04
-BATCH = 160  # windows of a training step
+STEPS, BATCH = 128, 160  # a group trains by about as many steps at least, on as many windows a step at most
 CLASSES, MEMBERS = 32, 32
 LEAVES, BINS = CLASSES * MEMBERS, 16
 WIDTH, HIDDEN = 16, 32
@@ -273,11 +273,12 @@ def train(m: dict, leaves: list[np.ndarray], epochs: int, seed: int) -> dict:
     m = {k: v.astype(np.float32) for k, v in m.items()}
     first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
     r, step = np.random.default_rng(seed), 0
-    total = epochs * -(-len(inputs) // BATCH)
+    batch = int(np.clip(len(inputs) // STEPS, 16, BATCH))
+    total = epochs * -(-len(inputs) // batch)
     for _ in range(epochs):
         order = r.permutation(len(inputs))
-        for b in range(0, len(order), BATCH):
-            pick = order[b:b + BATCH]
+        for b in range(0, len(order), batch):
+            pick = order[b:b + batch]
             z, state = hidden(m, inputs[pick])
             dz = np.zeros_like(z)
             _, dz[scored[pick]], grads = log_likelihood(m, z[scored[pick]], targets[pick][scored[pick]], True)
