@@ -9,10 +9,10 @@ training corpus through the word counts. The most frequent ids are leaves of the
 frequency into ``BINS`` leaves. Leaves form ``CLASSES`` classes of ``MEMBERS``, and
 P(id | context) = P(class | context) * P(leaf | class, context) * P(id | leaf): the first two factors come from one
 causal self-attention block by a softmax over the classes and one over the members of the class at hand, which costs
-``CLASSES`` + ``MEMBERS`` terms an id and not their product; the third comes from smoothed counts. Training runs on one
-in ``TRAIN_SHARE`` training documents, dealt by hash to groups of about ``GROUP_DOCS``; a task trains a copy of the model
-on each group, copies are averaged by their tokens, ``ROUNDS`` times. Work and what is gathered grow with the corpus;
-what the driver sees is the size of the model and the vocabulary.
+``CLASSES`` + ``MEMBERS`` terms an id and not their product; the third comes from smoothed counts. Training runs on all
+training documents, each in one of ``ROUNDS`` rounds and there in one group of about ``GROUP_DOCS``, dealt by hash; in a
+round a task trains a copy of the model on each group, and copies are averaged by their tokens. Work and what is gathered
+grow with the corpus; what the driver sees is the size of the model and the vocabulary.
 
 Scoring cuts a text into windows of ``WINDOW`` ids that overlap by ``WINDOW`` - ``STRIDE``; a window scores the ids that
 the one before did not reach, under masked attention in batches, so that each id counts once.
@@ -40,7 +40,6 @@ from .tokens import process_store
 ship(__name__)
 
 HOT_WORDS = 200_000
-TRAIN_SHARE = 32
 GROUP_DOCS = 256
 ROUNDS = 2
 EPOCHS = 1
@@ -360,6 +359,13 @@ def leaf_table(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of, np.log10(smooth / total[of]), total / total.sum()
 
 
+def dealt_out(learn: DataFrame, n: int) -> DataFrame:
+    """All ``n`` training documents with hash ``h``, round ``turn`` and group ``g`` within the round."""
+    h = F.xxhash64("id", "text", F.lit(23))
+    groups = max(1, round(n / ROUNDS / GROUP_DOCS))
+    return learn.select("text", h.alias("h"), F.pmod(h, F.lit(ROUNDS)).alias("turn"), F.pmod(F.shiftright(h, 8), F.lit(groups)).alias("g"))
+
+
 def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     path = path or vocabulary()
@@ -374,9 +380,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     of, within, frequency = leaf_table(_subword_counts(counts, path))
     of, model = of.astype(np.uint16), new_model(frequency)
 
-    sample = learn.select("text", F.xxhash64("id", "text", F.lit(23)).alias("h")).where(F.pmod("h", F.lit(TRAIN_SHARE)) == 0)
-    sample = staged(sample, "lm-sample")
-    groups = max(1, round(sample.count() / GROUP_DOCS))
+    dealt = dealt_out(learn, sum(r["c"] for r in counts.where(F.length("word") == 0).collect()))
 
     def sequences(texts, ids: Subwords) -> list[np.ndarray]:
         return [np.append(of[np.frombuffer(b"".join(ids.of(words(t))), "<u2")], of[END]) for t in texts]
@@ -389,7 +393,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
         return learnt
 
     for turn in range(ROUNDS):
-        copies = sample.withColumn("g", F.pmod(F.shiftright("h", 8), F.lit(groups))).groupBy("g").applyInPandas(learner(model, turn), "w array<double>, n double")
+        copies = dealt.where(F.col("turn") == turn).groupBy("g").applyInPandas(learner(model, turn), "w array<double>, n double")
         mean = copies.select(F.posexplode("w").alias("i", "x"), "n").groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).orderBy("i").collect()  # one row per weight
         if mean:
             model = _shaped(np.array([r["x"] for r in mean]), model)

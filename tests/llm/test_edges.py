@@ -205,6 +205,21 @@ def test_model_beats_base_score(spark):
     assert len(rows) > 200 and sum(x["score"] for x in rows) > sum(x["base_score"] for x in rows)
 
 
+def test_model_learns_from_every_training_document(spark, monkeypatch, tmp_path):
+    folder = str(tmp_path)
+
+    def noted(m, leaves, epochs, seed):
+        import uuid
+
+        open(f"{folder}/{len(leaves)}-{uuid.uuid4()}", "w").close()
+        return m
+
+    monkeypatch.setattr(lm, "train", noted)
+    rows = [(i, f"text number {i}") for i in range(1500)]
+    lm.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).count()
+    assert sum(int(p.name.split("-")[0]) for p in tmp_path.iterdir()) == sum(zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows)
+
+
 def test_mixing(docs, empty):
     got = mixing.taken(docs).collect()
     assert mixing.taken(empty).count() == 0 and mixing.mixed(empty).count() == 0 and len(got) == docs.count()
