@@ -2,10 +2,13 @@
 
 Base spans are the matches of fixed formats that pass their checks. Beside them, every token of ``MIN_CHARS`` or more
 key characters is scored by two first-order Markov models of characters: one of random strings, learnt from the values
-that base spans hold, and one of ordinary identifiers, learnt from the tokens outside base spans. The score is the mean
-log-likelihood ratio per transition. The limit is calibrated on held-out tokens (one distinct string in ``HELD_OUT``):
-at most ``FALSE_SHARE`` of the ordinary ones may pass it. Tokens above it that overlap no base span become spans of kind
-``random``.
+that base spans hold, as they are and in upper and lower case, and one of ordinary identifiers, learnt from the tokens outside base spans. The score is the mean
+log-likelihood ratio per transition. Tokens above ``LIMIT`` that overlap no base span become spans of kind ``random``.
+
+Secrets without a format stand among the tokens outside base spans, so the identifier model is learnt in ``TURNS`` turns:
+each leaves out the tokens above the limit by the turn before. A token that was learnt from is judged there with its own
+transitions taken out of the counts (one of each), else its model would call it ordinary because it holds it. The limit
+is a fixed ratio, so the number of secrets in a corpus does not move it.
 
 Texts are scanned once, in column expressions; the models are counts of at most 128 x 128 transitions, summed over all
 distinct labelled strings.
@@ -28,8 +31,8 @@ from .spans import apart, kept, matches, ordered, written
 KINDS = ("assign", "access", "hex")
 ALL_KINDS = (*KINDS, "random")
 MIN_CHARS = 16
-HELD_OUT = 5
-FALSE_SHARE = 0.001
+LIMIT = 0.0  # a token that the model of random strings explains better
+TURNS = 5
 SMOOTHING = 0.5
 CODES = 128
 
@@ -56,35 +59,57 @@ def _steps(s: Column) -> Column:
     return F.when(F.length(s) > 1, F.transform(F.sequence(F.lit(2), F.length(s)), lambda i: code(i - 1) * CODES + code(i)))
 
 
-def _ratio(found: DataFrame) -> tuple[list[float], float] | None:
-    """The log-likelihood ratio of each transition and the limit on a string's mean, or None without random samples."""
-    secret = found.select(F.explode("values").alias("s"), F.lit(1).alias("y"))
+def _ratio(found: DataFrame) -> list[float] | None:
+    """The log-likelihood ratio of each transition, or None without random or ordinary samples."""
+    secret = found.select(F.explode("values").alias("s")).select(F.explode(F.array("s", F.upper("s"), F.lower("s"))).alias("s"), F.lit(1).alias("y"))
     plain = found.select("base", F.explode("tokens").alias("x")).where(apart(F.col("x"), F.col("base"))).select(F.col("x.m").alias("s"), F.lit(0).alias("y"))
-    strings = staged(secret.union(plain).groupBy("s").agg(F.max("y").alias("y")).withColumn("held", F.pmod(F.xxhash64("s"), F.lit(HELD_OUT)) == 0), "secret-strings")
-    counts = strings.where(~F.col("held")).select("y", F.explode(_steps(F.col("s"))).alias("step")).groupBy("y", "step").count().collect()  # at most 2 x 128 x 128 rows
-    if {r["y"] for r in counts} != {0, 1}:
-        return None
-    n = {(r["y"], r["step"]): r["count"] for r in counts}
-    rows = {(y, a): sum(n.get((y, a * CODES + b), 0) for b in range(CODES)) for y in (0, 1) for a in range(CODES)}
-    log = lambda y, a, b: math.log((n.get((y, a * CODES + b), 0) + SMOOTHING) / (rows[y, a] + SMOOTHING * CODES))
-    table = [round(log(1, a, b) - log(0, a, b), 6) for a in range(CODES) for b in range(CODES)]
-    limit = strings.where("held and y = 0").select(_mean(F.col("s"), table).alias("r")).agg(F.percentile_approx("r", 1 - FALSE_SHARE, 100_000)).first()[0]
-    return table, max(0.0, limit or 0.0)
+    strings = staged(secret.union(plain).groupBy("s").agg(F.max("y").alias("y")).select("y", _steps(F.col("s")).alias("steps")), "secret-strings")
+    random = _counted(strings.where("y = 1"))
+    ordinary, learnt, table = strings.where("y = 0"), F.lit(True), None
+    for _ in range(TURNS):
+        counts = _counted(ordinary.where(learnt))
+        if not random or not counts:
+            return table
+        table = _table(random, counts)
+        learnt = _mean(F.col("steps"), F.size("steps"), F.when(learnt, _literal(_table(random, counts, 1))).otherwise(_literal(table))) <= LIMIT
+        ordinary = staged(ordinary.select("steps", F.coalesce(learnt, F.lit(True)).alias("learnt")), "secret-ordinary")
+        learnt = F.col("learnt")
+    return table
+
+
+def _counted(strings: DataFrame) -> dict[int, int]:
+    return {r["step"]: r["count"] for r in strings.select(F.explode("steps").alias("step")).groupBy("step").count().collect()}  # at most 128 x 128 rows
+
+
+def _table(random: dict[int, int], ordinary: dict[int, int], without: int = 0) -> list[float]:
+    """Log-likelihood ratio of each transition; ``without`` ordinary samples of it."""
+    def logs(n: dict[int, int], less: int) -> list[float]:
+        out = []
+        for a in range(CODES):
+            row = [n.get(a * CODES + b, 0) for b in range(CODES)]
+            total = max(0, sum(row) - less) + SMOOTHING * CODES
+            out += [math.log((max(0, c - less) + SMOOTHING) / total) for c in row]
+        return out
+
+    return [round(y - x, 6) for y, x in zip(logs(random, 0), logs(ordinary, without))]
+
+
+def _literal(table: list[float]) -> Column:
+    return F.split(F.lit(" ".join(map(repr, table))), " ").cast("array<double>")  # folded to one literal
 
 
-def _mean(s: Column, table: list[float]) -> Column:
-    values = F.expr(f"array({','.join(f'{v!r}D' for v in table)})")  # folded to one literal
-    return F.aggregate(_steps(s), F.lit(0.0), lambda a, step: a + F.element_at(values, step + 1)) / (F.length(s) - 1)
+def _mean(steps: Column, n: Column, values: Column) -> Column:
+    return F.aggregate(steps, F.lit(0.0), lambda a, step: a + F.element_at(values, step + 1)) / n
 
 
 def detected(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, ``base`` and ``spans`` as arrays of (s, k, e) with k the
     place in ``ALL_KINDS``."""
     found = _scanned(docs, id_col, text)
-    ratio, spans = _ratio(found), F.col("base")
-    if ratio:
-        table, limit = ratio
-        more = F.filter("tokens", lambda x: apart(x, F.col("base")) & (_mean(x["m"], table) > limit))
+    table, spans = _ratio(found), F.col("base")
+    if table:
+        values = _literal(table)
+        more = F.filter("tokens", lambda x: apart(x, F.col("base")) & (_mean(_steps(x["m"]), F.length(x["m"]) - 1, values) > LIMIT))
         spans = F.sort_array(F.concat("base", F.transform(more, lambda x: F.struct(x["s"].alias("s"), F.lit(len(KINDS)).alias("k"), x["e"].alias("e")))))
     return found.select(F.col("id").alias(id_col), *[f"n_{k}" for k in KINDS], "base", spans.alias("spans"))
 

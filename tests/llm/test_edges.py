@@ -59,6 +59,21 @@ def test_pii_and_secrets(docs, empty):
         assert module.digest(module.detected(empty)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.01, 0.1])
+def test_bare_keys_are_found_however_many_they_are(spark, share):
+    """Random strings without a format among distinct ordinary tokens, of which they are ``share``."""
+    r = np.random.default_rng(11)
+    drawn = lambda chars, n: "".join(r.choice(list(chars), n))
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = ["stone", "river", "north", "green", "black", "field", "wood", "gate", "house", "light", "under", "ation", "ment", "lich", "keit"]
+    names = ["".join(r.choice(parts, 5)) for _ in range(1000)]
+    bare = [drawn(b62, 32) for _ in range(int(1000 * share))]
+    texts = [f"see {n} here" for n in names + bare] + [f'token = "{drawn(b62, 40)}"' for _ in range(120)]
+    found = secrets.digest(secrets.detected(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()
+    flagged = {r["doc_id"] for r in found if "random" in r["spans"]}
+    assert len(flagged & set(range(1000, 1000 + len(bare)))) >= 0.9 * len(bare) and len(flagged & set(range(1000))) <= 1
+
+
 def luhn(m):
     d = [int(c) for c in m.group() if c.isdigit()][::-1]
     return 12 <= len(d) <= 19 and sum(v if i % 2 == 0 else sum(divmod(2 * v, 10)) for i, v in enumerate(d)) % 10 == 0
