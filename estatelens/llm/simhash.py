@@ -36,6 +36,7 @@ NODE_LIMIT = 4096
 LEVELS = 3
 FANOUT = 32
 SEED = 42
+PAIRS = 1 << 17
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -81,8 +82,24 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return r
 
 
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Component labels (smallest positions) after links between a and b."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        np.minimum.at(label, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def node_links(members: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges (centre, member) of the components that the links among ``members`` form."""
+    """Star edges (centre, member) of the components that the links among ``members`` form.
+
+    At most ``PAIRS`` pairs of query and run are open at a time, and a run whose members all belong to the query's
+    component already is not entered, so a node full of near copies costs little more than linking them once.
+    """
     x = np.unique(members.astype(np.uint64))
     x = x[np.argsort(gray_rank(x), kind="stable")]
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -94,31 +111,33 @@ def node_links(members: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarra
         shared = np.bitwise_and.reduceat(mask, heads) & (every | ~some)
         tree.append((shared, every & shared))
     label = np.arange(len(x))
-    for at in range(0, len(x), 512):
-        query = np.arange(at, min(len(x), at + 512))
-        top = len(tree[-1][1])
-        q, node = np.repeat(query, top), np.tile(np.arange(top), len(query))
-        fixed, acc = np.zeros(len(q), np.uint64), np.zeros(len(q), np.int64)
-        for depth in range(len(tree) - 1, -1, -1):
+    at, step = 0, FANOUT
+    while at < len(x):
+        low, high = [label], [label]  # smallest and largest label below each run
+        for _, pattern in tree[1:]:
+            heads = np.arange(0, len(low[-1]), FANOUT)
+            low, high = [*low, np.minimum.reduceat(low[-1], heads)], [*high, np.maximum.reduceat(high[-1], heads)]
+        query = np.arange(at, min(len(x), at + step))
+        top = np.arange(len(tree[-1][1]))
+        q = np.repeat(query, len(top))
+        open_runs = [(len(tree) - 1, q, np.tile(top, len(query)), np.zeros(len(q), np.uint64), np.zeros(len(q), np.int64))]
+        while open_runs:
+            depth, q, node, fixed, acc = open_runs.pop()
             mask, pattern = tree[depth]
             acc = acc + np.bitwise_count((x[q] ^ pattern[node]) & mask[node] & ~fixed)
-            near = acc <= max_bits
+            near = (acc <= max_bits) & ~((low[depth][node] == label[q]) & (high[depth][node] == label[q]))
             q, node, acc = q[near], node[near], acc[near]
-            fixed = mask[node]
-            if depth:
-                below = len(tree[depth - 1][1])
-                q, acc, fixed = (np.repeat(v, FANOUT) for v in (q, acc, fixed))
-                node = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                real = node < below
-                q, node, acc, fixed = q[real], node[real], acc[real], fixed[real]
-        while True:
-            a, b = label[q], label[node]
-            apart = a != b
-            if not apart.any():
-                break
-            np.minimum.at(label, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-            while (label[label] != label).any():
-                label = label[label]
+            if not depth:
+                label = _joined(label, q, node)
+                continue
+            below = len(tree[depth - 1][1])
+            for k in range(0, len(q), PAIRS // FANOUT):
+                part = slice(k, k + PAIRS // FANOUT)
+                child = (node[part][:, None] * FANOUT + np.arange(FANOUT)).ravel()
+                real = child < below
+                more = [np.repeat(v, FANOUT)[real] for v in (q[part], mask[node[part]], acc[part])]
+                open_runs.append((depth - 1, more[0], child[real], more[1], more[2]))
+        at, step = at + step, min(2 * step, 512)
     moved = label != np.arange(len(x))
     return x[label[moved]].astype(np.int64), x[moved].astype(np.int64)
 
