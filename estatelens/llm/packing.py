@@ -1,8 +1,9 @@
 """Packing token sequences by cutting-stock column generation.
 
 Documents are tokenised in Arrow batches and cut into full sequences and one remainder each. Remainders are classed by
-length in steps of ``UNIT`` tokens. Over the histogram of classes (at most ``CAPACITY`` / ``UNIT`` numbers, whatever the
-data) a linear program chooses how often to use which pattern of classes; a knapsack dynamic program over the duals
+length in steps of ``UNIT`` tokens; those of up to ``SHORT`` tokens by their exact length, and a cutting-stock program of its own
+puts them into bundles of up to ``BUNDLE`` tokens, which go on as pieces. Over the histogram of classes (at most
+``CAPACITY`` / ``UNIT`` numbers, whatever the data) a linear program chooses how often to use which pattern of classes; a knapsack dynamic program over the duals
 prices new patterns until none improves. Solutions are rounded down and what is left is packed first-fit decreasing.
 The pieces of a class are ranked in hash order, in parts, and a rank gives the pattern, its copy and the place in it.
 
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ ship(__name__)
 
 CAPACITY = 2048
 UNIT = 8
+SHORT = 64
+BUNDLE = 512
 END_ID = 1
 GAP = 1e-3  # the linear program is solved to this distance from its bound
 BATCH_CHARS = 4_000_000
@@ -70,23 +73,31 @@ def tokenized(docs: DataFrame, id_col: str, text: str, path: str, capacity: int,
 
 
 def _best_pattern(value: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The most valuable multiset of sizes within the capacity (unbounded knapsack)."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    """The most valuable multiset of sizes within the capacity (unbounded knapsack).
+
+    A size that smaller ones fill at no less value is never used, so only the few others are tried at each capacity.
+    """
+    best, choice, useful = [0.0] * (capacity + 1), [-1] * (capacity + 1), []
+    at = {s: k for k, s in enumerate(sizes.tolist())}
+    worth = value.tolist()
     for c in range(1, capacity + 1):
-        best[c], choice[c] = best[c - 1], -1
-        fits = sizes <= c
-        if fits.any():
-            total = value[fits] + best[c - sizes[fits]]
-            i = int(np.argmax(total))
-            if total[i] > best[c] + 1e-12:
-                best[c], choice[c] = total[i], np.flatnonzero(fits)[i]
+        top, by = best[c - 1] + 1e-12, -1
+        for s, v, k in useful:
+            total = v + best[c - s]
+            if total > top:
+                top, by = total, k
+        k = at.get(c)
+        if k is not None and worth[k] > top:
+            top, by = worth[k], k
+            useful.append((c, worth[k], k))
+        best[c], choice[c] = (top, by) if by >= 0 else (best[c - 1], -1)
     pattern, c = np.zeros(len(sizes), np.int64), capacity
     while c > 0:
         if choice[c] < 0:
             c -= 1
         else:
             pattern[choice[c]] += 1
-            c -= sizes[choice[c]]
+            c -= int(sizes[choice[c]])
     return pattern
 
 
@@ -132,26 +143,48 @@ def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int,
     return [({int(sizes[i]): int(p[i]) for i in np.flatnonzero(p)}, n) for p, n in out]
 
 
-def packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` (little-endian
-    unsigned 32-bit) with ``with_ids``."""
-    spark = docs.sparkSession
-    pieces = tokenized(docs, id_col, text, path or vocabulary(), capacity, with_ids)
-    pieces = staged(pieces.withColumn("_class", F.ceil(F.col("length") / UNIT).cast("int")).withColumn("_mix", F.xxhash64("id", "start", "ids_crc32")), "pack-pieces")
-    demand = {r["_class"]: r["n"] for r in pieces.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity / UNIT rows
+def _plan(demand: dict[int, int], capacity: int) -> tuple[dict[int, list], int]:
+    """For each size the ranges of ranks (first, last, per bin, first bin), and the number of bins."""
     plan: dict[int, list] = {c: [] for c in demand}
     used, base = dict.fromkeys(demand, 0), 0
-    for pattern, n in cutting_stock(demand, capacity // UNIT):
+    for pattern, n in cutting_stock(demand, capacity):
         for c, per in pattern.items():
             plan[c].append((used[c], used[c] + per * n, per, base))
             used[c] += per * n
         base += n
-    place = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "per", "base")])
-    rules = spark.createDataFrame([(c, p) for c, p in plan.items()], T.StructType([T.StructField("_class", T.IntegerType()), T.StructField("_plan", T.ArrayType(place))]))
+    return plan, base
+
+
+def packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` (little-endian
+    unsigned 32-bit) with ``with_ids``."""
+    spark = docs.sparkSession
+    pieces = tokenized(docs, id_col, text, path or vocabulary(), capacity, with_ids)
+    short = F.col("length") <= SHORT
+    pieces = staged(pieces.withColumn("_class", F.when(short, -F.col("length")).otherwise(F.ceil(F.col("length") / UNIT)).cast("int")).withColumn("_mix", F.xxhash64("id", "start", "ids_crc32")), "pack-pieces")
+    demand = {r["_class"]: r["n"] for r in pieces.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most SHORT + capacity / UNIT rows
+    bundle = min(BUNDLE, capacity) // UNIT
+    inner, bundles = _plan({-c: n for c, n in demand.items() if c < 0}, bundle * UNIT)
+    long = {c: n for c, n in demand.items() if c > 0}
+    own = long.get(bundle, 0)
+    outer, _ = _plan(long | ({bundle: own + bundles} if bundles else {}), capacity // UNIT)
+    place = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "per", "base")]))
+    rules = spark.createDataFrame([(c, inner[-c] if c < 0 else None, outer[bundle if c < 0 else c], own if c < 0 else 0) for c in demand],
+                                  T.StructType([T.StructField("_class", T.IntegerType()), T.StructField("_inner", place), T.StructField("_outer", place), T.StructField("_own", T.LongType())]))
     ranked = running(pieces.withColumn("_part", F.pmod("_mix", F.lit(PARTS))), ["_class"], "_part", ["_mix", "id", "start", "ids_crc32"], {}, "_rank")
     ranked = ranked.join(F.broadcast(rules), "_class")
-    ranked = ranked.withColumn("_p", F.element_at(F.filter("_plan", lambda p: (p["first"] <= F.col("_rank")) & (F.col("_rank") < p["last"])), 1)).withColumn("_k", F.col("_rank") - F.col("_p.first"))
-    ranked = ranked.withColumn("sequence_id", F.col("_p.base") + F.floor(F.col("_k") / F.col("_p.per"))).withColumn("_slot", F.col("_k") % F.col("_p.per"))
-    before = Window.partitionBy("sequence_id").orderBy(F.desc("_class"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
+
+    def placed(plan: str, rank: Column) -> tuple[Column, Column]:
+        """The bin of a rank and the place in it."""
+        at = F.element_at(F.filter(plan, lambda p: (p["first"] <= rank) & (rank < p["last"])), 1)
+        return at["base"] + F.floor((rank - at["first"]) / at["per"]), (rank - at["first"]) % at["per"]
+
+    b, slot = placed("_inner", F.col("_rank"))
+    ranked = ranked.withColumns({"_b": F.when(F.col("_inner").isNotNull(), b), "_slot": slot})
+    ranked = ranked.withColumn("_at", F.coalesce(F.col("_own") + F.col("_b"), F.col("_rank")))
+    sequence, place_in = placed("_outer", F.col("_at"))
+    ranked = ranked.withColumns({"sequence_id": sequence, "_place": place_in})
+    size = F.when(F.col("_class") > 0, F.col("_class")).otherwise(bundle)
+    before = Window.partitionBy("sequence_id").orderBy(F.desc(size), "_place", F.asc("_class"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
     out = ranked.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     return out.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else []))
