@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import types
-
-import numpy as np
+from array import array
 
 from .common import ship
 
@@ -22,15 +21,6 @@ def process_store(name: str) -> dict:
     return store.__dict__.setdefault(name, {})
 
 
-class _Ids(dict):
-    """Ids of pieces as bytes; pieces beyond the cache's bound are held in ``once`` for the batch at hand."""
-
-    once: dict
-
-    def __missing__(self, piece):
-        return self.once[piece]
-
-
 class Encoder:
     """Byte-level BPE ids as little-endian unsigned 32-bit bytes, equal to encoding each text whole.
 
@@ -44,30 +34,32 @@ class Encoder:
         if not kept:
             from tokenizers import Tokenizer
 
-            kept["tokenizer"], kept["ids"] = Tokenizer.from_file(path), _Ids()
+            kept["tokenizer"], kept["ids"] = Tokenizer.from_file(path), {}
         self.tokenizer, self.ids = kept["tokenizer"], kept["ids"]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        split, new, known = [], set(), self.ids.keys()
+        split, found, new = [], [], set()
         for t in texts:
             parts = t.split(" ")
             parts[0] = " " + parts[0]  # no piece holds a blank: this marks the one without a blank before it
+            ids = list(map(self.ids.get, parts))
+            if None in ids:
+                new.update([p for p, v in zip(parts, ids) if v is None])
             split.append(parts)
-            new.update(parts)
-        new -= known
+            found.append(ids)
         odd = {p for p in new if (not p or p[0].isspace() or p[-1].isspace()) and (p[:1] != " " or p != " " and p[-1].isspace())}
         fresh = [p for p in new if p not in odd]
-        self.ids.once = once = dict(zip(fresh, self._encode([p[1:] if p[:1] == " " else " " + p for p in fresh])))
+        once = dict(zip(fresh, self._encode([p[1:] if p[:1] == " " else " " + p for p in fresh])))
         room = CACHE_WORDS - len(self.ids)
         if room > 0:
             self.ids.update([(p, v) for p, v in once.items() if len(p) <= CACHE_CHARS and "\n" not in p][:room])
         out = []
-        for t, parts in zip(texts, split):
+        for t, parts, ids in zip(texts, split, found):
             try:
-                out.append(b"".join(map(self.ids.__getitem__, parts)))
+                out.append(b"".join([once[p] if v is None else v for p, v in zip(parts, ids)] if None in ids else ids))
             except KeyError:  # it holds an odd piece
                 out.append(self._encode([t])[0])
         return out
