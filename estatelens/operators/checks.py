@@ -1,8 +1,12 @@
-"""Data tests: each returns the failing rows as a (lazy) DataFrame; ``run_checks`` summarises them.
+"""Data tests: the failing rows of one test as a (lazy) DataFrame, and a whole suite compiled to one aggregate per model.
 
 Generic tests (unique, not null, relationships, accepted values, expression, unique combination,
-optional ``where`` pre-filter) and a severity per check (``error`` / ``warn``). Failing-row frames
-stay lazy; the summary is a union of one-row counts, each a partial aggregate.
+optional ``where`` pre-filter) and a severity per check (``error`` / ``warn``).
+
+``run_declared`` counts all declared tests of a model in one pass over it: row conditions become filtered counts,
+relationships a left join with each parent's distinct keys and a count of the rows without a partner (small parents are
+broadcast by their measured size, larger ones shuffle). Only uniqueness needs the model's own rows shuffled: the keys of
+all unique tests of a model are stacked and counted in one group-by.
 """
 
 from __future__ import annotations
@@ -51,25 +55,73 @@ def unique_combination(df: DataFrame, cols: Sequence[str], where: str | None = N
             .filter(F.col("n_records") > 1))
 
 
-@dataclass
-class Check:
+@dataclass(frozen=True)
+class Declared:
+    """A test as declared for a model. ``expression`` is what must hold; frames of failing rows come with the run."""
     name: str
     model: str
-    column: str | None
-    failing: DataFrame
+    columns: tuple[str, ...] = ()
+    to: str | None = None
+    field: str | None = None
+    values: tuple = ()
+    expression: str | None = None
+    where: str | None = None
     severity: str = "error"
 
-
-def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: failures, severity and status (pass / warn / fail)."""
+    @property
+    def column(self) -> str | None:
+        return self.columns[0] if len(self.columns) == 1 else None
+
+
+def _model_counts(df: DataFrame, tests: list[tuple[int, Declared]], models: dict[str, DataFrame]) -> list[DataFrame]:
+    """(test, failures) frames of one model."""
+    counts, stacked = [], []
+    for i, t in tests:
+        here = F.expr(f"coalesce(({t.where}), false)") if t.where else F.lit(True)
+        col = F.col(t.columns[0]) if t.columns else None
+        if t.name == "not_null":
+            counts.append((i, F.count_if(here & col.isNull())))
+        elif t.name == "accepted_values":
+            counts.append((i, F.count_distinct(F.when(here & ~col.isin(list(t.values)), col))))
+        elif t.name == "relationships":
+            parent = models[t.to].select(F.col(t.field).alias(f"_key{i}")).where(F.col(f"_key{i}").isNotNull()).distinct().withColumn(f"_hit{i}", F.lit(True))
+            df = df.join(parent, df[t.columns[0]] == F.col(f"_key{i}"), "left")
+            counts.append((i, F.count_if(here & df[t.columns[0]].isNotNull() & F.col(f"_hit{i}").isNull())))
+        elif t.name in ("unique", "unique_combination"):
+            counted = here & col.isNotNull() if t.name == "unique" else here
+            stacked.append(F.struct(F.lit(i).alias("test"), F.when(counted, F.to_json(F.struct(*t.columns))).alias("value")))
+        else:
+            counts.append((i, F.count_if(here & ~F.coalesce(F.expr(t.expression), F.lit(False)))))
+    out = []
+    if counts:
+        row = df.agg(*[c.alias(f"c{i}") for i, c in counts])
+        out.append(row.select(F.explode(F.array(*[F.struct(F.lit(i).alias("test"), F.col(f"c{i}").alias("failures")) for i, _ in counts])).alias("r")).select("r.*"))
+    if stacked:
+        values = df.select(F.explode(F.array(*stacked)).alias("r")).select("r.*").where(F.col("value").isNotNull())
+        twice = values.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+        out.append(twice.groupBy("test").agg(F.count(F.lit(1)).alias("failures")))
+    return out
+
+
+def run_declared(tests: Sequence[Declared], models: dict[str, DataFrame], frames: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row per declared test: failures, severity and status (pass / warn / fail).
+
+    ``frames``: failing rows of tests that are queries of their own, by name. Tests on a model, or against a parent,
+    that the run does not have are left out.
+    """
+    frames = frames or {}
+    ready = [(i, t) for i, t in enumerate(tests) if t.name in frames or (t.model in models and (t.to is None or t.to in models) and (t.columns or t.expression))]
     parts = []
-    for c in checks:
-        parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
-            F.lit(c.column).cast("string").alias("column_name"), F.lit(c.severity).alias("severity"),
-            F.col("failures")))
-    out = parts[0]
+    for model in dict.fromkeys(t.model for _, t in ready):
+        own = [(i, t) for i, t in ready if t.model == model and t.name not in frames]
+        if own:
+            parts += _model_counts(models[model], own, models)
+    parts += [frames[t.name].agg(F.count(F.lit(1)).alias("failures")).select(F.lit(i).alias("test"), "failures") for i, t in ready if t.name in frames]
+    spark = next(iter(models.values())).sparkSession
+    listed = spark.createDataFrame([(i, t.name, t.model, t.column, t.severity) for i, t in ready], "test int, check_name string, model string, column_name string, severity string")
+    counted = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
-                          .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+        counted = counted.unionByName(p)
+    failures = F.coalesce("failures", F.lit(0)).cast("long")
+    out = listed.join(counted, "test", "left").select("check_name", "model", "column_name", "severity", failures.alias("failures"))
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))

@@ -1,8 +1,8 @@
 """Type-2 history (check strategy on price + listing status, no hard deletes).
 
-``scd2_apply`` is one snapshot run: open versions FULL OUTER JOIN incoming rows on the key; a version
+``scd2_step`` is one snapshot run: open versions FULL OUTER JOIN incoming rows on the key; a version
 is closed and a new one opened when a checked column changes (null-safe); keys missing from the
-input keep their open version. Both sides are shuffled once on the key.
+input keep their open version. Both sides are shuffled once on the key. ``History`` stores the result.
 
 ``scd2_backfill`` builds the whole history for a date range in one job (no day loop): per listing,
 the daily rows give the state changes directly -- each scrape day sets (price, active); when the
@@ -19,8 +19,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import utc_day
+from ..session import written
 
 ACTIVE, REMOVED = "active", "likely_removed"
 RECENT_DAYS = 2          # active iff collected day >= as_of - 2
@@ -45,25 +47,64 @@ def _changed(a: str, b: str, cols: Sequence[str]) -> Column:
     return ~same
 
 
+def scd2_step(open_: DataFrame | None, current: DataFrame, as_of: dt.date, key: str = "listing_key",
+              check_cols: Sequence[str] = CHECK_COLUMNS) -> DataFrame:
+    """The versions that one run makes of the open ones: one join, and one or two rows for each key."""
+    cols = list(current.columns)
+    none = F.lit(None).cast("date")
+    if open_ is None:
+        return current.select(*cols, F.lit(as_of).alias(VALID_FROM), none.alias(VALID_TO))
+    j = open_.alias("h").join(current.alias("c"), F.col(f"h.{key}") == F.col(f"c.{key}"), "full_outer")
+    had, comes = F.col(f"h.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
+
+    def version(side: str, start: Column, end: Column) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols], start.alias(VALID_FROM), end.alias(VALID_TO))
+
+    kept = version("h", F.col(f"h.{VALID_FROM}"), none)
+    closed, opened = version("h", F.col(f"h.{VALID_FROM}"), F.lit(as_of)), version("c", F.lit(as_of), none)
+    made = F.when(~had, F.array(opened)).when(comes & _changed("h", "c", check_cols), F.array(closed, opened)).otherwise(F.array(kept))
+    return j.select(F.explode(made).alias("v")).select("v.*")
+
+
 def scd2_apply(history: DataFrame | None, current: DataFrame, as_of: dt.date, key: str = "listing_key",
                check_cols: Sequence[str] = CHECK_COLUMNS) -> DataFrame:
-    cols = [c for c in current.columns]
-    day = F.lit(as_of)
-    new_version = current.select(*cols, day.alias(VALID_FROM), F.lit(None).cast("date").alias(VALID_TO))
+    """A whole history after one run (``History`` keeps closed versions apart and never rewrites them)."""
     if history is None:
-        return new_version
-    closed = history.filter(F.col(VALID_TO).isNotNull())
-    open_ = history.filter(F.col(VALID_TO).isNull())
-    j = open_.alias("h").join(current.alias("c"), F.col(f"h.{key}") == F.col(f"c.{key}"), "full_outer")
-    h_exists, c_exists = F.col(f"h.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
-    changed = h_exists & c_exists & _changed("h", "c", check_cols)
-    hist_cols = [*cols, VALID_FROM, VALID_TO]
-    keep_open = j.filter(h_exists & ~changed).select(*[F.col(f"h.{c}") for c in hist_cols])
-    close_now = j.filter(changed).select(*[F.col(f"h.{c}") for c in cols], F.col(f"h.{VALID_FROM}"),
-                                         day.alias(VALID_TO))
-    open_now = j.filter(c_exists & (changed | ~h_exists)).select(
-        *[F.col(f"c.{c}") for c in cols], day.alias(VALID_FROM), F.lit(None).cast("date").alias(VALID_TO))
-    return closed.unionByName(keep_open).unionByName(close_now).unionByName(open_now)
+        return scd2_step(None, current, as_of, key, check_cols)
+    step = scd2_step(history.filter(F.col(VALID_TO).isNull()), current, as_of, key, check_cols)
+    return history.filter(F.col(VALID_TO).isNotNull()).select(*step.columns).unionByName(step)
+
+
+class History:
+    """A type-2 history whose closed versions lie in append-only partitions by the day they were closed.
+
+    A run joins the open versions, one row per key, with the incoming rows and writes the versions it closes under
+    (day closed, open version it started from) before the new open ones. A run repeated after a crash starts from the same open version and
+    overwrites its own partition only; closed rows of a run that never finished are not read.
+    """
+
+    def __init__(self, store, name: str, key: str = "listing_key", check_cols: Sequence[str] = CHECK_COLUMNS):
+        self.store, self.name, self.key, self.check_cols = store, name, key, check_cols
+        self.closed_path = f"{store.root}/{name}_closed"
+
+    def _base(self) -> str:
+        path = self.store.current_path(f"{self.name}_open")
+        return path.rsplit("/", 1)[1] if path else "none"
+
+    def apply(self, current: DataFrame, as_of: dt.date) -> None:
+        step = written(scd2_step(self.store.read(f"{self.name}_open"), current, as_of, self.key, self.check_cols), "history-step")
+        closed = step.where(F.col(VALID_TO).isNotNull()).withColumn("_run", F.lit(self._base()))
+        (closed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VALID_TO, "_run").parquet(self.closed_path))
+        self.store.write(f"{self.name}_open", step.where(F.col(VALID_TO).isNull()))
+
+    def read(self) -> DataFrame | None:
+        open_ = self.store.read(f"{self.name}_open")
+        if open_ is None:
+            return None
+        fields = [f for f in open_.schema.fields if f.name != VALID_TO]
+        schema = T.StructType([*fields, T.StructField(VALID_TO, T.DateType()), T.StructField("_run", T.StringType())])
+        closed = open_.sparkSession.read.schema(schema).parquet(self.closed_path).where(F.col("_run") != self._base())
+        return closed.drop("_run").unionByName(open_)
 
 
 def scd2_backfill(daily: DataFrame, end: dt.date, key: str = "listing_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import price_per_sqm_expr, safe_ratio
 from ..operators import checks as C
-from ..session import small
+from ..session import small, written
 from . import marts, star
 
 PRICE_MAX = 20_000_000
@@ -52,69 +52,68 @@ def mart_reconciles(city_summary: DataFrame, stg: DataFrame) -> DataFrame:
     return m.join(s, "_k").filter(~F.col("mart_count").eqNullSafe(F.col("stg_count"))).select("mart_count", "stg_count")
 
 
-def suite(spark: SparkSession, raw: DataFrame, lookup: DataFrame, stg: DataFrame,
-          dim_date: DataFrame, daily: DataFrame, geo_severity: str = "error",
-          models: dict[str, DataFrame] | None = None) -> list[C.Check]:
-    """Every test declared for the models, each with its severity.
-
-    ``models`` passes already-built tables (as the daily job does) so the tests read them instead of
-    recomputing them; anything missing is derived from staging.
-    """
-    m = models or {}
-    fact = m.get("fact_apartments")
-    fact = fact if fact is not None else star.fact(stg)
-
-    def get(name, build):
-        got = m.get(name)
-        return got if got is not None else build()
-
-    dc = get("dim_city", lambda: star.dim_city(stg, lookup))
-    dd = get("dim_district", lambda: star.dim_district(stg))
-    db = get("dim_building_type", lambda: star.dim_building_type(stg))
-    dm = get("dim_market", lambda: star.dim_market(stg))
-    cs = get("mart_city_summary", lambda: marts.city_summary(fact, dc))
-    ds = get("mart_district_summary", lambda: marts.district_summary(fact, dd))
-    tr = get("mart_market_trends", lambda: marts.market_trends(daily))
-    k = C.Check
+def declared(geo_severity: str = "error") -> list[C.Declared]:
+    """Every test declared for the sources, seed, models and marts, and the singular ones."""
+    D = C.Declared
+
+    def of(model: str, unique: tuple = (), not_null: tuple = ()) -> list[C.Declared]:
+        return [D("unique", model, (c,)) for c in unique] + [D("not_null", model, (c,)) for c in not_null]
+
+    def fk(model: str, column: str, to: str, field: str, where: str | None = None) -> C.Declared:
+        return D("relationships", model, (column,), to=to, field=field, where=where)
+
+    boxes = ("bbox_lat_min", "bbox_lat_max", "bbox_lon_min", "bbox_lon_max")
+    dims = {"city_key": "dim_city", "district_key": "dim_district", "building_type_key": "dim_building_type", "market_key": "dim_market"}
     return [
-        k("not_null", "raw", "id", C.not_null(raw, "id")),
-        k("not_null", "raw", "source_city", C.not_null(raw, "source_city")),
-        k("unique", "city_lookup", "source_city", C.unique(lookup, "source_city")),
-        k("not_null", "city_lookup", "city_name", C.not_null(lookup, "city_name")),
-        k("expression_is_true", "city_lookup", None,
-          C.expression_is_true(lookup, "bbox_lat_min < bbox_lat_max and bbox_lon_min < bbox_lon_max")),
-        k("unique", "stg_listings", "listing_key", C.unique(stg, "listing_key")),
-        k("unique", "stg_listings", "listing_id", C.unique(stg, "listing_id")),
-        k("not_null", "stg_listings", "city", C.not_null(stg, "city")),
-        k("relationships", "stg_listings", "city", C.relationships(stg, "city", lookup, "city_name")),
-        k("not_null", "stg_listings", "price", C.not_null(stg, "price")),
-        k("accepted_values", "stg_listings", "market_type",
-          C.accepted_values(stg, "market_type", ["primary", "secondary"]), "warn"),
-        k("not_null", "int_listings_daily", "price", C.not_null(daily, "price")),
-        k("unique", "dim_city", "city_key", C.unique(dc, "city_key")),
-        k("not_null", "dim_city", "voivodeship", C.not_null(dc, "voivodeship")),
-        k("unique", "dim_district", "district_key", C.unique(dd, "district_key")),
-        k("unique", "dim_building_type", "building_type_key", C.unique(db, "building_type_key")),
-        k("unique", "dim_market", "market_key", C.unique(dm, "market_key")),
-        k("unique", "fact_apartments", "listing_key", C.unique(fact, "listing_key")),
-        k("relationships", "fact_apartments", "city_key", C.relationships(fact, "city_key", dc, "city_key")),
-        k("relationships", "fact_apartments", "district_key", C.relationships(fact, "district_key", dd, "district_key")),
-        k("relationships", "fact_apartments", "building_type_key",
-          C.relationships(fact, "building_type_key", db, "building_type_key")),
-        k("relationships", "fact_apartments", "market_key", C.relationships(fact, "market_key", dm, "market_key")),
-        k("relationships", "fact_apartments", "date_collected_key",
-          C.relationships(fact, "date_collected_key", dim_date, "date_key")),
-        k("relationships", "fact_apartments", "date_published_key",
-          C.relationships(fact, "date_published_key", dim_date, "date_key", where="date_published_key is not null")),
-        k("unique", "mart_city_summary", "city", C.unique(cs, "city")),
-        k("relationships", "mart_city_summary", "city", C.relationships(cs, "city", lookup, "city_name")),
-        k("unique_combination", "mart_district_summary", None, C.unique_combination(ds, ["city", "district"])),
-        k("accepted_values", "mart_market_trends", "period_type",
-          C.accepted_values(tr, "period_type", ["day", "week", "month"])),
-        k("unique_combination", "mart_market_trends", None, C.unique_combination(tr, ["period_type", "period_start"])),
-        k("assert_price_within_bounds", "stg_listings", "price", price_within_bounds(stg)),
-        k("assert_area_within_bounds", "stg_listings", "area_sqm", area_within_bounds(stg)),
-        k("assert_price_per_sqm_consistent", "stg_listings", None, price_per_sqm_consistent(stg)),
-        k("assert_geo_within_city_bounds", "stg_listings", None, geo_within_city_bounds(stg, lookup), geo_severity),
-        k("assert_mart_city_summary_reconciles", "mart_city_summary", None, mart_reconciles(cs, stg)),
+        *of("raw", not_null=("id", "source_city")),
+        *of("city_lookup", ("source_city",), ("source_city", "city_name", "voivodeship", "is_mvp", *boxes)),
+        D("expression_is_true", "city_lookup", expression="bbox_lat_min < bbox_lat_max and bbox_lon_min < bbox_lon_max"),
+        *of("stg_listings", ("listing_key", "listing_id"), ("listing_key", "listing_id", "city", "price", "area_sqm")),
+        fk("stg_listings", "city", "city_lookup", "city_name"),
+        D("accepted_values", "stg_listings", ("market_type",), values=("primary", "secondary"), severity="warn"),
+        *of("int_listings_daily", not_null=("listing_id", "date_collected", "price", "area_sqm")),
+        *of("dim_city", ("city_key",), ("city_key", "city", "voivodeship", "is_mvp")),
+        *of("dim_district", ("district_key",), ("district_key", "city", "district")),
+        *of("dim_building_type", ("building_type_key",), ("building_type_key",)),
+        *of("dim_market", ("market_key",), ("market_key",)),
+        *of("dim_date", ("date_key", "date_day"), ("date_key", "date_day")),
+        *of("fact_apartments", ("listing_key",), ("listing_key", *dims, "date_collected_key", "price", "area_sqm")),
+        *[fk("fact_apartments", k, d, k) for k, d in dims.items()],
+        fk("fact_apartments", "date_collected_key", "dim_date", "date_key"),
+        fk("fact_apartments", "date_published_key", "dim_date", "date_key", where="date_published_key is not null"),
+        *of("mart_price_statistics", not_null=("total_listings", "avg_price")),
+        *of("mart_city_summary", ("city",), ("city", "num_listings")),
+        fk("mart_city_summary", "city", "city_lookup", "city_name"),
+        *of("mart_district_summary", not_null=("city", "district", "rank_most_expensive", "rank_cheapest")),
+        D("unique_combination", "mart_district_summary", ("city", "district")),
+        *of("mart_market_trends", not_null=("period_type", "period_start", "avg_price", "num_listings")),
+        D("accepted_values", "mart_market_trends", ("period_type",), values=("day", "week", "month")),
+        D("unique_combination", "mart_market_trends", ("period_type", "period_start")),
+        D("assert_price_within_bounds", "stg_listings", expression=f"price > 0 and price <= {PRICE_MAX}"),
+        D("assert_area_within_bounds", "stg_listings", expression="area_sqm >= 10 and area_sqm <= 500"),
+        D("assert_price_per_sqm_consistent", "stg_listings", expression="price_per_sqm_listed is null or area_sqm is null or area_sqm = 0 or "
+          f"coalesce(abs(price / area_sqm - price_per_sqm_listed) / nullif(price_per_sqm_listed, 0) <= {PPSM_TOLERANCE}D, true)"),
+        D("assert_geo_within_city_bounds", "stg_listings", severity=geo_severity),
+        D("assert_mart_city_summary_reconciles", "mart_city_summary"),
     ]
+
+
+def frames(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Failing rows of the tests that join models; those whose models are missing are left out."""
+    out = {}
+    if "city_lookup" in models:
+        out["assert_geo_within_city_bounds"] = geo_within_city_bounds(models["stg_listings"], models["city_lookup"])
+    out["assert_mart_city_summary_reconciles"] = mart_reconciles(models["mart_city_summary"], models["stg_listings"])
+    return out
+
+
+def built_models(spark: SparkSession, raw: DataFrame, lookup: DataFrame, stg: DataFrame, daily: DataFrame, dim_date: DataFrame) -> dict[str, DataFrame]:
+    """All models under test, each written once, so that tests read tables of known size."""
+    stg, daily = written(stg, "check-stg"), written(daily, "check-daily")
+    fact = written(star.fact(stg), "check-fact")
+    dims = {"dim_city": star.dim_city(stg, lookup), "dim_district": star.dim_district(stg), "dim_building_type": star.dim_building_type(stg),
+            "dim_market": star.dim_market(stg), "dim_date": dim_date, "city_lookup": lookup}
+    out = {"raw": raw, "stg_listings": stg, "int_listings_daily": daily, "fact_apartments": fact} | {k: written(d, f"check-{k}") for k, d in dims.items()}
+    made = {"mart_price_statistics": marts.price_statistics(fact), "mart_city_summary": marts.city_summary(fact, out["dim_city"]),
+            "mart_district_summary": marts.district_summary(fact, out["dim_district"]), "mart_market_trends": marts.market_trends(daily)}
+    return out | {k: written(d, f"check-{k}") for k, d in made.items()}

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import (bool_label, floor, fold, leading_number, market, price_per_m, price_per_sqm_expr, rooms,
                          to_utc_wallclock)
-from ..session import materialized, scratch_path
+from ..session import scratch_path
 from ..sources import adapters as A
 from ..sources import batches
+from ..sources.buckets import BucketTable
+from ..sources.tables import TableStore
 from ..operators import checks, linkage, normalize, quality, scd2
-from . import assertions, marts, params, reports, staging, star
+from . import assertions, incremental, marts, params, reports, staging, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -225,32 +227,51 @@ def q_dim_date(spark, d):
     return dim_date_for(spark, d)
 
 
+def sparse_raw(spark, d):
+    return A.raw_sparse_from_events(spark, d)
+
+
 def incremental_parts(spark, d):
-    r = raw(spark, d)
-    lk = lookup(spark, d)
-    target = star.fact(staging.stg_listings(r.filter(F.col("date_collected") < F.lit(params.INCREMENTAL_CUTOFF)
-                                                     .cast("timestamp_ntz")), lk))
-    s = staging.stg_listings(r, lk)
-    return target, s
+    """A raw table by day, a fact loaded from the scrapes before the cutoff, and then the rest of the scrapes landed."""
+    r, lk = sparse_raw(spark, d), lookup(spark, d)
+    cut = F.lit(params.INCREMENTAL_CUTOFF).cast("timestamp_ntz")
+    path = scratch_path(spark, "raw-days")
+    batches.append_raw(r.filter(F.col("date_collected") < cut), path)
+    target = BucketTable(spark, scratch_path(spark, "fact-buckets"), "listing_key", buckets=8)
+    incremental.load_fact(spark, path, lk, target)
+    batches.append_raw(r.filter(F.col("date_collected") >= cut), path)
+    return path, lk, target
 
 
 @register("fact_incremental_slice")
 def q_fact_incremental_slice(spark, d):
-    target, s = incremental_parts(spark, d)
-    return star.incremental_slice(s, target)
+    path, lk, target = incremental_parts(spark, d)
+    return incremental.changed_listings(spark, path, lk, incremental.first_day(target.read()))
 
 
 @register("fact_merge")
 def q_fact_merge(spark, d):
-    target, s = incremental_parts(spark, d)
-    return star.incremental_fact(s, target)
+    path, lk, target = incremental_parts(spark, d)
+    incremental.load_fact(spark, path, lk, target)
+    return target.read()
 
 
 @register("fact_schema_sync")
 def q_fact_schema_sync(spark, d):
-    target, s = incremental_parts(spark, d)
-    old = target.drop("url").withColumn("legacy_score", F.lit(1.0))
-    return star.incremental_fact(s, old)
+    """The target lacks ``url`` and has a column that the model dropped: kept rows get a null url."""
+    path, lk, target = incremental_parts(spark, d)
+    target.replace(target.read().drop("url").withColumn("legacy_score", F.lit(1.0)))
+    incremental.load_fact(spark, path, lk, target)
+    return target.read()
+
+
+@register("fact_full_refresh")
+def q_fact_full_refresh(spark, d):
+    """The target holds prices of a mapping that was changed since: an incremental load would keep most of them."""
+    path, lk, target = incremental_parts(spark, d)
+    target.replace(target.read().withColumn("price", F.col("price") + 1))
+    incremental.load_fact(spark, path, lk, target, full_refresh=True)
+    return target.read()
 
 
 # ---- H: history ------------------------------------------------------------------------------
@@ -277,6 +298,17 @@ def q_snap_scd2_apply(spark, d):
     return scd2.scd2_apply(prev, scd2.snapshot_source(stg(spark, d), params.AS_OF), params.AS_OF)
 
 
+@register("snap_scd2_partitioned")
+def q_snap_scd2_partitioned(spark, d):
+    """Several snapshot runs into closed-day partitions: new listings, price changes and listings gone quiet."""
+    history = scd2.History(TableStore(spark, scratch_path(spark, "history")), "snapshots_listings")
+    r, lk = sparse_raw(spark, d), lookup(spark, d)
+    for day in params.SNAPSHOT_DAYS:
+        seen = r.filter(F.col("date_collected") < F.lit(day + dt.timedelta(days=1)).cast("timestamp_ntz"))
+        history.apply(scd2.snapshot_source(staging.stg_listings(seen, lk), day), day)
+    return history.read()
+
+
 @register("report_listing_history")
 def q_report_listing_history(spark, d):
     return scd2.history_of(backfill(spark, d, params.AS_OF), params.HISTORY_LISTING_ID)
@@ -292,7 +324,7 @@ def star_models(spark, d):
 
 @register("chk_unique")
 def q_chk_unique(spark, d):
-    return checks.unique(stg(spark, d), "listing_id")
+    return checks.unique(raw(spark, d), "id")
 
 
 @register("chk_not_null")
@@ -308,34 +340,37 @@ def q_chk_relationships(spark, d):
 
 @register("chk_accepted_values")
 def q_chk_accepted_values(spark, d):
-    return checks.accepted_values(stg(spark, d), "market_type", ["primary", "secondary"])
+    return checks.accepted_values(raw(spark, d), "building_type", ["blok", "kamienica"])
 
 
 @register("chk_expression")
 def q_chk_expression(spark, d):
-    return checks.expression_is_true(lookup(spark, d), "bbox_lat_min < bbox_lat_max and bbox_lon_min < bbox_lon_max")
+    return checks.expression_is_true(raw(spark, d), "price_per_sqm_listed * area_sqm <= price * 1.1D")
 
 
 @register("chk_unique_combo")
 def q_chk_unique_combo(spark, d):
-    s = stg(spark, d)
-    return checks.unique_combination(marts.district_summary(star.fact(s), star.dim_district(s)), ["city", "district"])
+    return checks.unique_combination(raw(spark, d), ["id", "building_type"])
 
 
 @register("chk_fk_where")
 def q_chk_fk_where(spark, d):
-    return checks.relationships(fact(spark, d), "date_published_key", dim_date_for(spark, d), "date_key",
+    spine = dim_date_for(spark, d).filter(F.col("date_day") >= F.lit(params.SPINE_FROM))
+    sparse = star.fact(staging.stg_listings(sparse_raw(spark, d), lookup(spark, d)))
+    return checks.relationships(sparse, "date_published_key", spine, "date_key",
                                 where="date_published_key is not null").select("listing_id", "date_published_key")
 
 
 @register("chk_price_bounds")
 def q_chk_price_bounds(spark, d):
-    return assertions.price_within_bounds(stg(spark, d))
+    # before the bounds filter, with the price of the whole area listed: zero for listings without an area
+    rows = staging.renamed(raw(spark, d), lookup(spark, d))
+    return assertions.price_within_bounds(rows.withColumn("price", F.col("price") * F.col("area_sqm")))
 
 
 @register("chk_area_bounds")
 def q_chk_area_bounds(spark, d):
-    return assertions.area_within_bounds(stg(spark, d))
+    return assertions.area_within_bounds(staging.renamed(raw(spark, d), lookup(spark, d)))
 
 
 @register("chk_ppsm")
@@ -350,18 +385,18 @@ def q_chk_geo(spark, d):
 
 @register("chk_reconcile")
 def q_chk_reconcile(spark, d):
-    s, lk, f, dc = star_models(spark, d)
-    return assertions.mart_reconciles(marts.city_summary(f, dc), s)
+    """A mart built before the last scrapes landed does not add up to today's listings."""
+    r, lk = sparse_raw(spark, d), lookup(spark, d)
+    before = staging.stg_listings(r.filter(F.col("date_collected") < F.lit(params.INCREMENTAL_CUTOFF).cast("timestamp_ntz")), lk)
+    stale = marts.city_summary(star.fact(before), star.dim_city(before, lk))
+    return assertions.mart_reconciles(stale, staging.stg_listings(r, lk))
 
 
 @register("chk_summary")
 def q_chk_summary(spark, d):
-    r = raw(spark, d)
-    lk = lookup(spark, d)
-    # staging feeds ~30 of the checks: computed once, read many times
-    s = materialized(staging.stg_listings(r, lk))
-    return checks.run_checks(assertions.suite(spark, r, lk, s, dim_date=dim_date_for(spark, d),
-                                              daily=staging.listings_daily(r, lk)))
+    r, lk = raw(spark, d), lookup(spark, d)
+    models = assertions.built_models(spark, r, lk, staging.stg_listings(r, lk), staging.listings_daily(r, lk), dim_date_for(spark, d))
+    return checks.run_declared(assertions.declared(), models, assertions.frames(models))
 
 
 # ---- J: reports ------------------------------------------------------------------------------
@@ -565,25 +600,23 @@ def q_src_city_lookup(spark, d):
 @register("pipeline_daily")
 def q_pipeline_daily(spark, d):
     """One daily run over the gate batches (all cities); returns the fact table it produced."""
-    from ..sources.tables import TableStore
     from . import pipeline
     store = TableStore(spark, scratch_path(spark, "warehouse"))
     pipeline.run_daily(spark, gate_input(spark, d), params.AS_OF, store, lookup(spark, d),
                        collected_at=params.COLLECTED_AT)
-    return store.read("fact_apartments")
+    return store.bucketed("fact_apartments", "listing_key").read()
 
 
 @register("fact_stream_incremental")
 def q_fact_stream_incremental(spark, d):
     """The raw table drained through the streaming merge in several micro-batches; must equal the
     full rebuild of the fact."""
-    from ..sources.tables import TableStore
-    from ..streaming import incremental
+    from ..streaming import incremental as stream
     raw_path = scratch_path(spark, "raw-stream")
     batches.append_raw(raw(spark, d), raw_path)
     store = TableStore(spark, scratch_path(spark, "stream-store"))
-    return incremental.run_incremental(spark, raw_path, store, lookup(spark, d),
-                                       checkpoint=scratch_path(spark, "stream-ckpt"), max_files_per_trigger=150)
+    return stream.run_incremental(spark, raw_path, store, lookup(spark, d),
+                                  checkpoint=scratch_path(spark, "stream-ckpt"), max_files_per_trigger=150)
 
 
 # ---- lineitem adapter: the bench workloads (seven years of scrapes, ties broken by line keys) -----
@@ -615,6 +648,12 @@ def q_li_city_summary(spark, d):
     return marts.city_summary(star.fact(s), star.dim_city(s, lookup(spark, d)))
 
 
+@register("li_district_summary")
+def q_li_district_summary(spark, d):
+    s = li_stg(spark, d)
+    return marts.district_summary(star.fact(s), star.dim_district(s))
+
+
 @register("li_price_statistics")
 def q_li_price_statistics(spark, d):
     return marts.price_statistics(star.fact(li_stg(spark, d)))

@@ -6,8 +6,8 @@ import datetime as dt
 
 from . import params
 from .oracle_sql import (BASE, DAILY, DIM_BUILDING, DIM_CITY, DIM_DISTRICT, DIM_MARKET,
-                         DISTRICT_AGG, DISTRICT_SUMMARY, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS,
-                         RENAMED, STG, TRENDS, CITY_SUMMARY, dkey, r2, with_ctes)
+                         DISTRICT_AGG, DISTRICT_SUMMARY, EV, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS,
+                         RAW, RENAMED, STG, TRENDS, CITY_SUMMARY, dkey, r2, with_ctes)
 
 DIM_DATE = """dim_date AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date_day,
@@ -90,47 +90,44 @@ def chk_counts() -> str:
         w = f" AND ({where})" if where else ""
         return f"SELECT * FROM {t} WHERE {c} IS NOT NULL{w} AND {c} NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)"
 
-    rows = [
-        row("not_null", "raw", "id", "error", nn("raw", "id")),
-        row("not_null", "raw", "source_city", "error", nn("raw", "source_city")),
-        row("unique", "city_lookup", "source_city", "error", uniq("lookup", "source_city")),
-        row("not_null", "city_lookup", "city_name", "error", nn("lookup", "city_name")),
-        row("expression_is_true", "city_lookup", None, "error",
-            "SELECT * FROM lookup WHERE NOT coalesce(bbox_lat_min < bbox_lat_max AND bbox_lon_min < bbox_lon_max, false)"),
-        row("unique", "stg_listings", "listing_key", "error", uniq("stg", "listing_key")),
-        row("unique", "stg_listings", "listing_id", "error", uniq("stg", "listing_id")),
-        row("not_null", "stg_listings", "city", "error", nn("stg", "city")),
-        row("relationships", "stg_listings", "city", "error", rel("stg", "city", "lookup", "city_name")),
-        row("not_null", "stg_listings", "price", "error", nn("stg", "price")),
-        row("accepted_values", "stg_listings", "market_type", "warn",
-            "SELECT market_type FROM stg WHERE market_type NOT IN ('primary', 'secondary') GROUP BY market_type"),
-        row("not_null", "int_listings_daily", "price", "error", nn("daily", "price")),
-        row("unique", "dim_city", "city_key", "error", uniq("dim_city", "city_key")),
-        row("not_null", "dim_city", "voivodeship", "error", nn("dim_city", "voivodeship")),
-        row("unique", "dim_district", "district_key", "error", uniq("dim_district", "district_key")),
-        row("unique", "dim_building_type", "building_type_key", "error", uniq("dim_building_type", "building_type_key")),
-        row("unique", "dim_market", "market_key", "error", uniq("dim_market", "market_key")),
-        row("unique", "fact_apartments", "listing_key", "error", uniq("fact", "listing_key")),
-        row("relationships", "fact_apartments", "city_key", "error", rel("fact", "city_key", "dim_city", "city_key")),
-        row("relationships", "fact_apartments", "district_key", "error",
-            rel("fact", "district_key", "dim_district", "district_key")),
-        row("relationships", "fact_apartments", "building_type_key", "error",
-            rel("fact", "building_type_key", "dim_building_type", "building_type_key")),
-        row("relationships", "fact_apartments", "market_key", "error", rel("fact", "market_key", "dim_market", "market_key")),
-        row("relationships", "fact_apartments", "date_collected_key", "error",
-            rel("fact", "date_collected_key", "dim_date", "date_key")),
-        row("relationships", "fact_apartments", "date_published_key", "error",
-            rel("fact", "date_published_key", "dim_date", "date_key", "date_published_key IS NOT NULL")),
-        row("unique", "mart_city_summary", "city", "error", uniq("city_summary", "city")),
-        row("relationships", "mart_city_summary", "city", "error", rel("city_summary", "city", "lookup", "city_name")),
+    def all_of(kind, t, cols, sql, model=None):
+        return [row(kind, model or t, c, "error", sql(t, c)) for c in cols.split()]
+
+    box = "bbox_lat_min bbox_lat_max bbox_lon_min bbox_lon_max"
+    rows = all_of("not_null", "raw", "id source_city", nn)
+    rows += all_of("unique", "lookup", "source_city", uniq, "city_lookup")
+    rows += all_of("not_null", "lookup", "source_city city_name voivodeship is_mvp " + box, nn, "city_lookup")
+    rows += [row("expression_is_true", "city_lookup", None, "error",
+                 "SELECT * FROM lookup WHERE NOT coalesce(bbox_lat_min < bbox_lat_max AND bbox_lon_min < bbox_lon_max, false)")]
+    rows += all_of("unique", "stg", "listing_key listing_id", uniq, "stg_listings")
+    rows += all_of("not_null", "stg", "listing_key listing_id city price area_sqm", nn, "stg_listings")
+    rows += [row("relationships", "stg_listings", "city", "error", rel("stg", "city", "lookup", "city_name")),
+             row("accepted_values", "stg_listings", "market_type", "warn",
+                 "SELECT market_type FROM stg WHERE market_type NOT IN ('primary', 'secondary') GROUP BY market_type")]
+    rows += all_of("not_null", "daily", "listing_id date_collected price area_sqm", nn, "int_listings_daily")
+    for t, cols in (("dim_city", "city_key city voivodeship is_mvp"), ("dim_district", "district_key city district"),
+                    ("dim_building_type", "building_type_key"), ("dim_market", "market_key"), ("dim_date", "date_key date_day")):
+        rows += all_of("unique", t, cols if t == "dim_date" else cols.split()[0], uniq) + all_of("not_null", t, cols, nn)
+    rows += all_of("unique", "fact", "listing_key", uniq, "fact_apartments")
+    rows += all_of("not_null", "fact", "listing_key city_key district_key building_type_key market_key date_collected_key price area_sqm", nn, "fact_apartments")
+    for c, t in (("city_key", "dim_city"), ("district_key", "dim_district"), ("building_type_key", "dim_building_type"), ("market_key", "dim_market")):
+        rows.append(row("relationships", "fact_apartments", c, "error", rel("fact", c, t, c)))
+    for c in ("date_collected_key", "date_published_key"):
+        rows.append(row("relationships", "fact_apartments", c, "error", rel("fact", c, "dim_date", "date_key")))
+    rows += all_of("not_null", "price_statistics", "total_listings avg_price", nn, "mart_price_statistics")
+    rows += all_of("unique", "city_summary", "city", uniq, "mart_city_summary") + all_of("not_null", "city_summary", "city num_listings", nn, "mart_city_summary")
+    rows += [row("relationships", "mart_city_summary", "city", "error", rel("city_summary", "city", "lookup", "city_name"))]
+    rows += all_of("not_null", "district_summary", "city district rank_most_expensive rank_cheapest", nn, "mart_district_summary")
+    rows += all_of("not_null", "trends", "period_type period_start avg_price num_listings", nn, "mart_market_trends")
+    rows += [
         row("unique_combination", "mart_district_summary", None, "error",
             "SELECT city, district FROM district_summary GROUP BY city, district HAVING count(*) > 1"),
         row("accepted_values", "mart_market_trends", "period_type", "error",
             "SELECT period_type FROM trends WHERE period_type NOT IN ('day', 'week', 'month') GROUP BY period_type"),
         row("unique_combination", "mart_market_trends", None, "error",
             "SELECT period_type, period_start FROM trends GROUP BY period_type, period_start HAVING count(*) > 1"),
-        row("assert_price_within_bounds", "stg_listings", "price", "error", "SELECT * FROM chk_price"),
-        row("assert_area_within_bounds", "stg_listings", "area_sqm", "error", "SELECT * FROM chk_area"),
+        row("assert_price_within_bounds", "stg_listings", None, "error", "SELECT * FROM stg WHERE price IS NULL OR price <= 0 OR price > 20000000"),
+        row("assert_area_within_bounds", "stg_listings", None, "error", "SELECT * FROM stg WHERE area_sqm IS NULL OR area_sqm < 10 OR area_sqm > 500"),
         row("assert_price_per_sqm_consistent", "stg_listings", None, "error", "SELECT * FROM chk_ppsm"),
         row("assert_geo_within_city_bounds", "stg_listings", None, "error", "SELECT * FROM chk_geo"),
         row("assert_mart_city_summary_reconciles", "mart_city_summary", None, "error", "SELECT * FROM chk_reconcile"),
@@ -138,8 +135,10 @@ def chk_counts() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
-CHK_PRICE = "chk_price AS (SELECT listing_id, price FROM stg WHERE price IS NULL OR price <= 0 OR price > 20000000)"
-CHK_AREA = "chk_area AS (SELECT listing_id, area_sqm FROM stg WHERE area_sqm IS NULL OR area_sqm < 10 OR area_sqm > 500)"
+CHK_PRICE = """chk_price AS (SELECT listing_id, price FROM (SELECT listing_id, price * area_sqm AS price FROM renamed)
+  WHERE price IS NULL OR price <= 0 OR price > 20000000)"""
+CHK_AREA = "chk_area AS (SELECT listing_id, area_sqm FROM renamed WHERE area_sqm IS NULL OR area_sqm < 10 OR area_sqm > 500)"
+SPARSE = [GEO, LOOKUP, EV, RAW.replace("SELECT user_id AS id,", "SELECT user_id * 1000 + k AS id,"), RENAMED, FILTERED, STG]
 CHK_PPSM = f"""chk_ppsm AS (
   SELECT listing_id, price, area_sqm, price_per_sqm_listed, {r2('price / nullif(area_sqm, 0)')} AS price_per_sqm_calculated
   FROM stg WHERE price_per_sqm_listed IS NOT NULL AND area_sqm IS NOT NULL AND area_sqm <> 0
@@ -163,7 +162,8 @@ STAR = BASE + [FACT, DIM_CITY, DIM_DISTRICT, DIM_BUILDING, DIM_MARKET]
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["dim_date"] = with_ctes([DIM_DATE], "SELECT * FROM dim_date")
-    inc = BASE + _target_ctes() + [SLICE, FACT_S]
+    inc = SPARSE + _target_ctes() + [SLICE, FACT_S]
+    q["fact_full_refresh"] = with_ctes(SPARSE + [FACT], "SELECT * FROM fact")
     q["fact_incremental_slice"] = with_ctes(inc, "SELECT * FROM slice")
     q["fact_merge"] = with_ctes(inc, _merge("url"))
     q["fact_schema_sync"] = with_ctes(inc, _merge("CAST(NULL AS VARCHAR) AS url"))
@@ -178,28 +178,37 @@ def build() -> dict[str, str]:
         f"SELECT listing_id, price, listing_status, dbt_valid_from, dbt_valid_to FROM hist "
         f"WHERE listing_id = {params.HISTORY_LISTING_ID}")
 
-    q["chk_unique"] = with_ctes(BASE, "SELECT listing_id AS unique_field, count(*) AS n_records FROM stg "
-                                      "WHERE listing_id IS NOT NULL GROUP BY listing_id HAVING count(*) > 1")
+    days = ", ".join(f"DATE '{x.isoformat()}'" for x in params.SNAPSHOT_DAYS)
+    q["snap_scd2_partitioned"] = with_ctes(SPARSE[:6] + [f"""st AS (
+  SELECT d.day, f.* FROM filtered f JOIN (SELECT unnest([{days}]) AS day) d ON CAST(f.date_collected AS DATE) <= d.day
+  QUALIFY row_number() OVER (PARTITION BY d.day, f.listing_id ORDER BY f.date_collected DESC) = 1)""", f"""ch AS (
+  SELECT *, lag(price) OVER w AS pv, lag(listing_status) OVER w AS ps, row_number() OVER w AS rn
+  FROM (SELECT day, {SNAP_COLS}, CASE WHEN CAST(date_collected AS DATE) >= day - 2 THEN 'active' ELSE 'likely_removed' END AS listing_status FROM st)
+  WINDOW w AS (PARTITION BY listing_id ORDER BY day))"""], f"""SELECT {SNAP_COLS}, listing_status, day AS dbt_valid_from,
+  lead(day) OVER (PARTITION BY listing_id ORDER BY day) AS dbt_valid_to FROM ch
+  WHERE rn = 1 OR NOT (price IS NOT DISTINCT FROM pv AND listing_status IS NOT DISTINCT FROM ps)""")
+
+    q["chk_unique"] = with_ctes(BASE[:4], "SELECT id AS unique_field, count(*) AS n_records FROM raw "
+                                          "WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1")
     q["chk_not_null"] = with_ctes(STAR, "SELECT * FROM dim_city WHERE voivodeship IS NULL")
     q["chk_relationships"] = with_ctes(BASE, "SELECT listing_id, city FROM stg WHERE city IS NOT NULL AND city NOT IN "
                                              "(SELECT city_name FROM lookup WHERE city_name IS NOT NULL)")
-    q["chk_accepted_values"] = with_ctes(BASE, "SELECT market_type AS value_field, count(*) AS n_records FROM stg "
-                                               "WHERE market_type NOT IN ('primary', 'secondary') GROUP BY market_type")
-    q["chk_expression"] = with_ctes([GEO, LOOKUP], "SELECT * FROM lookup WHERE NOT coalesce("
-                                                   "bbox_lat_min < bbox_lat_max AND bbox_lon_min < bbox_lon_max, false)")
-    q["chk_unique_combo"] = with_ctes(STAR + [DISTRICT_AGG, DISTRICT_SUMMARY_CTE],
-                                      "SELECT city, district, count(*) AS n_records FROM district_summary "
-                                      "GROUP BY city, district HAVING count(*) > 1")
-    q["chk_fk_where"] = with_ctes(STAR + [DIM_DATE], "SELECT listing_id, date_published_key FROM fact "
-                                                     "WHERE date_published_key IS NOT NULL AND date_published_key NOT IN "
-                                                     "(SELECT date_key FROM dim_date)")
-    q["chk_price_bounds"] = with_ctes(BASE + [CHK_PRICE], "SELECT * FROM chk_price")
-    q["chk_area_bounds"] = with_ctes(BASE + [CHK_AREA], "SELECT * FROM chk_area")
+    q["chk_accepted_values"] = with_ctes(BASE[:4], "SELECT building_type AS value_field, count(*) AS n_records FROM raw "
+                                                   "WHERE building_type NOT IN ('blok', 'kamienica') GROUP BY building_type")
+    q["chk_expression"] = with_ctes(BASE[:4], "SELECT * FROM raw WHERE NOT coalesce(price_per_sqm_listed * area_sqm <= price * 1.1::DOUBLE, false)")
+    q["chk_unique_combo"] = with_ctes(BASE[:4], "SELECT id, building_type, count(*) AS n_records FROM raw "
+                                                "GROUP BY id, building_type HAVING count(*) > 1")
+    q["chk_fk_where"] = with_ctes(SPARSE + [FACT, DIM_DATE], "SELECT listing_id, date_published_key FROM fact "
+                                                             "WHERE date_published_key IS NOT NULL AND date_published_key NOT IN "
+                                                             f"(SELECT date_key FROM dim_date WHERE date_day >= DATE '{params.SPINE_FROM.isoformat()}')")
+    q["chk_price_bounds"] = with_ctes(BASE[:5] + [CHK_PRICE], "SELECT * FROM chk_price")
+    q["chk_area_bounds"] = with_ctes(BASE[:5] + [CHK_AREA], "SELECT * FROM chk_area")
     q["chk_ppsm"] = with_ctes(BASE + [CHK_PPSM], "SELECT * FROM chk_ppsm")
     q["chk_geo"] = with_ctes(BASE + [CHK_GEO], "SELECT * FROM chk_geo")
-    q["chk_reconcile"] = with_ctes(STAR + [CITY_SUMMARY_CTE, CHK_RECONCILE], "SELECT * FROM chk_reconcile")
+    q["chk_reconcile"] = with_ctes(SPARSE + _target_ctes(), "SELECT mart_count, stg_count FROM (SELECT count(*) AS mart_count FROM fact_t), "
+                                   "(SELECT count(*) AS stg_count FROM stg) WHERE mart_count <> stg_count")
     all_ctes = STAR + [DAILY, TRENDS, DIM_DATE, CITY_SUMMARY_CTE, DISTRICT_AGG, DISTRICT_SUMMARY_CTE,
-                       CHK_PRICE, CHK_AREA, CHK_PPSM, CHK_GEO, CHK_RECONCILE]
+                       "price_statistics AS (" + PRICE_STATS + ")", CHK_PPSM, CHK_GEO, CHK_RECONCILE]
     q["chk_summary"] = with_ctes(all_ctes, "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' "
                                            "THEN 'warn' ELSE 'fail' END AS status FROM (" + chk_counts() + ") u")
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import checks, quality, scd2
 from ..sources import batches as B
 from ..sources.tables import TableStore
-from . import assertions, marts, staging, star
+from . import assertions, incremental, marts, staging, star
 
 
 @dataclass
@@ -34,9 +34,9 @@ class RunResult:
     run_failed: bool
 
 
-def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store: TableStore, seed: DataFrame,
+def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store: TableStore, seed: DataFrame | None,
               collected_at: str | None = None, cities: Sequence[str] | None = None,
-              raw_mode: str = "append", geo_severity: str = "error") -> RunResult:
+              raw_mode: str = "append", geo_severity: str = "error", full_refresh: bool = False) -> RunResult:
     if cities is not None:
         batches = batches.filter(F.col("source_city").isin(list(cities)))
     if "date_collected" not in batches.columns:
@@ -50,23 +50,27 @@ def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store:
     store.write("quarantine", gate.quarantine)
     verdict = store.read("dq_verdict")
 
+    first = batches.agg(F.min("date_collected")).first()[0]
+
     # append the clean rows of passing batches to the raw table (partitioned by day and city)
     raw_path = f"{store.root}/raw_listings"
     B.append_raw(gate.clean, raw_path, mode=raw_mode)
     raw = B.read_raw(spark, raw_path)
 
-    # staging is a view in the model, but every later table reads it: materialise it once per run
-    store.write("stg_listings", staging.stg_listings(raw, seed))
-    stg = store.read("stg_listings")
+    # staging is a view in the model, but every later table reads it: kept as a table, of which a run rewrites the
+    # buckets of the listings scraped since its batches' first day
+    state = store.bucketed("stg_listings", "listing_id")
+    stg = incremental.load_state(spark, raw_path, seed, state, first if first is None else first.date())
     daily = staging.listings_daily(raw, seed)
     store.write("dim_city", star.dim_city(stg, seed))
     store.write("dim_district", star.dim_district(stg))
     store.write("dim_building_type", star.dim_building_type(stg))
     store.write("dim_market", star.dim_market(stg))
     store.write("dim_date", star.dim_date(spark, end=star.one_year_after(run_date)))
-    store.write("fact_apartments", star.incremental_fact(stg, store.read("fact_apartments")))
+    facts = store.bucketed("fact_apartments", "listing_key")
+    incremental.load_fact(spark, raw_path, seed, facts, full_refresh=full_refresh)
 
-    fact = store.read("fact_apartments")
+    fact = facts.read()
     dim_city, dim_district = store.read("dim_city"), store.read("dim_district")
     store.write("mart_price_statistics", marts.with_generated_at(marts.price_statistics(fact)))
     store.write("mart_city_summary", marts.city_summary(fact, dim_city))
@@ -74,15 +78,15 @@ def run_daily(spark: SparkSession, batches: DataFrame, run_date: dt.date, store:
     store.write("mart_market_trends", marts.market_trends(daily))
 
     current = scd2.snapshot_source(stg, run_date)
-    store.write("snapshots_listings", scd2.scd2_apply(store.read("snapshots_listings"), current, run_date))
+    scd2.History(store, "snapshots_listings").apply(current, run_date)
 
     # tests run against the tables just built, not against recomputed models
-    built = {n: store.read(n) for n in ("fact_apartments", "dim_city", "dim_district", "dim_building_type",
-                                        "dim_market", "mart_city_summary", "mart_district_summary",
+    built = {n: store.read(n) for n in ("dim_city", "dim_district", "dim_building_type", "dim_market", "dim_date",
+                                        "mart_price_statistics", "mart_city_summary", "mart_district_summary",
                                         "mart_market_trends")}
-    suite = assertions.suite(spark, raw, seed, stg, dim_date=store.read("dim_date"), daily=daily,
-                             geo_severity=geo_severity, models=built)
-    store.write("check_results", checks.run_checks(suite))
+    built |= {} if seed is None else {"city_lookup": seed}
+    built |= {"raw": raw, "stg_listings": stg, "int_listings_daily": daily, "fact_apartments": fact}
+    store.write("check_results", checks.run_declared(assertions.declared(geo_severity), built, assertions.frames(built)))
     results = store.read("check_results")
 
     counts = verdict.agg(F.count(F.lit(1)).alias("n"),

@@ -19,19 +19,23 @@ PRICE_MIN, PRICE_MAX = 1, 20_000_000
 AREA_MIN, AREA_MAX = 10, 500
 
 
-def standardize_city(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Add ``city``: seed display name, else the slug capitalised word by word."""
+def standardize_city(raw: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Add ``city``: seed display name, else (or without a seed) the slug capitalised word by word."""
+    if lookup is None:
+        return raw.withColumn("city", initcap_words(F.col("source_city")))
     seed = small(lookup.select("source_city", F.col("city_name").alias("_city_name")))
     return (raw.join(seed, "source_city", "left")
             .withColumn("city", F.coalesce(F.col("_city_name"), initcap_words(F.col("source_city"))))
             .drop("_city_name"))
 
 
-def renamed(raw: DataFrame, lookup: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def renamed(raw: DataFrame, lookup: DataFrame | None, extra: Sequence[str] = ()) -> DataFrame:
     """Raw scan projected to the staging columns (keys, parsed publish time, standard city)."""
-    j = (raw.select(*[c for c in raw.columns if c != "city"])
-         .join(small(lookup.select("source_city", F.col("city_name").alias("_city_name"))),
-               "source_city", "left"))
+    j = raw.select(*[c for c in raw.columns if c != "city"])
+    if lookup is None:
+        j = j.withColumn("_city_name", F.lit(None).cast("string"))
+    else:
+        j = j.join(small(lookup.select("source_city", F.col("city_name").alias("_city_name"))), "source_city", "left")
     return j.select(
         surrogate_key(F.col("id")).alias("listing_key"),
         F.col("id").alias("listing_id"),

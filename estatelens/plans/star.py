@@ -14,8 +14,11 @@ from ..session import small
 SPINE_START = dt.date(2010, 1, 1)
 
 
-def dim_city(stg: DataFrame, lookup: DataFrame) -> DataFrame:
+def dim_city(stg: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """One row per city; without a seed no region is known and no city is flagged."""
     cities = stg.select("city").distinct()
+    if lookup is None:
+        return cities.select(surrogate_key(F.col("city")).alias("city_key"), "city", F.lit(None).cast("string").alias("voivodeship"), F.lit(False).alias("is_mvp"))
     seed = small(lookup.select(F.col("city_name").alias("city"), "voivodeship", "is_mvp"))
     return cities.join(seed, "city", "left").select(
         surrogate_key(F.col("city")).alias("city_key"), "city", "voivodeship",
@@ -113,8 +116,8 @@ def incremental_slice(stg: DataFrame, target: DataFrame | None, wm: int | None =
     if lookback_days and wm > 0:
         start = dt.date(wm // 10000, wm // 100 % 100, wm % 100) - dt.timedelta(days=lookback_days)
         wm = start.year * 10000 + start.month * 100 + start.day
-    # the watermark is a literal, so the filter is pushed to the scan (and prunes day partitions when
-    # staging reads a raw table partitioned by day)
+    # on staging rows this filter stands above the latest-row window; ``plans.incremental`` finds the same rows by
+    # reading only the raw table's day partitions from the watermark on
     return stg.filter(date_key(F.col("date_collected")) >= F.lit(wm))
 
 

@@ -63,6 +63,14 @@ def materialized(df):
     return df.checkpoint(eager=True)
 
 
+def written(df, name: str):
+    """Write ``df`` to the shared scratch folder and read it back: like ``materialized``, but the planner knows the
+    table's real size and reads only the columns it needs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df):
     """Fan a scan with fewer partitions than task slots out to all slots (round robin).
 

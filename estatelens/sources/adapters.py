@@ -118,6 +118,13 @@ def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_sparse_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scrapes, dealt to many more listings: a listing is a user's flat of one size, scraped once or a few times.
+    So on any day some listings are new, some are scraped again and some are not."""
+    ids = F.col("id") * 1000 + F.col("area_sqm").cast("long")
+    return raw_from_events(spark, sf_dir).withColumn("id", ids)
+
+
 def gate_batches_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed city batches for the quality gate: one batch per nation, ``seq`` = row order.
 

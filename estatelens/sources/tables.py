@@ -68,6 +68,11 @@ class TableStore:
         self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(self._pointer(name))
         return f"{self.root}/{name}/{version}"
 
+    def bucketed(self, name: str, key: str, buckets: int = 32):
+        """A table of one row per key that is changed by upserts."""
+        from .buckets import BucketTable
+        return BucketTable(self.spark, f"{self.root}/{name}", key, buckets)
+
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """A lazy, non-materialised model (kept only as a temp view)."""
         df.createOrReplaceTempView(name)

@@ -4,12 +4,11 @@ The raw table is a file source; each micro-batch (``trigger(availableNow=True)``
 landed) is merged by ``foreachBatch``:
 
 1. the batch's in-bounds rows are staged (renamed, city standardised);
-2. for the listings it touches only, the current-state table (one row per listing) is read with a
-   semi join, unioned with the new rows, and the newest row per listing is kept;
-3. the state table and the fact are upserted by key (new version written, then made current).
+2. for the listings it touches only, the current-state table's rows are read from their hash buckets,
+   unioned with the new rows, and the newest row per listing is kept;
+3. the state table and the fact are upserted by key, rewriting touched buckets only.
 
-Work per batch is proportional to the batch plus the state table (one row per listing), never to the
-raw history. Re-running a batch after a failure is harmless: the upsert is idempotent.
+Work per batch is proportional to the batch plus the buckets it touches, never to the raw history. Re-running a batch after a failure is harmless: the upsert is idempotent.
 """
 
 from __future__ import annotations
@@ -18,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
-from ..operators.merge import merge_by_key
 from ..plans import staging, star
 from ..schemas import RAW_SCHEMA
+from ..session import written
 from ..sources.tables import TableStore
 
 STATE = "stg_state"
@@ -32,21 +31,14 @@ def raw_stream_schema() -> T.StructType:
 
 
 def upsert_batch(batch: DataFrame, store: TableStore, lookup: DataFrame) -> None:
-    new = staging.in_bounds(staging.renamed(batch, lookup))
-    order = staging.latest_order()
-    current = store.read(STATE)
-    if current is None:
-        changed = latest_per_key(new, ["listing_id"], order)
-        state = changed
-    else:
-        touched = new.select("listing_id").distinct()
-        before = current.join(touched, "listing_id", "left_semi")
-        changed = latest_per_key(before.unionByName(new), ["listing_id"], order)
-        state = merge_by_key(current, changed, ["listing_id"])
-    store.write(STATE, state)
-    fact_rows = star.fact(store.read(STATE).join(new.select("listing_id").distinct(), "listing_id", "left_semi"))
-    old_fact = store.read(FACT)
-    store.write(FACT, fact_rows if old_fact is None else merge_by_key(old_fact, fact_rows, ["listing_key"]))
+    """Merge one micro-batch. The batch is written once; of state and fact only the buckets it touches are read and rewritten."""
+    state, fact = store.bucketed(STATE, "listing_id"), store.bucketed(FACT, "listing_key")
+    new = written(staging.in_bounds(staging.renamed(batch, lookup)), "stream-batch")
+    before = state.rows_of(new)
+    rows = new if before is None else before.unionByName(new)
+    changed = written(latest_per_key(rows, ["listing_id"], staging.latest_order(rest=new.columns)), "stream-changed")
+    state.upsert(changed)
+    fact.upsert(star.fact(changed))
 
 
 def run_incremental(spark: SparkSession, raw_path: str, store: TableStore, lookup: DataFrame,
@@ -65,4 +57,4 @@ def run_incremental(spark: SparkSession, raw_path: str, store: TableStore, looku
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return store.read(FACT)
+    return store.bucketed(FACT, "listing_key").read()

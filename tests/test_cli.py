@@ -20,4 +20,4 @@ def test_cli_run_daily_over_array_files(spark, tmpdir_path):
     store = TableStore(spark, tmpdir_path + "/wh")
     verdict = store.read("dq_verdict")
     assert verdict.count() == rows.select("source_city").distinct().count()
-    assert store.read("check_results").count() == 34
+    assert store.read("check_results").count() == 79
