@@ -1,7 +1,7 @@
 """Command line: run the daily job over landed city batches.
 
     python -m estatelens run-daily --landing <dir> --store <dir> --date YYYY-MM-DD \
-        [--seed <city_lookup.csv>] [--cities a,b,c] [--layout landing|arrays] [--replace]
+        [--seed <city_lookup.csv>] [--cities a,b,c] [--layout landing|arrays|items] [--replace] [--full-refresh]
 
 Exit status 1 when every batch was blocked or an error-severity check failed (0 otherwise).
 On a cluster the session comes from spark-submit; locally a tuned local session is built.
@@ -25,11 +25,12 @@ def main(argv=None) -> int:
     r.add_argument("--date", required=True)
     r.add_argument("--seed")
     r.add_argument("--cities")
-    r.add_argument("--layout", default="landing", choices=["landing", "arrays"])
+    r.add_argument("--layout", default="landing", choices=["landing", "arrays", "items"])
     r.add_argument("--replace", action="store_true", help="idempotent raw load (replace city/day partitions)")
+    r.add_argument("--full-refresh", action="store_true", help="build the fact anew from the whole raw table")
     a = p.parse_args(argv)
 
-    from .plans.pipeline import run_daily
+    from .plans.pipeline import run_daily, run_daily_items
     from .session import build_session
     from .sources import batches, seeds
     from .sources.tables import TableStore
@@ -38,10 +39,16 @@ def main(argv=None) -> int:
     run_date = dt.date.fromisoformat(a.date)
     cities = a.cities.split(",") if a.cities else None
     seed = batches.read_seed(spark, a.seed) if a.seed else seeds.city_lookup(spark)
-    landed = batches.read_batches(spark, a.landing, cities=cities, day=a.date, layout=a.layout)
-    res = run_daily(spark, landed, run_date, TableStore(spark, a.store), seed, cities=cities,
-                    raw_mode="replace" if a.replace else "append")
-    print(f"run {run_date}: batches {res.batches_total}, blocked {res.batches_blocked}, "
+    options = {"cities": cities, "raw_mode": "replace" if a.replace else "append", "full_refresh": a.full_refresh}
+    if a.layout == "items":
+        items = batches.read_items(spark, a.landing, cities=cities, day=a.date)
+        return _told(run_daily_items(spark, items, run_date, TableStore(spark, a.store), seed, **options))
+    landed = batches.load_batches(spark, a.landing, cities=cities, day=a.date, layout=a.layout)
+    return _told(run_daily(spark, landed.rows, run_date, TableStore(spark, a.store), seed, status=landed.status, **options))
+
+
+def _told(res) -> int:
+    print(f"run {res.run_date}: batches {res.batches_total}, blocked {res.batches_blocked}, "
           f"failed checks {res.checks_failed} -> {'FAILED' if res.run_failed else 'OK'}")
     return 1 if res.run_failed else 0
 

@@ -13,43 +13,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import bool_label, floor, leading_number, market, price_per_m, rooms
 from ..schemas import ITEM_SCHEMA, RAW_COLUMNS
 from .dedup import dedup_last
 
+CORRUPT = "_corrupt_record"
 PRICE_KIND, GENERIC_KIND = "PriceParam", "GenericParam"
 # Param keys of the listing source and the typed column each one feeds.
 PARAM_KEYS = ("m", "rent", "price_per_m", "rooms", "floor_select", "furniture", "market", "builttype")
 
 
 def parse_items(df: DataFrame, text_col: str = "item_json") -> DataFrame:
-    """Add ``item`` (struct, null when the text is not a JSON object of the item shape)."""
-    return df.withColumn("item", F.from_json(F.col(text_col), ITEM_SCHEMA, {"mode": "PERMISSIVE"}))
+    """Add ``item`` (struct) and ``bad_item``: text that is no JSON object, or whose nested parts have another shape.
 
-
-def is_malformed(item: str = "item") -> Column:
-    """from_json gives an all-null struct for text it cannot parse as an item object."""
-    fields = [f.name for f in ITEM_SCHEMA.fields]
-    cond = F.col(item).isNull()
-    allnull = F.lit(True)
-    for f in fields:
-        allnull = allnull & F.col(f"{item}.{f}").isNull()
-    return cond | allnull
+    The text is parsed once a row: the generator keeps the optimiser from parsing it anew for each field that is read.
+    An object without any of the fields is an item of nulls.
+    """
+    schema = T.StructType([*ITEM_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    out = df.select("*", F.explode(F.array(parsed)).alias("item"))
+    bad = F.col("item").isNull() | F.col(f"item.{CORRUPT}").isNotNull() | ~F.col(text_col).rlike(r"^\s*\{")
+    return out.withColumn("bad_item", F.coalesce(bad, F.lit(True)))
 
 
 def split_malformed(df: DataFrame, text_col: str = "item_json") -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, malformed rows); one JSON parse per row."""
-    parsed = parse_items(df, text_col).withColumn("_bad_item", is_malformed())
-    return (parsed.filter(~F.col("_bad_item")).drop("_bad_item"),
-            parsed.filter(F.col("_bad_item")).drop("_bad_item", "item"))
+    """(parsed rows, malformed rows)."""
+    parsed = parse_items(df, text_col)
+    return parsed.filter(~F.col("bad_item")).drop("bad_item"), parsed.filter("bad_item").drop("bad_item", "item")
 
 
 def malformed_counts(df: DataFrame, keys: Sequence[str], text_col: str = "item_json") -> DataFrame:
     """Items and skipped (malformed) items per batch."""
-    parsed = parse_items(df, text_col)
-    return parsed.groupBy(*keys).agg(F.count(F.lit(1)).alias("items"),
-                                     F.sum(F.when(is_malformed(), 1).otherwise(0)).cast("long").alias("malformed"))
+    return parse_items(df, text_col).groupBy(*keys).agg(F.count(F.lit(1)).alias("items"), F.count_if("bad_item").alias("malformed"))
 
 
 def flatten_items(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio
-from ..session import checkpoint_root, small
+from ..session import small, written
 
 # The gate's thresholds.
 PRICE_MIN, PRICE_MAX = 1, 20_000_000
@@ -198,13 +198,14 @@ def gate(df: DataFrame, seed: DataFrame | None = None, batch_keys: Sequence[str]
         cnt_m = cnt_m + F.when(counted, bit).otherwise(0)
         app_m = app_m + F.when(applies, bit).otherwise(0)
     flags = x.withColumn("_bad", bad_m).withColumn("_cnt", cnt_m).withColumn("_app", app_m)
+    if materialize:
+        # rows and masks once: statistics, report and both outputs read this table, not the input
+        flags = written(flags, "gate-flags")
 
     stats = flags.groupBy(*keys, "_bad", "_cnt", "_app").agg(F.count(F.lit(1)).alias("_n"))
     if materialize:
-        # the per-batch mask counts are tiny; writing them once (reliable checkpoint in the shared
-        # folder) lets every verdict / report / split below reuse them instead of rescanning the input
-        checkpoint_root(df.sparkSession)
-        stats = stats.checkpoint(eager=True)
+        # the per-batch mask counts are tiny and every verdict below derives from them
+        stats = written(stats, "gate-stats")
 
     # per (batch, rule) counts, on the small stats table
     spec = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(r.expectation).alias("expectation"),
@@ -268,7 +269,6 @@ def report(res: GateResult, df_rules: Sequence[Rule] | None = None, seq: str = "
     keys = list(keys)
     flags = res.flags
     rules_df = res.rule_results
-    n = rules_df.select("rule_idx", "column").distinct()  # noqa: F841 (kept lazy)
     cells = []
     dtypes = dict(flags.dtypes)
     all_rules = df_rules

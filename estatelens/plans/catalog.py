@@ -579,6 +579,18 @@ def q_src_batch_rows(spark, d):
     return batches.read_batches(spark, root, layout="arrays")
 
 
+@register("src_batch_status")
+def q_src_batch_status(spark, d):
+    """Array files of all cities, one of them cut off in the middle: that city's batch is blocked, the others pass."""
+    root = scratch_path(spark, "arrays")
+    batches.write_array_files(landing_rows(spark, d), root)
+    batch = f"{root}/source_city={params.SUBSET_CITIES[0]}/batch_date={params.BATCH_DATE}"
+    spark.createDataFrame([('[{"id": 1, "title": "cut o',)], "value string").coalesce(1).write.mode("append").text(batch)
+    landed = batches.load_batches(spark, root, layout="arrays")
+    kept = landed.rows.groupBy(*batches.PARTITIONS).agg(F.count(F.lit(1)).alias("loaded"))
+    return landed.status.join(kept, batches.PARTITIONS, "left").select(*batches.PARTITIONS, "rows", "corrupt_records", "readable", F.coalesce("loaded", F.lit(0)).alias("loaded"))
+
+
 @register("sink_raw_append")
 def q_sink_raw_append(spark, d):
     path = scratch_path(spark, "raw")

@@ -145,6 +145,9 @@ def build_sources() -> dict[str, str]:
     return {
         "sink_landing_roundtrip": landed,
         "src_batch_rows": landed,
+        "src_batch_status": f"""SELECT source_city, batch_date, "rows", CASE WHEN source_city = '{params.SUBSET_CITIES[0]}' THEN 1 ELSE 0 END AS corrupt_records,
+            source_city <> '{params.SUBSET_CITIES[0]}' AS readable, CASE WHEN source_city = '{params.SUBSET_CITIES[0]}' THEN 0 ELSE "rows" END AS loaded
+            FROM (SELECT source_city, batch_date, count(*) AS "rows" FROM ({landed}) x GROUP BY source_city, batch_date) y""",
         "sink_raw_append": twice,
         "src_city_lookup": with_ctes([GEO, LOOKUP], "SELECT * FROM lookup"),
     }

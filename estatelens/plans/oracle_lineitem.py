@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_sql import (CITY_SUMMARY, DIM_CITY, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS, RENAMED, TRENDS, initcap,
+from .oracle_sql import (CITY_SUMMARY, DIM_CITY, DIM_DISTRICT, DISTRICT_AGG, DISTRICT_SUMMARY, FACT, FILTERED, GEO, LOOKUP, PRICE_STATS, RENAMED, TRENDS, initcap,
                          r2, with_ctes)
 
 TIE = ["l_linenumber", "l_partkey", "l_suppkey"]
@@ -50,5 +50,6 @@ def build() -> dict[str, str]:
         "li_stg_listings": with_ctes(BASE_LI, "SELECT * FROM stg"),
         "li_market_trends": with_ctes([GEO, LOOKUP, LI_RAW, LI_DAILY, TRENDS], "SELECT * FROM trends"),
         "li_city_summary": with_ctes(BASE_LI + [FACT, DIM_CITY], CITY_SUMMARY),
+        "li_district_summary": with_ctes(BASE_LI + [FACT, DIM_DISTRICT, DISTRICT_AGG], DISTRICT_SUMMARY),
         "li_price_statistics": with_ctes(BASE_LI + [FACT], PRICE_STATS),
     }

@@ -174,7 +174,7 @@ def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The labels are written the way the listing source shows them ('34,5 m²', '4 i więcej', 'Parter',
     'Powyżej 10', 'Tak', 'Wtórny', '6750 zł/m²'); every 23rd item has a duplicated 'm' param (the
-    later one wins); every 31st item is malformed JSON text.
+    later one wins); every 31st item is malformed: truncated text, or a location of the wrong shape.
     """
     e = _events_geo(spark, sf_dir).withColumn("k", _k())
     eid, k, et = F.col("event_id"), F.col("k"), F.col("event_type")
@@ -221,8 +221,8 @@ def items_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.lit(10) + F.col("n_regionkey") + (eid % 30) / F.lit(100.0)).alias("lon"))).alias("map"),
         params.alias("params"),
     )
-    text = F.when(eid % 31 == 0, F.concat(F.lit("{\"id\": "), eid.cast("string"), F.lit(", \"params\": [")))\
-        .otherwise(F.to_json(item))
+    broken = F.concat(F.lit("{\"id\": "), eid.cast("string"), F.when(eid % 62 == 0, F.lit(", \"location\": \"n/a\", \"params\": []}")).otherwise(F.lit(", \"params\": [")))
+    text = F.when(eid % 31 == 0, broken).otherwise(F.to_json(item))
     return e.select(
         F.col("source_city"),
         F.lit(BATCH_DATE).cast("date").alias("batch_date"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,12 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import to_utc_wallclock, utc_day
+from ..session import written
 from .tables import only_missing
 from ..schemas import LOOKUP_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 
 PARTITIONS = ["source_city", "batch_date"]
+CORRUPT = "_corrupt_record"
 
 
 def batch_schema() -> T.StructType:
@@ -50,13 +53,16 @@ def _array_path(root: str, cities: Sequence[str] | None, day: str | None) -> str
 
 
 def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None = None,
-                 day: str | None = None, layout: str = "landing") -> DataFrame:
-    """Read city/day batches. ``layout="landing"``: folders written by ``write_landing`` (JSON lines
+                 day: str | None = None, layout: str = "landing", corrupt: str | None = None) -> DataFrame:
+    """Read city/day batches; ``corrupt`` names a column for the text of records that do not parse. ``layout="landing"``: folders written by ``write_landing`` (JSON lines
     under source_city=/batch_date=); ``layout="arrays"``: the source's own ``<city>/<day>/*.json``
     files, each one JSON array. A missing folder or an empty array is an empty batch, not an error.
     City/day filters are partition filters (landing) or part of the path (arrays), so other folders are never opened.
     """
     schema = batch_schema()
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    options = {"columnNameOfCorruptRecord": corrupt} if corrupt else {}
     empty = spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("source_city", T.StringType()),
                                                                    T.StructField("batch_date", T.DateType())]))
     empty = empty.withColumn("date_collected", F.lit(None).cast("timestamp_ntz"))
@@ -65,7 +71,7 @@ def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None =
     try:
         if layout == "arrays":
             # recursive lookup: folder names are parsed below, never inferred as partition columns
-            df = (spark.read.schema(schema).option("multiLine", True)
+            df = (spark.read.schema(schema).options(**options).option("multiLine", True)
                   .option("recursiveFileLookup", True).json(_array_path(root, cities, day)))
             path = F.input_file_name()
             city = F.regexp_extract(path, r"/([^/]+)/[^/]+/[^/]+$", 1)
@@ -76,7 +82,7 @@ def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None =
         else:
             full = T.StructType(schema.fields + [T.StructField("source_city", T.StringType()),
                                                  T.StructField("batch_date", T.DateType())])
-            df = spark.read.schema(full).json(root)
+            df = spark.read.schema(full).options(**options).json(root)
     except AnalysisException as e:
         only_missing(e)
         return empty
@@ -87,6 +93,41 @@ def read_batches(spark: SparkSession, root: str, cities: Sequence[str] | None =
     return df.withColumn("date_collected", to_utc_wallclock(F.col("date_collected")))
 
 
+def read_items(spark: SparkSession, root: str, cities: Sequence[str] | None = None, day: str | None = None) -> DataFrame:
+    """Scraped items as landed: text files of one JSON item a line under source_city=/batch_date= folders, with a
+    sequence that follows the files' order."""
+    schema = T.StructType([T.StructField("item_json", T.StringType()), T.StructField("source_city", T.StringType()), T.StructField("batch_date", T.DateType())])
+    try:
+        df = spark.read.schema(schema).text(root)
+    except AnalysisException as e:
+        only_missing(e)
+        df = spark.createDataFrame([], schema)
+    df = df.withColumn("seq", F.monotonically_increasing_id())
+    if cities is not None:
+        df = df.filter(F.col("source_city").isin(list(cities)))
+    return df if day is None else df.filter(F.col("batch_date") == F.lit(day).cast("date"))
+
+
+@dataclass
+class Landing:
+    """Rows of the batches that could be read, and one row per batch: rows, corrupt records, readable."""
+    rows: DataFrame
+    status: DataFrame
+
+
+def load_batches(spark: SparkSession, root: str, cities: Sequence[str] | None = None, day: str | None = None,
+                 layout: str = "landing") -> Landing:
+    """``read_batches`` with faults kept to their batch: a file (or line) that does not parse blocks its city and day as a
+    whole, as rows are missing from it; other batches pass. The files are parsed once."""
+    rows = written(read_batches(spark, root, cities, day, layout, corrupt=CORRUPT), "landing")
+    status = written(rows.groupBy(*PARTITIONS).agg(
+        F.count_if(F.col(CORRUPT).isNull()).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_records")
+    ).withColumn("readable", F.col("corrupt_records") == 0), "landing-status")
+    blocked = status.where(~F.col("readable")).select(*PARTITIONS)
+    good = rows.drop(CORRUPT).join(blocked, PARTITIONS, "left_anti")
+    return Landing(good.select(*[c for c in rows.columns if c != CORRUPT]), status)
+
+
 def write_array_files(df: DataFrame, root: str, rows_per_file: int = 500, seq: str | None = None) -> None:
     """Write batches in the source's layout: JSON array files under <city>/<day>/ folders.
 
@@ -165,10 +206,19 @@ def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFr
 
 
 def write_quarantine(df: DataFrame, root: str) -> None:
-    """Rejected rows as JSON per city/day, with their original types (no pandas round trip)."""
+    """Rejected rows as JSON lines per city and day, with their own types; a day delivered again replaces its folder."""
     write_landing(df, root)
 
 
+def missing_rows(df: DataFrame, path: str) -> DataFrame:
+    """The rows of a delivery that the raw table does not hold yet, looking at the delivery's own days only."""
+    key = ["source_city", "id", "date_collected"]
+    days = [r[0] for r in df.select(utc_day("date_collected")).distinct().collect()]  # the days of one delivery
+    held = read_raw(df.sparkSession, path, since=min(days).isoformat() if days else None).select(*key).distinct()
+    on = [df[k].eqNullSafe(held[k]) for k in key]
+    return df.join(held, on[0] & on[1] & on[2], "left_anti")
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame | None:
     """City seed CSV (header). Missing file -> None (geo rule disabled); missing bbox columns -> the
     seed without them (geo rule skipped)."""

@@ -79,6 +79,28 @@ class TableStore:
         return df
 
 
+class RunLog:
+    """What the runs of one day have finished, as appended lines: a run that died is taken up where it stopped, and a
+    run after a finished one is a new attempt."""
+
+    def __init__(self, store: TableStore, name: str):
+        self.store, self.path = store, f"{store.root}/_runs/{name}"
+        try:
+            lines = [r[0].split("|") for r in store.spark.read.text(self.path).collect()]  # a few lines a run
+        except AnalysisException as e:
+            only_missing(e)
+            lines = []
+        last = max((int(n) for n, _ in lines), default=0)
+        self.done = {step for n, step in lines if int(n) == last}
+        self.attempt = last
+        if "finished" in self.done or not last:
+            self.attempt, self.done = last + 1, set()
+
+    def note(self, step: str) -> None:
+        self.store.spark.createDataFrame([(f"{self.attempt}|{step}",)], "value string").coalesce(1).write.mode("append").text(self.path)
+        self.done.add(step)
+
+
 def materialize(df: DataFrame, kind: str, store: TableStore | None = None, name: str | None = None) -> DataFrame:
     """view -> temp view, ephemeral -> the lazy frame itself, table -> new version read back."""
     if kind == "ephemeral":

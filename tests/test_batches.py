@@ -32,3 +32,18 @@ def test_array_layout_opens_only_the_folders_asked_for(spark, tmpdir_path):
     for nothing in (read(cities=[]), read(cities=["nowhere"]), read(day="2025-01-01")):
         assert nothing.count() == 0
         assert nothing.dtypes == both.dtypes
+
+
+def test_a_broken_file_blocks_its_batch_only(spark, tmpdir_path):
+    """In both layouts: the city's good rows do not pass without the missing ones, the other city is untouched."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(i, "c1" if i < 3 else "c2") for i in range(6)], "id long, source_city string").withColumn("batch_date", F.lit("2024-01-31").cast("date"))
+    B.write_array_files(rows, tmpdir_path + "/arrays", rows_per_file=2)
+    B.write_landing(rows, tmpdir_path + "/lines")
+    for root, layout in (("/arrays", "arrays"), ("/lines", "landing")):
+        spark.createDataFrame([('[{"id": 9, "tit',)], "value string").write.mode("append").text(tmpdir_path + root + "/source_city=c1/batch_date=2024-01-31")
+        got = B.load_batches(spark, tmpdir_path + root, layout=layout)
+        assert sorted(r["id"] for r in got.rows.collect()) == [3, 4, 5] and "_corrupt_record" not in got.rows.columns
+        assert {r["source_city"]: (r["rows"], r["corrupt_records"], r["readable"]) for r in got.status.collect()} == {"c1": (3, 1, False), "c2": (3, 0, True)}
+    assert B.load_batches(spark, tmpdir_path + "/none").rows.count() == 0

@@ -91,3 +91,18 @@ def test_in_batch_dedup_last_wins(spark):
     got = {r["id"]: r["title"] for r in out.collect()}
     assert got == {101: "last", 102: "Only a title"}
     assert str(out.first()["date_collected"]) == "2026-07-01 03:00:00"
+
+
+def test_empty_object_is_an_item_and_wrong_shapes_are_malformed(spark):
+    wrong = [dict(MINIMAL, location="Katowice"), dict(MINIMAL, params="m"), dict(MINIMAL, map=[1, 2]), dict(FULL, params=[1, 2])]
+    docs = [{}, FULL, "null", "7", '"text"', "", '[{"id": 5}]', " \n" + json.dumps(MINIMAL), *wrong]
+    good, bad = N.split_malformed(items_frame(spark, docs))
+    assert sorted(str(r["id"]) for r in good.select("item.id").collect()) == ["101", "102", "None"]
+    assert sorted(r["seq"] for r in bad.collect()) == [2, 3, 4, 5, 6, 8, 9, 10, 11]
+    nothing = spark.createDataFrame([("katowice", 1, None)], "source_city string, seq long, item_json string")
+    assert N.split_malformed(nothing)[1].count() == 1
+
+
+def test_one_parse_a_row(spark):
+    plan = N.normalize(items_frame(spark, [FULL]), "2026-07-01 03:00:00")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
