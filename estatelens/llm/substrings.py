@@ -37,9 +37,9 @@ from .common import ship, staged
 ship(__name__)
 
 WINDOW = 13
-BLOCK_CHARS = 8_000_000
-COMPARED = 2_000_000
-BUCKET_CHARS = 6_000_000  # characters of the corpus per bucket
+BLOCK_CHARS = 6_000_000
+COMPARED = 500_000
+BUCKET_CHARS = 5_000_000  # characters of the corpus per bucket
 SAMPLE_DOCS = 4000  # documents looked at for frequent word pairs, at least
 SAMPLE_PER_BUCKET = 4
 MAX_FREQUENT = 1_000_000  # 8 MB sent to each task at most
