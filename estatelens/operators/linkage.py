@@ -19,15 +19,24 @@ from pyspark.sql import types as T
 
 from ..functions import fold
 from ..schemas import CAPTURE_ENTRY
+from ..session import written
 
 OK, AMBIGUOUS, FALLBACK, MISS = "OK", "AMBIGUOUS", "FALLBACK", "MISS"
 
 
 def read_capture_docs(spark: SparkSession, path: str) -> DataFrame:
-    """One document per file (whole text), ordered by file name like a sorted directory listing."""
+    """One document per file (whole text), numbered by file name like a sorted directory listing.
+
+    Only the names are sorted: range-partitioned, numbered within each range, and shifted by the ranges before. Documents
+    get their number by a join on the name and never meet in one task.
+    """
     df = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("doc"))
-    w = Window.orderBy("file")  # one row per file: the ordering runs over the file list only
-    return df.select(F.dense_rank().over(w).cast("long").alias("doc_id"), "doc")
+    names = written(df.select("file").distinct().repartitionByRange("file").withColumn("_range", F.spark_partition_id()), "capture-names")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    shifts = names.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("file"))
+    numbers = names.join(shifts, "_range").select("file", (place + F.col("_before")).cast("long").alias("doc_id"))
+    return df.join(numbers, "file").select("doc_id", "doc")
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:

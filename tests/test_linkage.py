@@ -25,6 +25,10 @@ def test_read_and_link(spark, tmpdir_path):
         with open(os.path.join(tmpdir_path, name), "w", encoding="utf-8") as f:
             f.write(text)
     entries = L.read_captures(spark, tmpdir_path)
+    numbered = {r["doc"]: r["doc_id"] for r in L.read_capture_docs(spark, tmpdir_path).collect()}
+    assert numbered == {text: k for k, (_, text) in enumerate(sorted(docs.items()), 1)}
+    plan = L.read_capture_docs(spark, tmpdir_path)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]  # the documents' side of the join
     cands = L.candidates(entries)
     # (1, 3) appears twice: the first (file a) is kept; the entry without a region id is dropped
     kept = {(r["city_id"], r["region_id"]): (r["doc_id"], r["city_name"]) for r in cands.collect()}
