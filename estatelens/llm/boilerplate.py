@@ -1,17 +1,18 @@
 """Line dedup by site-relative frequency.
 
 Pages are grouped by host. For each line the pages of the host that contain it are divided by the host's page total, and
-lines above ``max_ratio`` that stand on at least ``min_pages`` pages are boilerplate and are dropped. A page that would
-lose more than ``max_share`` of its characters is a copy rather than a page with boilerplate on it; it is left whole,
-for near-duplicate detection to judge.
-
-Lines are counted by hash (64 + 32 bits), each once per page, in one partially aggregated group-by; a host with a third
-of all pages is spread over its lines. A host has at most (lines per page / ``max_ratio``) boilerplate lines, whatever
-its size, so they travel as one array per host, and texts are filtered in the scan without being shuffled when that
-small table is within the planner's broadcast threshold.
-
-Edge cases: null and empty texts stay as they are; blank lines are never counted or dropped; a null host is a host of
-its own; repeated rows count as pages of their own; an empty table gives an empty result; other columns are kept.
+lines above ``max_ratio`` that stand on at least ``min_pages`` pages are boilerplate and are dropped from every page.
+Pages of one host with equal texts count as one page, in the lines' counts and in the total: a text that a host serves
+many times does not turn its own lines into boilerplate. Below ``min_pages`` different pages a ratio says nothing.
+
+Lines and page texts are counted by hash (64 + 32 bits): first the distinct (host, line, page), then the pages of a line,
+both partially aggregated; a host or a line with a third of all rows is spread over its pages. A host has at most (lines
+per page / ``max_ratio``) boilerplate lines, whatever its size, so they travel as one array per host, and texts are
+filtered in the scan without being shuffled when that small table is within the planner's broadcast threshold.
+
+Edge cases: null and empty texts stay as they are and count as one page together; blank lines are never counted or
+dropped; a page that holds nothing but boilerplate keeps its blank lines only; a null host is a host of its own; an empty
+table gives an empty result; other columns are kept.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from .common import group_key, let, staged, text_of
 
 MAX_RATIO = 0.02
 MIN_PAGES = 5
-MAX_SHARE = 0.5
 
 
 def _lines(text: Column) -> Column:
@@ -36,30 +36,27 @@ def _hash(line: Column) -> Column:
 
 def frequent_lines(pages: DataFrame, host: Column, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per host with boilerplate: the host's key and the hashes of its boilerplate lines."""
-    narrow = pages.select(group_key(host).alias("_host"), text_of(text).alias("_t"))
-    totals = narrow.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+    narrow = pages.select(group_key(host).alias("_host"), _hash(text_of(text)).alias("_page"), text_of(text).alias("_t"))
+    totals = narrow.select("_host", "_page").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     each = F.array_distinct(F.filter(F.transform(_lines(F.col("_t")), lambda x: F.trim(x)), lambda x: x != ""))
-    counts = (narrow.select("_host", F.explode(F.transform(each, _hash)).alias("_line"))
+    counts = (narrow.select("_host", "_page", F.explode(F.transform(each, _hash)).alias("_line")).distinct()
               .groupBy("_host", F.col("_line.h").alias("h"), F.col("_line.c").alias("c")).agg(F.count(F.lit(1)).alias("_k"))
               .where(F.col("_k") >= min_pages))
     over = counts.join(totals, "_host").where(F.col("_k") > max_ratio * F.col("_pages"))
     return over.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("h", "c"))).alias("_bad"))
 
 
-def cleaned(pages: DataFrame, host: Column | None = None, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
-            max_share: float = MAX_SHARE) -> DataFrame:
+def cleaned(pages: DataFrame, host: Column | None = None, text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """All rows and columns of ``pages`` as ``row``, and ``clean`` text, ``n_lines`` with content and ``n_dropped``."""
     host = F.col("source") if host is None else host
-    bad = staged(frequent_lines(pages, host, text, max_ratio, min_pages).coalesce(1), "boilerplate")
+    bad = staged(frequent_lines(pages, host, text, max_ratio, min_pages), "boilerplate")
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), group_key(host).alias("_host"), F.col(text).alias("_t"))
     rows = rows.join(bad, "_host", "left")
-    size = lambda lines: F.aggregate(lines, F.lit(0), lambda s, x: s + F.length(x))
     full = lambda lines: F.size(F.filter(lines, lambda x: F.trim(x) != ""))
 
     def split(lines: Column) -> Column:
         left = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_bad"), _hash(F.trim(x))))
-        copy = size(lines) - size(left) > max_share * size(lines)
-        return F.struct(F.when(copy, lines).otherwise(left).alias("left"), lines.alias("lines"))
+        return F.struct(left.alias("left"), lines.alias("lines"))
 
     parts = F.when(F.col("_bad").isNotNull() & F.col("_t").isNotNull(), let(_lines(F.col("_t")), lambda x: split(x)))
     rows = rows.select("row", "_t", parts.alias("_p"))

@@ -107,14 +107,14 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 
 OP6 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '-') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
-t AS (SELECT host, count(*) AS pages FROM d GROUP BY host),
-l AS (SELECT DISTINCT r, host, trim(x) AS line FROM (SELECT r, host, unnest(ls) AS x FROM d) WHERE trim(x) <> ''),
+u AS (SELECT DISTINCT host, coalesce(text, '') AS page FROM d),
+t AS (SELECT host, count(*) AS pages FROM u GROUP BY host),
+l AS (SELECT DISTINCT host, page, trim(x) AS line FROM (SELECT host, page, unnest(string_split(page, chr(10))) AS x FROM u) WHERE trim(x) <> ''),
 b AS (SELECT host, list(line) AS bad FROM (SELECT l.host, line FROM l JOIN t ON l.host = t.host GROUP BY l.host, line, pages HAVING count(*) >= 5 AND count(*) > 0.02 * pages) GROUP BY host),
-j AS (SELECT d.*, list_filter(ls, lambda x: trim(x) = '' OR NOT coalesce(list_contains(bad, trim(x)), false)) AS rest FROM d LEFT JOIN b ON d.host = b.host),
-k AS (SELECT *, list_sum(list_transform(ls, lambda x: length(x))) - coalesce(list_sum(list_transform(rest, lambda x: length(x))), 0) > 0.5 * list_sum(list_transform(ls, lambda x: length(x))) AS copy FROM j)
+j AS (SELECT d.*, list_filter(ls, lambda x: trim(x) = '' OR NOT coalesce(list_contains(bad, trim(x)), false)) AS rest FROM d LEFT JOIN b ON d.host = b.host)
 SELECT doc_id, coalesce(len(list_filter(ls, lambda x: trim(x) <> '')), 0)::BIGINT AS n_lines,
-       CASE WHEN text IS NULL OR copy THEN 0 ELSE len(ls) - len(rest) END::BIGINT AS n_dropped,
-       md5(CASE WHEN text IS NULL THEN '' WHEN copy THEN text ELSE array_to_string(rest, chr(10)) END) AS clean_md5 FROM k
+       CASE WHEN text IS NULL THEN 0 ELSE len(ls) - len(rest) END::BIGINT AS n_dropped,
+       md5(CASE WHEN text IS NULL THEN '' ELSE array_to_string(rest, chr(10)) END) AS clean_md5 FROM j
 """
 
 OP11 = """
