@@ -5,7 +5,9 @@ stops at ``MAX_PASSES`` times its source's size and the excess is shared again b
 
 Schedule: slot i maps the golden-ratio point frac(i * phi) through the cumulative shares of the sources; the k-th slot
 of a source takes the k-th block of ``BLOCK`` words of its documents, shuffled by hash and laid end to end, starting
-over when the source is used up, until the target is reached. The schedule runs longer than the blocks needed by what
+over when the source is used up, until the target is reached. Every taken word so has a slot, and the mix read by slot
+holds the target shares in each prefix, within the discrepancy of the sequence; ``dealt`` returns the blocks' pieces by
+slot, ``taken`` each document's first and last slot, ``mixed`` its slots on request. The schedule runs longer than the blocks needed by what
 the discrepancy of the sequence can make the smallest source wait, at most twice as long.
 
 A hot source is ranked and summed in pieces (``common.running``), and blocks are equal, so that neither its slots nor
@@ -77,32 +79,49 @@ def schedule(per: DataFrame) -> DataFrame:
                         F.least(length, F.col("goal") - before).alias("take")).where(F.col("take") > 0)
 
 
-def _takings(docs: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
+def _dealt(docs: DataFrame, id_col: str, text: str, source: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents laid out, the targets, and the pieces of documents in the blocks that the slots take."""
     rows = _laid_out(docs, id_col, text, source)
     per = staged(targets(rows).coalesce(1), "mix-targets")
     at = running(rows.withColumn("_piece", F.shiftright("_mix", 54)), ["_source"], "_piece", ["_mix", "id", "_h"], {"pos": F.col("size")}, "_rank")
     at = staged(at.select("id", "_source", "_h", "size", "pos", "_rank"), "mix-layout")
     pieces = at.where(F.col("size") > 0).withColumn("block", F.explode(F.sequence(F.floor(F.col("pos") / BLOCK), F.floor((F.col("pos") + F.col("size") - 1) / BLOCK))))
     start = F.col("block") * BLOCK
-    got = F.least(F.col("pos") + F.col("size"), start + F.col("take")) - F.greatest(F.col("pos"), start)
-    taken = pieces.join(schedule(per), ["_source", "block"]).groupBy("_source", "_rank").agg(F.sum(F.greatest(got, F.lit(0))).alias("taken"))
-    return at.join(taken, ["_source", "_rank"], "left").join(per, "_source").select("id", "_source", "_h", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    first = F.greatest(F.col("pos"), start)
+    got = F.least(F.col("pos") + F.col("size"), start + F.col("take")) - first
+    pieces = pieces.join(schedule(per), ["_source", "block"]).where(got > 0)
+    return at, per, pieces.select("id", "_source", "_h", "_rank", "size", "slot", "pass", "block", (first - F.col("pos")).alias("start"), got.alias("words"))
 
 
-def taken(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per document: id, size, source_size, target of its source, and the words that the mix takes of it."""
-    return _takings(docs, id_col, text, source).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+def dealt(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row per piece of a document in a slot's block: id, ``_source`` (key), slot, pass, block, the first word and the words taken."""
+    return _dealt(docs, id_col, text, source)[2].select(F.col("id").alias(id_col), "_source", "slot", "pass", "block", "start", "words")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The mix as documents: each one as often as its words are taken whole, and one row with its first words for the
-    rest. Rows that agree in id, source and text share evenly what is taken of them."""
-    got = _takings(docs, "doc_id", "text", "source").groupBy(F.col("id").alias("_id"), "_source", "_h").agg(F.floor(F.avg("taken")).alias("_taken"), F.first("size").alias("_size"))
+def taken(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row per document: id, size, source_size, target of its source, the words that the mix takes of it, and the
+    first and last slot that take them (null: none)."""
+    at, per, pieces = _dealt(docs, id_col, text, source)
+    got = pieces.groupBy("_source", "_rank").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
+    return at.join(got, ["_source", "_rank"], "left").join(per, "_source").select(
+        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "last_slot")
+
+
+def mixed(docs: DataFrame, with_slots: bool = False) -> DataFrame:
+    """The mix as documents: one row per document and pass of its source, with the whole text or its first words where
+    the target ends within it. ``with_slots`` adds ``mix_slot`` (the first that takes it in this pass) and ``mix_pass``.
+    Rows that agree in id, source and text share evenly what is taken of them in a pass."""
+    at, _, pieces = _dealt(docs, "doc_id", "text", "source")
+    key = ["id", "_source", "_h"]
+    alike = at.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    got = pieces.groupBy(*key, "pass").agg(F.sum("words").alias("_words"), F.min("slot").alias("_slot"), F.first("size").alias("_size"))
+    same = [a.eqNullSafe(b) if k == "id" else a == b for k in key for a, b in [(F.col(k), F.col(f"_n_{k}"))]]
+    got = got.join(alike.select(*[F.col(k).alias(f"_n_{k}") for k in key], "_n"), same)
+    got = got.select(*[F.col(k).alias(f"_g_{k}") for k in key], "pass", "_slot", "_size", F.floor(F.col("_words") / F.col("_n")).cast("int").alias("_first")).where(F.col("_first") > 0)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_i"), group_key(F.col("source")).alias("_s"), F.xxhash64("text").alias("_x"))
-    hit = own.join(got, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_s") == F.col("_source")) & (F.col("_x") == F.col("_h"))).where(F.col("_taken") > 0)
-    whole, rest = F.floor(F.col("_taken") / F.col("_size")), (F.col("_taken") % F.col("_size")).cast("int")
-    parts = F.concat(F.array_repeat(F.lit(0), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    hit = hit.select("row", F.explode(parts).alias("_first"))
-    text = F.when(F.col("_first") > 0, F.array_join(F.slice(words_of(F.col("row.text")), F.lit(1), F.greatest(F.col("_first"), F.lit(1))), " ")).otherwise(F.col("row.text"))
-    new = {"text": text, "n_chars": F.when(F.col("_first") > 0, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))}
-    return hit.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    hit = own.join(got, F.col("_i").eqNullSafe(F.col("_g_id")) & (F.col("_s") == F.col("_g__source")) & (F.col("_x") == F.col("_g__h")))
+    cut = F.col("_first") < F.col("_size")
+    text = F.when(cut, F.array_join(F.slice(words_of(F.col("row.text")), F.lit(1), F.col("_first")), " ")).otherwise(F.col("row.text"))
+    new = {"text": text, "n_chars": F.when(cut, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))}
+    slots = [F.col("_slot").alias("mix_slot"), F.col("pass").alias("mix_pass")] if with_slots else []
+    return hit.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns], *slots)

@@ -100,6 +100,10 @@ def test_line_dedup(spark, docs, empty):
     pages = spark.createDataFrame([(i, f"own text of page {i}, long enough\nAll rights reserved.\n", "h") for i in range(20)] + [(20, None, None)], "doc_id long, text string, source string")
     got = {r["doc_id"]: r for r in boilerplate.cleaned(pages).select("row.doc_id", "clean", "n_dropped").collect()}
     assert all(got[i]["clean"] == f"own text of page {i}, long enough\n" and got[i]["n_dropped"] == 1 for i in range(20)) and got[20]["clean"] is None
+    # a page of two lines loses its boilerplate as well; a text served many times counts as one page
+    short = [(i, f"own {i}\nLicense line", "h") for i in range(20)] + [(100 + i, "served often\nsecond line of it", "h") for i in range(50)]
+    got = {r["doc_id"]: r["clean"] for r in boilerplate.cleaned(spark.createDataFrame(short, "doc_id long, text string, source string")).select("row.doc_id", "clean").collect()}
+    assert all(got[i] == f"own {i}" for i in range(20)) and all(got[100 + i] == "served often\nsecond line of it" for i in range(50))
 
 
 def test_simhash(docs, empty):
@@ -257,6 +261,39 @@ def test_mixing(docs, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mix_by_slot_holds_the_target_shares(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join("w" + str(k) for k in r.integers(0, 99, int(r.integers(20, 400)))), f"s{min(3, i % 7)}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).cache()
+    pieces, got = mixing.dealt(docs).collect(), {x["doc_id"]: x for x in mixing.taken(docs).collect()}
+    goal = {"=" + rows[i][2]: x["target"] for i, x in got.items()}
+    share = {s: v / sum(goal.values()) for s, v in goal.items()}
+    slots = {}
+    for p in pieces:
+        assert slots.setdefault(p["slot"], p["_source"]) == p["_source"]
+    filled = Counter()
+    for p in pieces:
+        filled[p["slot"]] += p["words"]
+    assert sum(v == mixing.BLOCK for v in filled.values()) >= len(filled) - 3 * len(goal) and max(filled.values()) == mixing.BLOCK
+    seen = Counter()
+    for n, slot in enumerate(sorted(slots), 1):
+        seen[slots[slot]] += 1
+        if n <= 0.9 * len(slots):
+            assert all(abs(seen[s] - share[s] * n) <= 3 + 0.01 * n for s in share), n
+    words = Counter()
+    for p in pieces:
+        words[p["doc_id"]] += p["words"]
+    assert all(words[i] == x["taken"] for i, x in got.items())
+    mix = mixing.mixed(docs, with_slots=True).collect()
+    held = Counter()
+    for x in mix:
+        n = len(x["text"].split())
+        held[x["doc_id"]] += n
+        assert rows[x["doc_id"]][1].split()[:n] == x["text"].split() and x["mix_slot"] in slots
+        assert got[x["doc_id"]]["first_slot"] <= x["mix_slot"] <= got[x["doc_id"]]["last_slot"]
+    assert all(held[i] == x["taken"] for i, x in got.items())
+
+
 def test_nearest(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(900, 16)).astype(np.float32)
