@@ -59,6 +59,36 @@ def test_pii_and_secrets(docs, empty):
         assert module.digest(module.detected(empty)).count() == 0
 
 
+def test_loose_personal_data_is_added(spark):
+    """Loose forms that no base rule finds, in other words than the training contexts; clean look-alikes stay untouched."""
+    r = np.random.default_rng(21)
+    words = ["stone", "river", "north", "green", "black", "field", "wood", "gate", "house", "light"]
+    prose = lambda n: " ".join(r.choice(words, n))
+    d = lambda n: "".join(str(x) for x in r.integers(0, 10, n))
+
+    def card():
+        body = "4" + d(14)
+        last = next(c for c in "0123456789" if luhn(re.match(r".*", body + c)))
+        return body + last
+
+    name = lambda: f"{r.choice(words)}.{d(2)}"
+    host = lambda: f"mail{d(1)}.example.com"
+    ip = lambda mark: mark.join(str(x) for x in r.integers(1, 255, 4))
+    base = [f"{prose(9)} {v} {prose(6)}" for _ in range(150) for v in (f"{name()}@{host()}", ip("."), card(), f"+1 ({d(3)}) 555-{d(4)}")]
+    four = lambda mark: mark.join(re.findall("....", card()))
+    loose = [(k, v) for _ in range(25) for k, v in (("email", f"{name()} [at] {host().replace('.', ' [dot] ')}"), ("email", f"{name()}(at){host()}"), ("card", four(".")), ("card", four("/")),
+                                                    ("phone", f"({d(3)}) 555-{d(4)}"), ("phone", f"1 {d(3)} 555 {d(4)}"), ("ip", ip("[.]")))]
+    clean = [prose(12) for _ in range(100)] + [f"{prose(5)} {v} {prose(4)}" for _ in range(25) for v in ("2024-03-17", f"version 1.{d(1)}.3", f"{d(5)} items", f"see @{r.choice(words)}", f"{d(2)}:{d(2)}:{d(2)}",
+                                                                                                          f"1{d(9)}", f"{r.choice(words)}{d(12)}", "".join(r.choice(list("abcdef0123456789"), 24)))]
+    texts = base + [f"{prose(4)} {v} {prose(3)}" for _, v in loose] + clean
+    got = {x["doc_id"]: x["spans"] for x in pii.digest(pii.detected(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))).collect()}
+    found = Counter(k for i, (k, _) in enumerate(loose) if f"{k}:" in got[len(base) + i])
+    planted = Counter(k for k, _ in loose)
+    assert all(found[k] >= 0.8 * planted[k] for k in planted), (found, planted)
+    touched = [texts[i] for i in range(len(base) + len(loose), len(texts)) if got[i]]
+    assert len(touched) <= 0.02 * len(clean), touched[:9]
+
+
 @pytest.mark.parametrize("share", [0.01, 0.1])
 def test_bare_keys_are_found_however_many_they_are(spark, share):
     """Random strings without a format among distinct ordinary tokens, of which they are ``share``."""
