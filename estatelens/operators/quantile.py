@@ -1,80 +1,112 @@
-"""Exact discrete quantile (``percentile_disc``) per group, distributed.
+"""Exact discrete quantiles (``percentile_disc``) per group, distributed.
 
 A plain ``percentile_disc`` buffers every value of a group in one task; a hot group (a third of the
-rows) would land on a single executor. Here the work is split into passes that all aggregate
-partially before any shuffle:
-
-1. a mergeable sketch (``percentile_approx``) per group gives ``buckets - 1`` cut points;
-2. rows are counted per (group, bucket) -- at most ``buckets`` rows per group -- and the running count
-   locates the bucket holding the target rank and the rank offset before it;
-3. only that bucket's rows are kept, compacted to (group, value, count) with a partial aggregate,
-   and a running sum over the distinct values picks the answer.
-
-Per group, the final window sees the distinct values of one bucket of that group (about 1/``buckets``
-of it). Without groups the refinement repeats on the target bucket's value range until that bucket is
-at most ``MAX_EXACT_ROWS`` rows or a single value (see ``_global_quantile``).
+rows) would land on a single executor. ``quantiles`` works in two passes over the rows, for all
+measures at once, and both aggregate partially before any shuffle:
+
+1. one aggregate per group: a mergeable KLL sketch and the count of every measure, beside any other
+   aggregates the caller wants. The sketch gives two values that enclose the wanted rank;
+2. values below the lower bound are counted, those within the bounds are counted per distinct value,
+   and a running sum over these counts picks the answer. The bounds, one row per group, are written
+   first, so the planner broadcasts them only if their measured size allows.
+
+No exchange carries raw rows. The sketch is approximate, so the result says whether the wanted rank
+lies within the bounds; should a group's not, or hold more than ``MAX_EXACT_ROWS`` distinct values
+between them, that measure is resolved by ``quantile_disc``, which narrows ranges until they fit.
 The result is the smallest value whose cumulative share reaches ``p`` (same as percentile_disc).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+SKETCH_K = 800  # rank error of the sketch about 0.55 % at 99 % confidence
+MARGIN = 0.02  # ranks on either side of the wanted one that the bounds enclose
+
+
+def _bound(sketch: str, rank: float) -> Column:
+    some = F.kll_sketch_get_n_double(sketch) > 0
+    return F.when(some, F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(min(1.0, max(0.0, rank)))))
+
+
+def quantiles(df: DataFrame, measures: Mapping[str, str], keys: Sequence[str] = (), p: float = 0.5,
+              also: Sequence[Column] = ()) -> DataFrame:
+    """One row per group: ``keys``, the aggregates ``also``, and per alias of ``measures`` the exact
+    ``p`` quantile of its column's non-null values (null where a group has none)."""
+    from ..session import written
+
+    keys, names, cols = list(keys), list(measures), list(measures.values())
+    rows = df.select(*keys, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    value = lambda i: F.col(f"_v{i}").cast("double")
+    finite = lambda i: F.when(~F.isnan(value(i)), value(i))
+    extra = [c.alias(f"_a{j}") for j, c in enumerate(also)]
+    group = df.groupBy(*keys).agg(*extra, *[F.count(c).alias(f"_n{i}") for i, c in enumerate(cols)],
+                                  *[F.kll_sketch_agg_double(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), F.lit(SKETCH_K)).alias(f"_s{i}")
+                                    for i, c in enumerate(cols)])
+    state = written(group.select(*keys, *[f"_a{j}" for j in range(len(also))], *[f"_n{i}" for i in range(len(cols))],
+                                 *[_bound(f"_s{i}", p - MARGIN).alias(f"_lo{i}") for i in range(len(cols))],
+                                 *[_bound(f"_s{i}", p + MARGIN).alias(f"_hi{i}") for i in range(len(cols))]), "quantile-state")
+    bounds = state.select(*keys, *[f"_{b}{i}" for i in range(len(cols)) for b in ("lo", "hi")])
+    if keys:
+        near = _same_group(rows, bounds, keys)
+    else:  # one row of bounds
+        first = bounds.first()
+        near = rows.withColumns({c: F.lit(first[c]).cast("double") for c in bounds.columns})
+    kinds = {df.schema[c].dataType for c in cols}
+    common = kinds.pop().simpleString() if len(kinds) == 1 else "double"
+
+    def part(i: int) -> Column:
+        below = F.coalesce(value(i) < F.col(f"_lo{i}"), F.lit(False))
+        above = F.coalesce(value(i) > F.col(f"_hi{i}"), F.lit(False))
+        at = F.when(~below, F.col(f"_v{i}").cast(common))
+        return F.when(F.col(f"_v{i}").isNotNull() & ~above, F.struct(F.lit(i).alias("_m"), at.alias("_v")))
+
+    each = near.select(*keys, F.explode(F.array_compact(F.array(*[part(i) for i in range(len(cols))]))).alias("_x")).select(*keys, "_x._m", "_x._v")
+    counts = written(each.groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
+
+    totals = state.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(f"_n{i}").alias("_n")) for i in range(len(cols))])).alias("_x")).select(*keys, "_x._m", "_x._n").where(F.col("_n") > 0)
+    spread = counts.groupBy(*keys, "_m").agg(F.sum("_c").alias("_upto"), F.sum(F.when(F.col("_v").isNull(), F.col("_c"))).alias("_below"), F.count(F.lit(1)).alias("_values"))
+    of = _same_group(totals, spread, [*keys, "_m"])
+    wanted = p * F.col("_n")
+    missed = (F.coalesce("_below", F.lit(0)) >= wanted) & (F.coalesce("_below", F.lit(0)) > 0) | (F.col("_upto") < wanted) | (F.col("_values") > MAX_EXACT_ROWS)
+    again = sorted(r["_m"] for r in of.where(missed).select("_m").distinct().collect())  # at most one row a measure
+
+    window = Window.partitionBy(*keys, "_m").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _same_group(counts, totals, [*keys, "_m"]).withColumn("_cum", F.sum("_c").over(window))
+    pick = ranked.where((F.col("_cum") >= wanted) & F.col("_v").isNotNull() & ~F.col("_m").isin(again or [-1]))
+    pick = pick.groupBy(*keys).agg(*[F.min(F.when(F.col("_m") == i, F.col("_v"))).cast(df.schema[c].dataType).alias(f"_q{i}") for i, c in enumerate(cols)])
+    out = _with_group(state, pick, keys)
+    for i in again:
+        slow = quantile_disc(df, cols[i], keys, p, f"_slow{i}")
+        out = _with_group(out, slow, keys).withColumn(f"_q{i}", F.col(f"_slow{i}"))
+    return out.select(*keys, *[F.col(f"_a{j}").alias(_name(df, c)) for j, c in enumerate(also)], *[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
+
+
+def _with_group(state: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    if keys:
+        return _same_group(state, found, keys, "left")
+    return state.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+
+
+def _name(df: DataFrame, aggregate: Column) -> str:
+    return df.select(aggregate).columns[0]
 
 
 def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float = 0.5,
                   alias: str | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact quantile of one measure by narrowing value ranges; ``buckets=1`` sums over all distinct values of a group."""
     alias = alias or f"{value}_q"
     keys = list(keys)
     v = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-
-    if not keys and buckets > 1:
-        return _global_quantile(v, p, buckets, alias)
-    if keys and buckets > 1:
-        return _grouped_quantile(v, keys, p, buckets, alias)
-
     if buckets > 1:
-        cuts = [i / buckets for i in range(1, buckets)]
-        bounds = v.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10000).alias("_cuts"))
-        if keys:
-            vb = v.join(bounds, keys, "inner")
-        else:
-            # one global sketch: its cut points are a handful of scalars, inlined as a literal
-            row = bounds.first()
-            got = row["_cuts"] if row is not None and row["_cuts"] is not None else []
-            vb = v.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in got]).cast("array<double>"))
-        # bucket = number of cut points strictly below the value (monotone in the value)
-        vb = vb.select(*keys, "_v", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v"))).alias("_b"))
-        per_b = vb.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-        wb = wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        per_b = (per_b.withColumn("_cumb", F.sum("_nb").over(wb))
-                 .withColumn("_tot", F.sum("_nb").over(wk.rowsBetween(Window.unboundedPreceding,
-                                                                       Window.unboundedFollowing))))
-        target = per_b.filter((F.col("_cumb") >= F.col("_tot") * p)
-                              & ((F.col("_cumb") - F.col("_nb")) < F.col("_tot") * p)) \
-            .select(*keys, "_b", (F.col("_cumb") - F.col("_nb")).alias("_off"), "_tot")
-        if keys:
-            rows = vb.join(target, [*keys, "_b"], "inner")
-            comp = rows.groupBy(*keys, "_off", "_tot", "_v").agg(F.count(F.lit(1)).alias("_n"))
-        else:
-            # one global target bucket: its id, rank offset and total are three scalars
-            t = target.first()
-            if t is None:
-                return v.limit(0).select(F.col("_v").alias(alias))
-            comp = (vb.filter(F.col("_b") == F.lit(int(t["_b"]))).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-                    .withColumn("_off", F.lit(int(t["_off"]))).withColumn("_tot", F.lit(int(t["_tot"]))))
-    else:
-        comp = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-        comp = comp.withColumn("_off", F.lit(0).cast("long")).withColumn(
-            "_tot", F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-
-    wv = wk.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    comp = comp.withColumn("_cum", F.col("_off") + F.sum("_n").over(wv))
+        return _grouped_quantile(v, keys, p, buckets, alias) if keys else _global_quantile(v, p, buckets, alias)
+    comp = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    comp = comp.withColumn("_tot", F.sum("_n").over(group)).withColumn("_cum", F.sum("_n").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     pick = comp.filter((F.col("_cum") >= F.col("_tot") * p) & ((F.col("_cum") - F.col("_n")) < F.col("_tot") * p))
     return pick.select(*keys, F.col("_v").alias(alias))
 
@@ -85,13 +117,13 @@ def quantile_disc(df: DataFrame, value: str, keys: Sequence[str] = (), p: float
 MAX_EXACT_ROWS = 2_000_000
 
 
-def _same_group(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on the group keys; a null key is a group like any other."""
+def _same_group(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on the group keys; a null key is a group like any other."""
     right = b.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in b.columns if c not in keys])
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-    return a.join(right, match).drop(*[f"_g_{k}" for k in keys])
+    return a.join(right, match, how).drop(*[f"_g_{k}" for k in keys])
 
 
 def _in_range(df: DataFrame, lo, hi) -> DataFrame:

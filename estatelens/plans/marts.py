@@ -6,29 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import UNKNOWN, round2, safe_ratio, utc_day
-from ..operators.quantile import quantile_disc
-from ..session import materialized
+from ..operators.quantile import quantiles
+from ..session import written
 
 
 def price_statistics(fact: DataFrame) -> DataFrame:
     """One row: count, avg / median / min / max / sample stddev of price, avg / median price per m².
 
-    Averages and the stddev are one global aggregate (partial per task); the medians are exact and
-    distributed (see ``quantile_disc``). ``generated_at`` is added by the caller when wanted.
+    All of them, the medians' sketches included, come from one partial aggregate; the medians are exact (see
+    ``quantiles``). ``generated_at`` is added by the caller when wanted.
     """
-    # the medians make three passes each: read a narrow materialised projection, not the fact's lineage
-    fact = materialized(fact.select("price", "price_per_sqm_calculated"))
-    stats = fact.agg(
+    # read twice: a narrow written projection, not the fact's lineage
+    fact = written(fact.select("price", "price_per_sqm_calculated"), "prices")
+    out = quantiles(fact, {"median_price": "price", "median_price_per_sqm": "price_per_sqm_calculated"}, also=[
         F.count(F.lit(1)).alias("total_listings"),
         round2(F.avg("price")).alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         round2(F.stddev_samp("price")).alias("stddev_price"),
         round2(F.avg("price_per_sqm_calculated")).alias("avg_price_per_sqm"),
-    ).withColumn("_one", F.lit(1))
-    med_p = quantile_disc(fact, "price", alias="median_price").withColumn("_one", F.lit(1))
-    med_s = quantile_disc(fact, "price_per_sqm_calculated", alias="median_price_per_sqm").withColumn("_one", F.lit(1))
-    out = stats.join(med_p, "_one", "left").join(med_s, "_one", "left")
+    ])
     return out.select("total_listings", "avg_price", "median_price", "min_price", "max_price",
                       "stddev_price", "avg_price_per_sqm", "median_price_per_sqm")
 
@@ -45,17 +42,14 @@ def city_summary(fact: DataFrame, dim_city: DataFrame) -> DataFrame:
     """
     j = fact.join(dim_city.select("city_key", "city"), "city_key", "inner") \
         .select("city", "price", "area_sqm", "num_rooms", "price_per_sqm_calculated")
-    j = materialized(j)  # read by the aggregate and the three median passes
-    agg = j.groupBy("city").agg(
+    j = written(j, "city-listings")  # read by the aggregate and by the count of values near the medians
+    out = quantiles(j, {"median_area_sqm": "area_sqm"}, ["city"], also=[
         F.count(F.lit(1)).alias("num_listings"),
         round2(F.avg("price")).alias("avg_price"),
         round2(F.avg("num_rooms")).alias("avg_rooms"),
         round2(F.avg("price_per_sqm_calculated")).alias("avg_price_per_sqm"),
-    )
-    med = quantile_disc(j, "area_sqm", ["city"], alias="median_area_sqm")
-    med = med.withColumnRenamed("city", "_city")
-    return agg.join(med, F.col("city").eqNullSafe(F.col("_city")), "left").select(
-        "city", "num_listings", "avg_price", "median_area_sqm", "avg_rooms", "avg_price_per_sqm")
+    ])
+    return out.select("city", "num_listings", "avg_price", "median_area_sqm", "avg_rooms", "avg_price_per_sqm")
 
 
 def district_summary(fact: DataFrame, dim_district: DataFrame) -> DataFrame:

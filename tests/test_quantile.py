@@ -69,3 +69,46 @@ def test_null_group_has_its_quantile(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 5.0), (None, 9.0), ("a", 2.0)], "g string, x double")
     got = {r["g"]: r["q"] for r in quantile_disc(df, "x", ["g"], alias="q").collect()}
     assert got == {None: 5.0, "a": 2.0}
+
+
+def test_several_measures_in_two_passes(spark):
+    """Null keys, groups without a value, ties, a hot group, long runs and NaN, with other aggregates beside."""
+    import random
+
+    from estatelens.operators.quantile import quantiles
+
+    r = random.Random(5)
+    rows = [("hot", r.random() * 1e6, float(i % 7)) for i in range(20_000)] + [(None, float(i % 3), None) for i in range(50)] + [("one", 4.0, 2.0), ("none", None, None)]
+    rows += [("nan", float("nan"), 1.0), ("nan", 3.0, 1.0), ("nan", float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    for p in (0.0, 0.1, 0.5, 0.9, 1.0):
+        got = {r["g"]: r for r in quantiles(df, {"qx": "x", "qy": "y"}, ["g"], p, also=[F.count(F.lit(1)).alias("n")]).collect()}
+        for g in {r[0] for r in rows}:
+            for k, c in ((1, "qx"), (2, "qy")):
+                vals = sorted((v[k] for v in rows if v[0] == g and v[k] is not None), key=lambda v: (v != v, v))
+                want = next((v for i, v in enumerate(vals, 1) if i >= p * len(vals)), None)
+                assert repr(got[g][c]) == repr(want), (g, c, p)
+            assert got[g]["n"] == sum(v[0] == g for v in rows)
+    one = quantiles(df.where("g = 'hot'"), {"qx": "x", "qy": "y"}).first()
+    assert one["qx"] == sorted(v[1] for v in rows if v[0] == "hot")[9_999] and one["qy"] == 3.0
+    assert quantiles(df.limit(0), {"qx": "x"}, also=[F.count(F.lit(1)).alias("n")]).first().asDict() == {"n": 0, "qx": None}
+
+
+def test_a_missed_bound_or_too_many_values_is_resolved_exactly(spark, monkeypatch):
+    from estatelens.operators import quantile
+
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 5000).cast("double").alias("x"))
+    want = {g: sorted(i * 7919 % 5000 for i in range(g, 5000, 2))[1249] for g in (0, 1)}
+    monkeypatch.setattr(quantile, "MAX_EXACT_ROWS", 10)
+    assert {r["g"]: r["q"] for r in quantile.quantiles(df, {"q": "x"}, ["g"]).collect()} == want
+    monkeypatch.undo()
+    monkeypatch.setattr(quantile, "MARGIN", -0.1)  # bounds that enclose nothing
+    assert {r["g"]: r["q"] for r in quantile.quantiles(df, {"q": "x"}, ["g"]).collect()} == want
+
+
+def test_no_exchange_carries_raw_rows(spark):
+    from estatelens.operators.quantile import quantiles
+
+    df = spark.range(10_000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("x"))
+    plan = quantiles(df, {"q": "x"}, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan  # what is left reads the written counts and bounds only
