@@ -2,14 +2,17 @@
 
 Each document becomes a vector of transformed text statistics. For every (language, source) a minimum-covariance-
 determinant estimate is found by concentration steps: keep the ``CORE`` share of the group's documents that lie nearest
-by Mahalanobis distance, re-estimate mean and covariance from them, repeat. The estimate of a language starts from the
-one over all documents, that of a source from its language's, and each is shrunk towards its parent with the weight of
+by Mahalanobis distance, re-estimate mean and covariance from them, repeat until the determinant falls no more. Each
+group takes these steps from several fixed starts and keeps the one of the smallest determinant. The estimate of a
+language is shrunk towards the one over all documents, that of a source towards its language's, with the weight of
 ``PRIOR_DOCS`` documents, so that a tiny group needs no case of its own. A document is rejected when its squared
 distance passes the chi-square quantile.
 
-Everything is column expressions and grouped aggregates: per step one quantile sketch and one moment sum per group,
-both combined on the map side, so a source with a third of all documents costs no more than others. The per-group
-state is one row per group and joins by the planner's choice of strategy from its real size.
+Everything is column expressions and grouped aggregates: per step one quantile sketch and one moment sum per group and
+start, for all groups and starts of a level at once, both combined on the map side, so a source with a third of all
+documents costs no more than others. State and limits are one row per group and start in written tables, so the planner
+broadcasts them by their real size and the points are not shuffled; beyond that size they join by shuffle. The
+steps end by themselves: one that goes on lowers the determinant, which the smallest deviations bound from below.
 
 Edge cases: a null or empty text has no words and fails the base rules; null language or source is a group of its own;
 repeated rows are judged alike; an empty table gives an empty result; extra columns are ignored by ``verdicts`` and kept
@@ -30,11 +33,13 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 CORE = 0.75  # share of a group that a concentration step keeps
 PRIOR_DOCS = 100.0
+STILL = 0.01  # a start rests when a step lowers the logarithm of its determinant by less
 TAIL = 1e-4  # chance that a normally distributed document is rejected
 
 # (statistic, smallest standard deviation it is given): near-constant statistics must not reject single oddities
 FEATURES = (("word_len", 0.12), ("symbols", 0.06), ("upper", 0.10), ("marks", 0.06), ("repeats", 0.15))
 D = len(FEATURES)
+MOMENTS = [f"m{i}" for i in range(D)] + [f"s{i}{j}" for i in range(D) for j in range(i + 1)]
 
 
 def _chi2_cdf(x: float, k: int) -> float:
@@ -101,13 +106,13 @@ def statistics(docs: DataFrame, keep: list[Column], text: str = "text", lang: st
                        *[v.cast("double").alias(f"x{i}") for i, v in enumerate(vector)])
 
 
-def _factored(moments: DataFrame, key: str) -> DataFrame:
+def _factored(moments: DataFrame, *keys: str) -> DataFrame:
     """LDL' factors l_ij, d_i of the covariance s_ij, one column step per pivot."""
     for j in range(D):
         inner = lambda i, j=j: sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") * F.col(f"d{k}") for k in range(j)), F.lit(0.0))
         moments = moments.withColumn(f"d{j}", F.greatest(F.col(f"s{j}{j}") - inner(j), F.lit(FEATURES[j][1] ** 2 * 1e-2)))
         moments = moments.withColumns({f"l{i}{j}": (F.col(f"s{i}{j}") - inner(i)) / F.col(f"d{j}") for i in range(j + 1, D)})
-    return moments.select(key, *[f"m{i}" for i in range(D)], *[f"s{i}{j}" for i in range(D) for j in range(i + 1)],
+    return moments.select(*keys, *MOMENTS,
                           *[f"d{i}" for i in range(D)], *[f"l{i}{j}" for i in range(D) for j in range(i)])
 
 
@@ -117,39 +122,73 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("distance", sum((F.col(f"y{i}") * F.col(f"y{i}") / F.col(f"d{i}") for i in range(D)), F.lit(0.0)))
 
 
-def _start(points: DataFrame) -> DataFrame:
-    """Coordinate-wise medians and median absolute deviations over all points."""
-    mid = points.groupBy("_all").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(D)])
-    mad = points.join(mid, "_all").groupBy("_all").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(D)],
-                                                       *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"a{i}") for i in range(D)])
-    return _factored(mad.withColumns({f"s{i}{j}": (F.pow(1.4826 * F.col(f"a{i}"), 2) + FEATURES[i][1] ** 2 if i == j else F.lit(0.0)) for i in range(D) for j in range(i + 1)}), "_all")
+def _step(points: DataFrame, state: DataFrame, group: str, parent: DataFrame | None, above: str) -> DataFrame:
+    """One concentration step of every start in ``state``: the estimate of the documents nearest to it."""
+    near = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(state, group))
+    cut = near.groupBy(group, "start").agg(F.percentile_approx("distance", CORE, 1000).alias("_cut"))
+    bounds = staged(state.join(cut, [group, "start"]), "quality-bounds")
+    core = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(bounds, group)).where(F.col("distance") <= F.col("_cut"))
+    return _estimate(core, group, parent, above)
 
 
-def _concentrate(points: DataFrame, state: DataFrame, at: str, group: str, parent: DataFrame | None, above: str) -> DataFrame:
-    """One concentration step: distances under ``state`` (keyed by ``at``), a new estimate per ``group``."""
-    near = _distance(points.join(state, at)).select(group, *([above] if above != group else []), "distance", *[F.col(f"x{i}") for i in range(D)], *[F.col(f"m{i}") for i in range(D)])
-    cut = near.groupBy(group).agg(F.percentile_approx("distance", CORE, 1000).alias("_cut"))
+def _estimate(core: DataFrame, group: str, parent: DataFrame | None, above: str) -> DataFrame:
+    """Mean and covariance of the rows of each (group, start), about the centre m they carry, shrunk towards the parent's."""
     off = lambda i: F.col(f"x{i}") - F.col(f"m{i}")
-    core = near.join(cut, group).where(F.col("distance") <= F.col("_cut"))
-    m = core.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), *([F.first(above).alias(above)] if above != group else []), *[F.first(f"m{i}").alias(f"c{i}") for i in range(D)],
-                                *[F.avg(off(i)).alias(f"e{i}") for i in range(D)], *[F.avg(off(i) * off(j)).alias(f"q{i}{j}") for i in range(D) for j in range(i + 1)])
-    m = m.select(group, "_n", *([above] if above != group else []), *[(F.col(f"c{i}") + F.col(f"e{i}")).alias(f"m{i}") for i in range(D)],
+    m = core.groupBy(group, "start").agg(F.count(F.lit(1)).alias("_n"), F.first(f"up_{above}").alias(f"up_{above}"), *[F.first(f"m{i}").alias(f"c{i}") for i in range(D)],
+                                         *[F.avg(off(i)).alias(f"e{i}") for i in range(D)], *[F.avg(off(i) * off(j)).alias(f"q{i}{j}") for i in range(D) for j in range(i + 1)])
+    m = m.select(group, "start", "_n", f"up_{above}", *[(F.col(f"c{i}") + F.col(f"e{i}")).alias(f"m{i}") for i in range(D)],
                  *[(CONSISTENCY * (F.col(f"q{i}{j}") - F.col(f"e{i}") * F.col(f"e{j}")) + (FEATURES[i][1] ** 2 if i == j else 0.0)).alias(f"s{i}{j}") for i in range(D) for j in range(i + 1)])
     if parent is not None:
-        own = [f"m{i}" for i in range(D)] + [f"s{i}{j}" for i in range(D) for j in range(i + 1)]
-        m = m.join(parent.select(above, *[F.col(c).alias(f"p_{c}") for c in own]), above)
+        m = m.join(parent.select(F.col(above).alias(f"up_{above}"), *[F.col(c).alias(f"p_{c}") for c in MOMENTS]), f"up_{above}")
         w = F.col("_n") / (F.col("_n") + PRIOR_DOCS)
-        m = m.select(group, *[(w * F.col(c) + (1 - w) * F.col(f"p_{c}")).alias(c) for c in own])
-    return staged(_factored(m, group).coalesce(1), "quality-state")
+        m = m.select(group, "start", f"up_{above}", *[(w * F.col(c) + (1 - w) * F.col(f"p_{c}")).alias(c) for c in MOMENTS])
+    return _factored(m, group, "start", f"up_{above}").withColumn("log_det", sum((F.log(f"d{i}") for i in range(D)), F.lit(0.0)))
+
+
+def _starts(points: DataFrame, group: str, parent: DataFrame | None, above: str) -> DataFrame:
+    """The starts of each group: 0 its medians and quartile ranges, 1 its medians with the covariance of its parent (of all
+    points about their medians, where there is none), 2 the parent's estimate."""
+    quartiles = points.groupBy(group).agg(F.first(above).alias(f"up_{above}"), *[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"z{i}") for i in range(D)])
+    spread = lambda i: (F.col(f"z{i}")[2] - F.col(f"z{i}")[0]) / 1.349
+    own = staged(quartiles.select(group, f"up_{above}", F.lit(0).alias("start"), *[F.col(f"z{i}")[1].alias(f"m{i}") for i in range(D)],
+                                  *[(F.pow(spread(i), 2) + FEATURES[i][1] ** 2 if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(D) for j in range(i + 1)]), "quality-starts")
+    if parent is None:
+        centred = own.select(group, f"up_{above}", F.lit(1).alias("start"), *[f"m{i}" for i in range(D)])
+        rows = points.select(group, *[f"x{i}" for i in range(D)]).join(centred, group)
+        shaped = [_estimate(rows, group, None, above).select(group, f"up_{above}", "start", *MOMENTS)]
+    else:
+        inherited = own.drop("start", *MOMENTS[D:]).join(parent.select(F.col(above).alias(f"up_{above}"), *MOMENTS[D:], *[F.col(f"m{i}").alias(f"p{i}") for i in range(D)]), f"up_{above}")
+        shaped = [inherited.select(group, f"up_{above}", F.lit(k).alias("start"), *[F.col(f"{c}{i}").alias(f"m{i}") for i in range(D)], *MOMENTS[D:]) for k, c in ((1, "m"), (2, "p"))]
+    out = own
+    for more in shaped:
+        out = out.unionByName(more)
+    return _factored(out, group, "start", f"up_{above}").withColumn("log_det", F.lit(float("inf"))).withColumn("done", F.lit(False))
+
+
+def _concentrated(points: DataFrame, group: str, parent: DataFrame | None = None, above: str = "_all") -> DataFrame:
+    """The estimate of each group of ``group``, one row per group: every start takes concentration steps until its determinant
+    falls by less than ``STILL``, and the start of the smallest determinant wins."""
+    state = staged(_starts(points, group, parent, above), "quality-state")
+    keys = [group, "start"]
+    while not state.where(~F.col("done")).isEmpty():
+        live = state.where(~F.col("done"))
+        new = _step(points, live, group, parent, above)
+        old = live.select(*keys, F.struct(*[c for c in live.columns if c not in keys]).alias("_old"))
+        falls = F.col("log_det") < F.col("_old.log_det") - STILL
+        better = F.col("log_det") < F.col("_old.log_det")
+        taken = old.join(new, keys).select(*keys, *[F.when(better, F.col(c)).otherwise(F.col(f"_old.{c}")).alias(c) for c in new.columns if c not in keys], (~falls).alias("done"))
+        state = staged(state.where("done").unionByName(taken), "quality-state")
+    columns = [c for c in state.columns if c not in (group, "done", f"up_{above}")]
+    best = state.groupBy(group).agg(F.min_by(F.struct(*columns), F.struct("log_det", "start")).alias("_b"))
+    return staged(best.select(group, *[F.col(f"_b.{c}").alias(c) for c in columns]), "quality-estimate")
 
 
 def estimates(stats: DataFrame) -> DataFrame:
     """The robust estimate of each (language, source), one row per group."""
     points = stats.where(~F.col("base_failed")).select("_all", "_lang", "_site", *[f"x{i}" for i in range(D)])
-    everyone = _concentrate(points, staged(_start(points), "quality-state"), "_all", "_all", None, "_all")
-    language = _concentrate(points, everyone, "_all", "_lang", everyone, "_all")
-    site = _concentrate(points, language, "_lang", "_site", language, "_lang")
-    return _concentrate(points, site, "_site", "_site", language, "_lang")
+    everyone = _concentrated(points, "_all")
+    language = _concentrated(points, "_lang", everyone, "_all")
+    return _concentrated(points, "_site", language, "_lang")
 
 
 def _judged(stats: DataFrame, states: DataFrame) -> DataFrame:
