@@ -10,8 +10,8 @@ distance passes the chi-square quantile.
 
 Everything is column expressions and grouped aggregates: per step one quantile sketch and one moment sum per group and
 start, for all groups and starts of a level at once, both combined on the map side, so a source with a third of all
-documents costs no more than others. State and limits are one row per group and start in written tables, so the planner
-broadcasts them by their real size and the points are not shuffled; beyond that size they join by shuffle. The
+documents costs no more than others. State and limits are one row per group and start in written tables. They are
+broadcast behind a count of their rows, so that the points are not shuffled; beyond it they join by shuffle. The
 steps end by themselves: one that goes on lowers the determinant, which the smallest deviations bound from below.
 
 Edge cases: a null or empty text has no words and fails the base rules; null language or source is a group of its own;
@@ -22,10 +22,12 @@ by ``keep``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small
 from .common import group_key, let, pairs, staged, text_of, words_of
 
 MIN_WORDS = 20
@@ -33,6 +35,7 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 CORE = 0.75  # share of a group that a concentration step keeps
 PRIOR_DOCS = 100.0
+BROADCAST_ROWS = 50_000  # of at most 45 numbers each: larger tables of estimates join by shuffle
 STILL = 0.01  # a start rests when a step lowers the logarithm of its determinant by less
 TAIL = 1e-4  # chance that a normally distributed document is rejected
 
@@ -122,12 +125,13 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("distance", sum((F.col(f"y{i}") * F.col(f"y{i}") / F.col(f"d{i}") for i in range(D)), F.lit(0.0)))
 
 
-def _step(points: DataFrame, state: DataFrame, group: str, parent: DataFrame | None, above: str) -> DataFrame:
-    """One concentration step of every start in ``state``: the estimate of the documents nearest to it."""
-    near = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(state, group))
+def _step(points: DataFrame, state: DataFrame, side: Callable[[DataFrame], DataFrame], group: str, parent: DataFrame | None, above: str) -> DataFrame:
+    """One concentration step of every start in ``state``: the estimate of the documents nearest to it. ``side`` marks a table
+    of that many rows as the broadcast one of a join, if it is small."""
+    near = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(side(state), group))
     cut = near.groupBy(group, "start").agg(F.percentile_approx("distance", CORE, 1000).alias("_cut"))
     bounds = staged(state.join(cut, [group, "start"]), "quality-bounds")
-    core = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(bounds, group)).where(F.col("distance") <= F.col("_cut"))
+    core = _distance(points.select(group, *[f"x{i}" for i in range(D)]).join(side(bounds), group)).where(F.col("distance") <= F.col("_cut"))
     return _estimate(core, group, parent, above)
 
 
@@ -170,9 +174,9 @@ def _concentrated(points: DataFrame, group: str, parent: DataFrame | None = None
     falls by less than ``STILL``, and the start of the smallest determinant wins."""
     state = staged(_starts(points, group, parent, above), "quality-state")
     keys = [group, "start"]
-    while not state.where(~F.col("done")).isEmpty():
+    while rows := state.where(~F.col("done")).limit(BROADCAST_ROWS + 1).count():
         live = state.where(~F.col("done"))
-        new = _step(points, live, group, parent, above)
+        new = _step(points, live, F.broadcast if rows <= BROADCAST_ROWS else lambda t: t, group, parent, above)
         old = live.select(*keys, F.struct(*[c for c in live.columns if c not in keys]).alias("_old"))
         falls = F.col("log_det") < F.col("_old.log_det") - STILL
         better = F.col("log_det") < F.col("_old.log_det")
@@ -192,7 +196,7 @@ def estimates(stats: DataFrame) -> DataFrame:
 
 
 def _judged(stats: DataFrame, states: DataFrame) -> DataFrame:
-    rows = _distance(stats.join(states, "_site", "left"))
+    rows = _distance(stats.join(small(states, BROADCAST_ROWS), "_site", "left"))
     # one CASE, not a conjunction: a filter on it is not split and pushed below the columns it is computed from
     return rows.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))))
 

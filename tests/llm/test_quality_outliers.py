@@ -57,11 +57,21 @@ def test_planted_outliers_go_and_others_stay(mixed):
     assert sum(not kept[i] for i in kept if i % 5) <= 2
 
 
-def test_points_are_not_shuffled(points):
-    """Between the points and a step's grouped aggregates lies no exchange but the one after the partial aggregate."""
-    state = quality.staged(quality._starts(points, "_site", quality._concentrated(points, "_all"), "_all"), "quality-test")
+def test_points_are_not_shuffled(spark, points):
+    """Between the points and a step's grouped aggregates lies no exchange but the one after the partial aggregate; a state
+    beyond the bound gives the same estimate by shuffle."""
     rows = quality.staged(points.select("_all", "_site", *[f"x{i}" for i in range(D)]), "quality-test")
-    plan = quality._distance(rows.join(state, "_site")).groupBy("_site", "start").agg(F.percentile_approx("distance", 0.75, 1000))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
-    assert text.count("Exchange hashpartitioning") == 1
+    above = quality._concentrated(rows, "_all")
+    state = quality.staged(quality._starts(rows, "_site", above, "_all"), "quality-test")
+    by_size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = quality._distance(rows.join(F.broadcast(state), "_site")).groupBy("_site", "start").agg(F.percentile_approx("distance", 0.75, 1000))
+        text = near._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 1
+        key = lambda r: (r["_site"], r["start"])
+        hinted, shuffled = (sorted(quality._step(rows, state, side, "_site", above, "_all").collect(), key=key) for side in (F.broadcast, lambda t: t))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", by_size)
+    assert [key(r) for r in hinted] == [key(r) for r in shuffled] and len(hinted) > 3
+    assert all(abs(a["log_det"] - b["log_det"]) < 0.1 for a, b in zip(hinted, shuffled))
