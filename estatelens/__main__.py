@@ -1,7 +1,7 @@
 """Command line: run the daily job over landed city batches.
 
     python -m estatelens run-daily --landing <dir> --store <dir> --date YYYY-MM-DD \
-        [--seed <city_lookup.csv>] [--cities a,b,c] [--layout landing|arrays|items] [--replace] [--full-refresh]
+        [--seed <city_lookup.csv>] [--cities a,b,c] [--layout landing|arrays|items] [--replace] [--full-refresh] [--retain N]
 
 Exit status 1 when every batch was blocked or an error-severity check failed (0 otherwise).
 On a cluster the session comes from spark-submit; locally a tuned local session is built.
@@ -28,6 +28,7 @@ def main(argv=None) -> int:
     r.add_argument("--layout", default="landing", choices=["landing", "arrays", "items"])
     r.add_argument("--replace", action="store_true", help="idempotent raw load (replace city/day partitions)")
     r.add_argument("--full-refresh", action="store_true", help="build the fact anew from the whole raw table")
+    r.add_argument("--retain", type=int, help="versions of each table to keep, at least 2 (default: all)")
     a = p.parse_args(argv)
 
     from .plans.pipeline import run_daily, run_daily_items
@@ -42,9 +43,9 @@ def main(argv=None) -> int:
     options = {"cities": cities, "raw_mode": "replace" if a.replace else "append", "full_refresh": a.full_refresh}
     if a.layout == "items":
         items = batches.read_items(spark, a.landing, cities=cities, day=a.date)
-        return _told(run_daily_items(spark, items, run_date, TableStore(spark, a.store), seed, **options))
+        return _told(run_daily_items(spark, items, run_date, TableStore(spark, a.store, a.retain), seed, **options))
     landed = batches.load_batches(spark, a.landing, cities=cities, day=a.date, layout=a.layout)
-    return _told(run_daily(spark, landed.rows, run_date, TableStore(spark, a.store), seed, status=landed.status, **options))
+    return _told(run_daily(spark, landed.rows, run_date, TableStore(spark, a.store, a.retain), seed, status=landed.status, **options))
 
 
 def _told(res) -> int:
