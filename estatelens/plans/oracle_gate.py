@@ -1,8 +1,10 @@
-"""DuckDB twins of the quality-gate queries, generated from the same rule list."""
+"""DuckDB twins of the quality-gate queries. The rules are written out here as SQL, apart from the engine's own list, so that
+a wrong bound in either shows as a difference."""
 
 from __future__ import annotations
 
-from ..operators import quality as Q
+from typing import NamedTuple
+
 from .oracle_sql import EV, GEO, LOOKUP, with_ctes
 from .params import SUBSET_CITIES
 
@@ -47,46 +49,50 @@ GBX = f"""gbx AS (
     ON g.source_city = d.source_city AND g.batch_date = d.batch_date AND g.id = d.id)"""
 
 
-def _lit(v) -> str:
-    if isinstance(v, bool):
-        return "'true'" if v else "'false'"
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return f"{float(v)!r}::DOUBLE"
-
-
-def _bits(r: Q.Rule) -> tuple[str, str, str]:
-    c = r.column
-    if r.expectation == Q.NOT_NULL:
-        return f"{c} IS NULL", "true", "true"
-    counted, applies = f"{c} IS NOT NULL", "true"
-    if r.expectation == Q.BETWEEN:
-        lo = r.lo if isinstance(r.lo, str) else _lit(r.lo)
-        hi = r.hi if isinstance(r.hi, str) else _lit(r.hi)
-        if isinstance(r.lo, str):
-            applies = f"({lo} IS NOT NULL AND {hi} IS NOT NULL)"
-            counted = f"({counted} AND {applies})"
-        bad = f"({counted} AND NOT ({c} >= {lo} AND {c} <= {hi}))"
-    elif r.expectation == Q.IN_SET:
-        vals = ", ".join(_lit(v) for v in r.values)
-        bad = f"({counted} AND NOT (lower(CAST({c} AS VARCHAR)) IN ({vals})))" if any(isinstance(v, bool) for v in r.values) \
-            else f"({counted} AND NOT (CAST({c} AS VARCHAR) IN ({vals})))"
-    elif r.expectation == Q.UNIQUE:
-        bad = f"({counted} AND _dup_{c})"
-    else:
-        raise ValueError(r.expectation)
-    return bad, counted, applies
-
-
-def _rules():
-    return Q.critical_rules(geo=True) + Q.warning_rules()
+class Rule(NamedTuple):
+    """A rule in SQL: ``bad`` marks a row that breaks it, ``counted`` one that it judges, ``applies`` a batch that it is for."""
+
+    suite: str
+    expectation: str
+    column: str
+    kind: str
+    mostly: float
+    bad: str
+    counted: str = "true"
+    applies: str = "true"
+
+
+# The gate's rules and thresholds.
+NOT_NULL, UNIQUE = "expect_column_values_to_not_be_null", "expect_column_values_to_be_unique"
+BETWEEN, IN_SET = "expect_column_values_to_be_between", "expect_column_values_to_be_in_set"
+LAT_BOX = "(bbox_lat_min IS NOT NULL AND bbox_lat_max IS NOT NULL)"
+LON_BOX = "(bbox_lon_min IS NOT NULL AND bbox_lon_max IS NOT NULL)"
+MAX_QUARANTINED = "0.05::DOUBLE"
+SAMPLES = 20
+RULES = (
+    Rule("critical", NOT_NULL, "id", "not_null", 1.0, "id IS NULL"),
+    Rule("critical", UNIQUE, "id", "unique", 1.0, "id IS NOT NULL AND _dup_id", "id IS NOT NULL"),
+    Rule("critical", NOT_NULL, "url", "not_null", 1.0, "url IS NULL"),
+    Rule("critical", NOT_NULL, "city", "not_null", 1.0, "city IS NULL"),
+    Rule("critical", BETWEEN, "price", "between", 1.0, "price < 1 OR price > 20000000", "price IS NOT NULL"),
+    Rule("critical", BETWEEN, "area_sqm", "between", 1.0, "area_sqm < 10 OR area_sqm > 500", "area_sqm IS NOT NULL"),
+    Rule("critical", BETWEEN, "num_rooms", "mostly", 0.95, "num_rooms < 1 OR num_rooms > 10", "num_rooms IS NOT NULL"),
+    Rule("critical", NOT_NULL, "rooms_capped", "not_null", 1.0, "rooms_capped IS NULL"),
+    Rule("critical", IN_SET, "rooms_capped", "in_set", 1.0, "rooms_capped NOT IN (true, false)", "rooms_capped IS NOT NULL"),
+    Rule("critical", NOT_NULL, "floor_capped", "not_null", 1.0, "floor_capped IS NULL"),
+    Rule("critical", IN_SET, "floor_capped", "in_set", 1.0, "floor_capped NOT IN (true, false)", "floor_capped IS NOT NULL"),
+    Rule("critical", IN_SET, "market_type", "in_set", 1.0, "market_type NOT IN ('primary', 'secondary')", "market_type IS NOT NULL"),
+    Rule("critical", BETWEEN, "price_per_sqm_diff_pct", "cross_field", 1.0, "price_per_sqm_diff_pct < 0 OR price_per_sqm_diff_pct > 0.05::DOUBLE", "price_per_sqm_diff_pct IS NOT NULL"),
+    Rule("critical", BETWEEN, "latitude", "geo", 1.0, "latitude < bbox_lat_min OR latitude > bbox_lat_max", f"latitude IS NOT NULL AND {LAT_BOX}", LAT_BOX),
+    Rule("critical", BETWEEN, "longitude", "geo", 1.0, "longitude < bbox_lon_min OR longitude > bbox_lon_max", f"longitude IS NOT NULL AND {LON_BOX}", LON_BOX),
+    Rule("warning", NOT_NULL, "district", "warning", 0.6, "district IS NULL"),
+)
 
 
 def _rows_cte(rules) -> str:
     cols = []
     for i, r in enumerate(rules):
-        b, c, a = _bits(r)
-        cols += [f"coalesce({b}, false) AS b{i}", f"coalesce({c}, false) AS c{i}", f"coalesce({a}, false) AS a{i}"]
+        cols += [f"coalesce({r.bad}, false) AS b{i}", f"coalesce({r.counted}, false) AS c{i}", f"coalesce({r.applies}, false) AS a{i}"]
     return "rw AS (SELECT *, " + ",\n  ".join(cols) + " FROM gbx)"
 
 
@@ -104,7 +110,7 @@ def _results_cte(rules) -> str:
         success = f"(c{i} = 0 OR CAST(c{i} - b{i} AS DOUBLE) / CAST(c{i} AS DOUBLE) >= {float(r.mostly)!r}::DOUBLE)"
         parts.append(
             f"SELECT source_city, batch_date, '{r.suite}' AS suite, '{r.expectation}' AS expectation, '{r.column}' AS \"column\", "
-            f"'{r.tag}' AS rule_kind, {i} AS rule_idx, {float(r.mostly)!r}::DOUBLE AS mostly, {success} AS success, "
+            f"'{r.kind}' AS rule_kind, {i} AS rule_idx, {float(r.mostly)!r}::DOUBLE AS mostly, {success} AS success, "
             f"CAST(b{i} AS BIGINT) AS unexpected_count, "
             f"CASE WHEN c{i} > 0 THEN CAST(b{i} AS DOUBLE) * 100.0::DOUBLE / CAST(c{i} AS DOUBLE) END AS unexpected_percent, "
             f"CAST(n AS BIGINT) AS element_count FROM st WHERE a{i}")
@@ -137,7 +143,7 @@ def _verdict_cte(rules) -> str:
 verdict AS (
   SELECT source_city, batch_date, CAST(rows AS BIGINT) AS rows, CAST(quarantined_rows AS BIGINT) AS quarantined_rows,
          CAST(quarantined_rows AS DOUBLE) / CAST(rows AS DOUBLE) AS quarantine_fraction, failed_rules,
-         CAST(quarantined_rows AS DOUBLE) / CAST(rows AS DOUBLE) > {Q.QUARANTINE_MAX_FRACTION!r}::DOUBLE AS systemic_failure
+         CAST(quarantined_rows AS DOUBLE) / CAST(rows AS DOUBLE) > {MAX_QUARANTINED} AS systemic_failure
   FROM vd),
 rowflag AS (
   SELECT r.*, ({any_bad}) AS row_bad, v.systemic_failure
@@ -149,16 +155,16 @@ def _sample_cte(rules) -> str:
     parts = []
     for i, r in enumerate(rules):
         v = f"CAST(TRY_CAST({r.column} AS DECIMAL(38,6)) AS VARCHAR)" if r.column in (
-            "price", "area_sqm", Q.GAP, "latitude", "longitude", "price_per_sqm_listed") else f"CAST({r.column} AS VARCHAR)"
+            "price", "area_sqm", "price_per_sqm_diff_pct", "latitude", "longitude", "price_per_sqm_listed") else f"CAST({r.column} AS VARCHAR)"
         parts.append(f"SELECT source_city, batch_date, seq, {i} AS rule_idx, coalesce({v}, 'null') AS v FROM rw WHERE b{i}")
     return ("smp AS (SELECT source_city, batch_date, rule_idx, string_agg(v, ', ' ORDER BY seq) AS sample_values FROM ("
             "SELECT * FROM (" + " UNION ALL ".join(parts) + ") u "
             "QUALIFY row_number() OVER (PARTITION BY source_city, batch_date, rule_idx ORDER BY seq) <= "
-            f"{Q.SAMPLE_SIZE}) t GROUP BY source_city, batch_date, rule_idx)")
+            f"{SAMPLES}) t GROUP BY source_city, batch_date, rule_idx)")
 
 
 def ctes(rules=None):
-    rules = rules or _rules()
+    rules = rules or RULES
     return [GEO, LOOKUP, EV, GB, GBX, _rows_cte(rules), _stats_cte(rules), _results_cte(rules),
             _failed_cte(rules), _verdict_cte(rules)]
 
@@ -173,7 +179,7 @@ def build() -> dict[str, str]:
     q = {
         "dq_ppsm_gap": with_ctes([GEO, EV, GB], f"SELECT source_city, batch_date, seq, id, price, area_sqm, "
                                  f"price_per_sqm_listed, {GAP_SQL} AS price_per_sqm_diff_pct FROM gb"),
-        "dq_report": with_ctes(c + [_sample_cte(_rules())],
+        "dq_report": with_ctes(c + [_sample_cte(RULES)],
                                "SELECT rr.source_city, rr.batch_date, suite, expectation, \"column\", rule_kind, success, "
                                "unexpected_count, unexpected_percent, element_count, coalesce(smp.sample_values, '') AS sample_values "
                                "FROM rr LEFT JOIN smp ON rr.source_city = smp.source_city AND rr.batch_date = smp.batch_date "

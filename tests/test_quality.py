@@ -171,3 +171,30 @@ def test_split_is_a_partition_of_passing_batches(spark):
     _, _, q, c, res = run(spark, df)
     assert q + c == df.count()
     assert res.clean.join(res.quarantine, ["seq"], "inner").count() == 0
+
+
+def test_every_rule_judges_values_at_its_bounds_as_written_out(spark):
+    """Values on, just inside and just outside each bound: counts of the gate against the twin's own list of rules."""
+    import duckdb
+
+    from estatelens.plans.oracle_gate import RULES
+
+    box = seeds.city_lookup(spark).where("source_city = 'katowice'").first()
+    lat, lon = (box["bbox_lat_min"], box["bbox_lat_max"]), (box["bbox_lon_min"], box["bbox_lon_max"])
+    near = lambda lo, hi, e: [lo - e, lo, lo + e, hi - e, hi, hi + e]
+    cells = {"price": near(1.0, 20_000_000.0, 0.5), "area_sqm": near(10.0, 500.0, 0.01), "num_rooms": near(1, 10, 1),
+             "latitude": near(*lat, 1e-6), "longitude": near(*lon, 1e-6), "market_type": ["primary", "Primary", "", None],
+             "price_per_sqm_listed": [0.0, 0.94, 0.951, 0.96, 1.0, 1.05, 1.06], "rooms_capped": [None, True], "floor_capped": [None, False],
+             "id": [None, 1000, 1001], "url": [None, ""], "city": [None], "district": [None]}
+    rows = padded()
+    changed = [{**rows[5], "seq": 0, "id": 50_000 + 100 * i + j, "price_per_sqm_listed": None, column: v if column != "price_per_sqm_listed" else v * rows[5]["price"] / rows[5]["area_sqm"]}
+               for i, (column, values) in enumerate(cells.items()) for j, v in enumerate(values)]
+    df = frame(spark, rows + changed)
+    got = {(r["suite"], r["expectation"], r["column"]): r["unexpected_count"] for r in Q.gate(df, seed=seeds.city_lookup(spark)).rule_results.collect()}
+    typed = Q.with_bounds(Q.ppsm_gap(df), seeds.city_lookup(spark)).toArrow()
+    con = duckdb.connect()
+    con.register("typed", typed)
+    con.execute("CREATE VIEW v AS SELECT *, id IS NOT NULL AND count(*) OVER (PARTITION BY id) > 1 AS _dup_id FROM typed")
+    expected = {(r.suite, r.expectation, r.column): con.execute(f"SELECT count(*) FILTER (WHERE {r.bad}) FROM v WHERE {r.applies}").fetchone()[0] for r in RULES}
+    assert got == expected
+    assert all(expected[r.suite, r.expectation, r.column] for r in RULES if "capped" not in r.column or r.expectation != Q.IN_SET)
