@@ -26,3 +26,11 @@ def test_all_declared_tests_are_there():
     tests = assertions.declared()
     assert len(tests) == 79 and len(set(tests)) == 79
     assert sum(t.name == "not_null" for t in tests) == 50 and sum(t.name == "relationships" for t in tests) == 8
+
+
+def test_accepted_values_judges_the_staged_listings(spark, monkeypatch):
+    from estatelens.plans import catalog
+
+    staged = spark.createDataFrame([("primary",), ("rental",), ("rental",), (None,), ("secondary",)], "market_type string")
+    monkeypatch.setattr(catalog, "stg", lambda s, d: staged)
+    assert [tuple(r) for r in catalog.REGISTRY["chk_accepted_values"](spark, "none").collect()] == [("rental", 2)]
