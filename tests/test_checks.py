@@ -34,3 +34,15 @@ def test_accepted_values_judges_the_staged_listings(spark, monkeypatch):
     staged = spark.createDataFrame([("primary",), ("rental",), ("rental",), (None,), ("secondary",)], "market_type string")
     monkeypatch.setattr(catalog, "stg", lambda s, d: staged)
     assert [tuple(r) for r in catalog.REGISTRY["chk_accepted_values"](spark, "none").collect()] == [("rental", 2)]
+
+
+def test_unique_combo_judges_the_district_mart(spark, monkeypatch):
+    from estatelens.plans import catalog
+
+    mart = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "x")], "city string, district string")
+    staged = spark.createDataFrame([], "listing_id long")
+    monkeypatch.setattr(catalog, "stg", lambda s, d: staged)
+    monkeypatch.setattr(catalog.star, "fact", lambda s: s)
+    monkeypatch.setattr(catalog.star, "dim_district", lambda s: s)
+    monkeypatch.setattr(catalog.marts, "district_summary", lambda f, dd: mart)
+    assert [tuple(r) for r in catalog.REGISTRY["chk_unique_combo"](spark, "none").collect()] == [("a", "x", 2)]
