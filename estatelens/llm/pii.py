@@ -10,11 +10,12 @@ What the trees learn from: base spans are known to be personal data, so each is
 forms that people write (positives) and into near misses of the same characters (negatives: a wrong check digit, digits
 run together, a name without a domain, lists and dates). The generators run over the rewritten contexts, and whatever
 they propose there is labelled. Candidates of the texts themselves that touch letters or fail their kind's format check
-are further negatives; other unconfirmed candidates are what is to be judged and are not learnt from. All this is drawn
-from at most ``SAMPLE_DOCS`` documents (in expectation), chosen by hash; one in ``HELD_OUT`` of them only calibrates.
+are further negatives; other unconfirmed candidates are what is to be judged and are not learnt from. All documents are
+learnt from; one in ``HELD_OUT``, chosen by hash, only calibrates. Features are small whole numbers, so equal examples are
+counted and the trees see each different one once, weighted by its count.
 
-Texts are scanned once, in column expressions, and the sampled ones once more; only spans and features are written and
-joined.
+Texts are scanned twice, in column expressions, the second time for the rewritten contexts; only spans, features and
+counts are written and joined.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows are judged each; with no confirmed span or no
 negative to learn from, only base spans are returned; an empty table gives an empty result; extra columns are ignored.
@@ -22,6 +23,8 @@ negative to learn from, only base spans are returned; an empty table gives an em
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +32,8 @@ from .common import let, staged, text_of
 from .spans import apart, kept, matches, ordered, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 20_000
 PRECISION = 0.98
-HELD_OUT = 4  # one in so many sampled documents calibrates
+HELD_OUT = 4  # one in so many documents calibrates
 TREES, DEPTH = 10, 3
 
 # Each pattern starts only where a run of its first characters starts or the match before ended: a start inside a run
@@ -143,13 +145,13 @@ def _scanned(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                                ordered({k: F.col(f"_{k}") for k in KINDS}).alias("base"), loose.alias("loose")), "pii-spans")
 
 
-def _sample(docs: DataFrame, id_col: str, text: str, share: float) -> DataFrame:
-    """Labelled candidates (held, k, features, label) of the documents drawn by hash."""
+def _examples(found: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Labelled candidates of all documents: (held, k, features, label), and ``n`` times that each occurs."""
     from pyspark.ml.functions import array_to_vector
 
     t = F.col("_t")
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text).alias("_t")).where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) / 1_000_000.0 < share)
-    rows = rows.select((F.pmod(F.xxhash64("id", F.lit(5)), F.lit(HELD_OUT)) == 0).alias("held"), "_t", *[v.alias(f"_{k}") for k, v in _base(t).items()])
+    held = (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(HELD_OUT)) == 0).alias("held")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text).alias("_t")).select(held, "_t", *[v.alias(f"_{k}") for k, v in _base(F.col("_t")).items()])
     around = lambda x: (F.substring(t, F.greatest(x["s"] - 39, F.lit(1)), F.least(x["s"], F.lit(40))), F.substring(t, x["e"] + 1, F.lit(12)))
 
     def forms(kind: str) -> Column:
@@ -167,25 +169,25 @@ def _sample(docs: DataFrame, id_col: str, text: str, share: float) -> DataFrame:
     # a proposal that is the loose form, give or take an end, is a positive; one of another kind or a part of it is a negative
     hit = (F.col("k") == F.col("fk")) & (F.abs(F.col("s") - F.col("fs")) + F.abs(F.col("e") - F.col("fe")) <= 2)
     made = made.select("held", "k", "v", hit.cast("double").alias("label"))
-    spans = F.concat(*[F.transform(F.col(f"_{k}"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS])
-    own = rows.select("held", spans.alias("_spans"), F.explode(F.when(_may(t), _proposed(t))).alias("c")).select("held", "_spans", "c.*")
+    own = found.select(held, "base", F.explode("loose").alias("c")).select("held", "base", "c.*")
     against = (F.get("v", F.lit(FEATURES.index("checks"))) == 0) | (F.get("v", F.lit(AFTER)) == 1) | (F.get("v", F.lit(BEFORE)) == 1)
-    own = own.where(apart(F.struct("s", "e"), F.col("_spans")) & against).select("held", "k", "v", F.lit(0.0).alias("label"))
-    return staged(made.unionByName(own).select("held", "k", "label", array_to_vector("v").alias("features")), "pii-sample")
+    own = own.where(apart(F.struct("s", "e"), F.col("base")) & against).select("held", "k", "v", F.lit(0.0).alias("label"))
+    counted = made.unionByName(own).groupBy("held", "k", "v", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return staged(counted.select("held", "k", "label", "n", array_to_vector("v").alias("features")), "pii-examples")
 
 
-def _model(docs: DataFrame, id_col: str, text: str, total: int):
-    """The boosted trees and the threshold of each kind, from the sampled documents; None if there is nothing to learn."""
+def _model(examples: DataFrame):
+    """The boosted trees and the threshold of each kind; None if there is nothing to learn."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import vector_to_array
 
-    sample = _sample(docs, id_col, text, min(1.0, SAMPLE_DOCS / max(1, total)))
-    seen = {r["label"] for r in sample.where(~F.col("held")).groupBy("label").count().collect()}
+    seen = {r["label"]: r["count"] for r in examples.where(~F.col("held")).groupBy("label").count().collect()}
     if len(seen) < 2:
         return None, {}
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(sample.where(~F.col("held")).select("features", "label"))
-    scored = model.transform(sample.where("held")).select("k", "label", F.floor(vector_to_array("probability")[1] * 100).alias("bin"))
-    bins = scored.groupBy("k", "bin").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")).collect()  # at most 101 rows a kind
+    bins = max(32, isqrt(sum(seen.values())) + 1)  # beyond the square of this number the learner takes split points from a sample
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, seed=7, weightCol="n").fit(examples.where(~F.col("held")).select("features", "label", "n"))
+    scored = model.transform(examples.where("held")).select("k", "label", "n", F.floor(vector_to_array("probability")[1] * 100).alias("bin"))
+    bins = scored.groupBy("k", "bin").agg(F.sum(F.col("label") * F.col("n")).alias("hits"), F.sum("n").alias("n")).collect()  # at most 101 rows a kind
     limits = {}
     for k in range(len(KINDS)):
         hits = n = 0.0
@@ -205,7 +207,7 @@ def detected(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     each = found.where(F.size("loose") > 0).select("id", "_row", "base", F.explode("loose").alias("c")).select("id", "_row", "base", "c.*")
     free = apart(F.struct("s", "e"), F.col("base"))
     each = each.where(free).select("_row", "k", "s", "e", array_to_vector("v").alias("features"))
-    model, limits = _model(docs, id_col, text, found.count())
+    model, limits = _model(_examples(found, docs, id_col, text))
     kinds = [f"n_{k}" for k in KINDS]
     if not limits:
         return found.select(F.col("id").alias(id_col), *kinds, "base", F.col("base").alias("spans"))

@@ -89,6 +89,16 @@ def test_loose_personal_data_is_added(spark):
     assert len(touched) <= 0.02 * len(clean), touched[:9]
 
 
+def test_trees_learn_from_every_document(spark):
+    """The examples of many documents are those of one, as often as there are documents."""
+    def weights(n):
+        docs = spark.range(n).selectExpr("id AS doc_id", "'write to joe.doe@mail.example.com or x2024-03-17 0099' AS text")
+        return pii._examples(pii._scanned(docs, "doc_id", "text"), docs, "doc_id", "text").groupBy("k", "label").agg(F.sum("n").alias("n")).collect()
+
+    one, many = ({(r["k"], r["label"]): r["n"] for r in weights(n)} for n in (1, 24_000))
+    assert one and many == {k: 24_000 * n for k, n in one.items()}
+
+
 @pytest.mark.parametrize("share", [0.01, 0.1])
 def test_bare_keys_are_found_however_many_they_are(spark, share):
     """Random strings without a format among distinct ordinary tokens, of which they are ``share``."""
