@@ -69,11 +69,8 @@ def bool_label(c) -> Column:
 
 def market(c) -> Column:
     """'Pierwotny' -> 'primary', 'Wtórny' -> 'secondary', anything else -> null."""
-    key = F.lower(unicode_trim(as_col(c)))
-    out = F.lit(None).cast("string")
-    for label, value in MARKET_LABELS.items():
-        out = F.when(key == label, F.lit(value)).otherwise(out)
-    return out
+    known = F.create_map(*[F.lit(x) for pair in MARKET_LABELS.items() for x in pair])
+    return F.try_element_at(known, F.lower(unicode_trim(as_col(c))))
 
 
 def price_per_m(c) -> Column:

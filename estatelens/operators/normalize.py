@@ -63,24 +63,21 @@ def flatten_items(df: DataFrame) -> DataFrame:
     )
 
 
-def _last(arr: Column, pred) -> Column:
-    return F.try_element_at(F.filter(arr, pred), F.lit(-1))
+def params_to_columns(df: DataFrame, keys: Sequence[str] = PARAM_KEYS) -> DataFrame:
+    """``params`` -> price, currency and one text column per generic key (last occurrence wins).
+
+    Elements are told apart once a row; a key's last one is then found by its place in the reversed array.
+    """
+    kept = [c for c in df.columns if c != "params"]
+    last_price = F.try_element_at(F.filter("params", lambda x: x["value"]["__typename"] == PRICE_KIND), F.lit(-1))
+    out = df.select(*kept, last_price["value"].alias("_price"), F.reverse(F.filter("params", lambda x: x["value"]["__typename"] == GENERIC_KIND)).alias("_generic"))
+    out = out.select(*kept, "_price", "_generic", *[F.array_position("_generic.key", k).alias(f"_at_{k}") for k in keys])
 
+    def text(k: str) -> Column:
+        label, own = (F.get(f"_generic.value.{x}", (F.col(f"_at_{k}") - 1).cast("int")) for x in ("label", "key"))
+        return F.coalesce(F.when(label != "", label), own)
 
-def params_to_columns(df: DataFrame, keys: Sequence[str] = PARAM_KEYS) -> DataFrame:
-    """``params`` -> price, currency and one text column per generic key (last occurrence wins)."""
-    p = F.col("params")
-    price = _last(p, lambda x: x["value"]["__typename"] == PRICE_KIND)
-    cols = [price["value"]["value"].alias("price"), price["value"]["currency"].alias("currency")]
-    def generic(key):
-        # one-argument lambda: a second parameter would receive the element index
-        return lambda x: (x["key"] == key) & (x["value"]["__typename"] == GENERIC_KIND)
-
-    for k in keys:
-        g = _last(p, generic(k))
-        label = F.when(g["value"]["label"] != "", g["value"]["label"])
-        cols.append(F.when(g.isNotNull(), F.coalesce(label, g["value"]["key"])).alias(k))
-    return df.select(*[c for c in df.columns if c != "params"], *cols)
+    return out.select(*kept, F.col("_price.value").alias("price"), F.col("_price.currency").alias("currency"), *[text(k).alias(k) for k in keys])
 
 
 def type_columns(df: DataFrame) -> DataFrame:
