@@ -28,6 +28,18 @@ def test_lines_are_shuffled_once_and_narrow(spark, tmpdir_path):
     assert len(exchanges) == 1 and "l_orderkey" in exchanges[0]
 
 
+def test_a_task_sorts_a_bounded_number_of_lines(spark, tmpdir_path):
+    """A task's sort of wide staging rows has to fit a small share of an executor's memory (1,000,000 lines spilled)."""
+    slots = spark.sparkContext.defaultParallelism
+    spark.createDataFrame([(0, "ASIA")], "r_regionkey long, r_name string").write.parquet(f"{tmpdir_path}/region.parquet")
+    spark.createDataFrame([(0, "NATION_0", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{tmpdir_path}/nation.parquet")
+    spark.createDataFrame([(1, 0)], "s_suppkey long, s_nationkey long").write.parquet(f"{tmpdir_path}/supplier.parquet")
+    spark.range(200_000 * (slots + 3)).selectExpr(
+        "id AS l_orderkey", "1L AS l_partkey", "1L AS l_suppkey", "1L AS l_linenumber", "20D AS l_quantity", "1000D AS l_extendedprice",
+        "0D AS l_discount", "timestamp_ntz'2024-01-01 00:00:00' AS l_shipdate", "'A' AS l_returnflag").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    assert catalog.li_raw(spark, tmpdir_path).rdd.getNumPartitions() == slots + 3
+
+
 def test_a_delivery_appended_twice_is_normalised_once(spark, monkeypatch):
     seen, append = [], catalog.batches.append_raw
     rows = spark.range(3).selectExpr("id", "timestamp_ntz'2024-01-31 10:00:00' AS date_collected", "'c' AS source_city")
