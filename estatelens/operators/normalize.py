@@ -109,9 +109,12 @@ def to_raw_schema(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 def normalize(items: DataFrame, collected_at, keys: Sequence[str] = ("source_city", "batch_date"),
               seq: str = "seq", text_col: str = "item_json") -> DataFrame:
-    """items (keys, seq, item_json) -> typed raw rows, malformed items skipped, last duplicate id wins."""
+    """items (keys, seq, item_json) -> typed raw rows, malformed items skipped, last duplicate id wins.
+
+    Labels are decoded behind the dedup: together with the reading of ``params`` they make one generated method that is too
+    large for the JVM to compile.
+    """
     good, _ = split_malformed(items, text_col)
-    typed = type_columns(params_to_columns(flatten_items(good)))
-    typed = stamp(typed, collected_at)
-    deduped = dedup_last(typed, [*keys, "id"], seq)
-    return to_raw_schema(deduped, extra=[k for k in keys if k != "source_city"] + [seq])
+    deduped = dedup_last(params_to_columns(flatten_items(good)), [*keys, "id"], seq)
+    typed = stamp(type_columns(deduped), collected_at)
+    return to_raw_schema(typed, extra=[k for k in keys if k != "source_city"] + [seq])

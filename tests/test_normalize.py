@@ -106,3 +106,14 @@ def test_empty_object_is_an_item_and_wrong_shapes_are_malformed(spark):
 def test_one_parse_a_row(spark):
     plan = N.normalize(items_frame(spark, [FULL]), "2026-07-01 03:00:00")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_no_generated_method_is_too_large_to_be_compiled(spark):
+    """The JVM leaves methods of over 8000 bytes interpreted."""
+    items = spark.createDataFrame([("katowice", "2024-01-31", 1, '{"id": 1, "params": []}')], "source_city string, batch_date string, seq long, item_json string").repartition(2)
+    rows = N.normalize(items, "2024-01-31 10:00:00")
+    assert rows.count() == 1 and len(rows.collect()) == 1
+    plan = rows._jdf.queryExecution().executedPlan()
+    parts = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(plan)
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert sizes and max(sizes) < 8000
