@@ -1,6 +1,7 @@
 """Language-model scoring by a causal self-attention model trained in numpy on subword ids.
 
-Words are counted over all training documents: once per Arrow batch inside tasks, then by a partially aggregated
+Words are told apart and numbered by Arrow in blocks of ``BLOCK_CHARS`` characters, so that Python handles each distinct word
+of a block once. They are counted over all training documents: once per Arrow batch inside tasks, then by a partially aggregated
 group-by. The base score looks a word's count up in a broadcast table of at most ``HOT_WORDS`` most frequent words; all
 other words go through a join.
 
@@ -26,11 +27,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +54,6 @@ VOCABULARY = 50_257
 END = VOCABULARY  # one id past the vocabulary
 END_BYTES = np.array([END], "<u2").tobytes()
 CACHE_WORDS = 300_000
-CACHE_BYTES = 1 << 24
 BLOCK_CHARS = 1 << 20  # text that is scored at once
 
 
@@ -64,8 +63,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def spelled(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(number of each token's word, the words by number, tokens of each text); the empty word ends a text. Arrow tells words
+    apart, so that Python sees each distinct one once."""
+    mark = lambda x: pa.scalar(x, pa.large_string())
+    texts = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())  # Arrow's text functions err on a slice that was cast
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    low = pc.if_else(pc.equal(low, mark("")), low, pc.binary_join_element_wise(low, mark(""), mark(" ")))
+    lists = pc.ascii_split_whitespace(low)
+    parts = lists.flatten().dictionary_encode()
+    return parts.indices.to_numpy(zero_copy_only=False), parts.dictionary.cast(pa.large_binary()).to_pylist(), np.diff(lists.offsets.to_numpy())
 
 
 class Subwords:
@@ -96,59 +103,24 @@ class Subwords:
         return got
 
 
-class _Numbered(dict):
-    """Numbers of words; a new word gets the next one."""
+def spelled_ids(words: list[bytes], number: np.ndarray, ids: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of all tokens, one after another, where each token's ids end)."""
+    known = pa.array([p if w else END_BYTES for w, p in zip(words, ids.of(words))], pa.large_binary())
+    got = known.take(pa.array(number))
+    _, ends, data = got.buffers()
+    ends = np.frombuffer(ends, np.int64)[1:len(got) + 1] // 2
+    return np.frombuffer(data, "<u2", ends[-1]), ends
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
 
-
-class WordRows:
-    """Row numbers of words and the ids of each row, for the time of a task: first the most frequent words, then those that
-    occur. Rows beyond the frequent ones are forgotten between blocks once they take over ``CACHE_WORDS`` entries or ``CACHE_BYTES``."""
-
-    def __init__(self, hot: list[bytes], ids: Subwords):
-        self.hot, self.ids = hot, ids
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number, self.bytes = _Numbered(zip(self.hot, range(len(self.hot)))), 0
-        self.size, self.start, self.codes = np.full(len(self.hot), -1, np.int64), np.zeros(len(self.hot), np.int64), np.zeros(0, "<u2")
-
-    def of(self, many: list[bytes]) -> np.ndarray:
-        if len(self.number) > len(self.hot) + CACHE_WORDS or self.bytes > CACHE_BYTES:
-            self._clear()
-        rows = np.fromiter(map(self.number.__getitem__, many), np.int64, len(many))
-        grown = len(self.number) - len(self.size)
-        self.size, self.start = np.append(self.size, np.full(grown, -1)), np.append(self.start, np.zeros(grown, np.int64))
-        need, where = np.unique(np.where(self.size[rows] < 0, rows, -1), return_index=True)
-        need, where = need[need >= 0], where[need >= 0]
-        if len(need):
-            names = [many[i] for i in where]
-            parts = [p if w else END_BYTES for w, p in zip(names, self.ids.of(names))]
-            self.size[need] = sizes = np.array([len(p) // 2 for p in parts])
-            self.start[need] = len(self.codes) + np.cumsum(sizes) - sizes
-            self.codes = np.append(self.codes, np.frombuffer(b"".join(parts), "<u2"))
-            self.bytes += sum(len(w) for w, r in zip(names, need) if r >= len(self.hot))
-        return rows
-
-    def sequence(self, rows: np.ndarray) -> np.ndarray:
-        """The ids of all rows, one after another."""
-        n = self.size[rows]
-        return self.codes[np.arange(n.sum()) + np.repeat(self.start[rows] - np.cumsum(n) + n, n)]
-
-
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``BLOCK_CHARS`` characters, one text at least."""
     begin = held = 0
-    for i, t in enumerate(texts):
-        size = len(t or "") + 64
-        if i > begin and held + size > BLOCK_CHARS:
+    for i, size in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
+        if i > begin and held + size + 64 > BLOCK_CHARS:
             yield begin, i
             begin, held = i, 0
-        held += size
-    if texts:
+        held += size + 64
+    if len(texts):
         yield begin, len(texts)
 
 
@@ -171,58 +143,73 @@ def _dense(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[2]) @ w).reshape(*x.shape[:2], w.shape[1])
 
 
+def _bounded_exp(x: np.ndarray) -> None:
+    if x.max(initial=0) > 60:
+        np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+
+
 def hidden(m: dict, inp: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Output vector at each place of each window, and what the backward pass needs."""
-    x = m["emb"][inp]
+    x = m["emb"].take(inp, axis=0)
     x += m["pos"]
     q, k, v = _dense(x, m["q"] * np.float32(1 / np.sqrt(WIDTH))), _dense(x, m["k"]), _dense(x, m["v"])
     a = q @ k.transpose(0, 2, 1)
-    np.exp(np.minimum(a, 60, out=a), out=a)
+    _bounded_exp(a)
     a *= MASK
     a /= a @ np.ones((WINDOW, 1), a.dtype)  # a sum over the last axis as a matrix product, which is faster
     c = a @ v
-    y = x + _dense(c, m["o"])
+    y = _dense(c, m["o"])
+    y += x
     h = _dense(y, m["w1"])
     h += m["b1"]
     np.maximum(h, 0, out=h)
-    return y + _dense(h, m["w2"]), (x, q, k, v, a, c, y, h)
-
-
-def _chosen(z: np.ndarray, w: np.ndarray, bias: np.ndarray, pick: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log probability of ``pick`` under the softmax of z @ w + bias, and its slope by each logit."""
-    logits = z @ w
-    logits += bias
-    np.minimum(logits, 60, out=logits)
-    rows = np.arange(len(pick))
-    got = logits[rows, pick]
-    np.exp(logits, out=logits)
-    total = logits @ np.ones((logits.shape[1], 1), logits.dtype)
+    z = _dense(h, m["w2"])
+    z += y
+    return z, (x, q, k, v, a, c, y, h)
+
+
+def _chosen(logits: np.ndarray, pick: np.ndarray, parts: list[slice], slopes: bool) -> np.ndarray:
+    """Log probability of ``pick`` under the softmax of each row, summed part by part; with ``slopes`` its slope by each logit
+    takes the place of the logits."""
+    at = np.arange(len(pick)) * logits.shape[1] + pick
+    got = np.minimum(logits.ravel()[at], 60)
+    _bounded_exp(logits)
+    ones, total = np.ones((logits.shape[1], 1), logits.dtype), np.empty((len(logits), 1), logits.dtype)
+    for p in parts:
+        np.matmul(logits[p], ones, out=total[p])
     got -= np.log(total[:, 0])
-    if not slopes:
-        return got, None
-    logits /= -total
-    logits[rows, pick] += 1
-    return got, logits
+    if slopes:
+        np.negative(total, out=total)
+        logits /= total
+        logits.reshape(-1)[at] += 1
+    return got
 
 
 def log_likelihood(m: dict, z: np.ndarray, targets: np.ndarray, slopes: bool = False) -> tuple[np.ndarray, np.ndarray | None, dict]:
     """Log probability of each target leaf at its output vector; with ``slopes`` also the gradients of their sum by ``z``
-    and by the weights of both softmax levels."""
+    and by the weights of both softmax levels. Rows lie sorted by class, so that only matrix products go class by class."""
     of, member = targets // MEMBERS, targets % MEMBERS
-    got, d = _chosen(z, m["out"], m["bias"], of, slopes)
-    dz, g = None, {}
-    if slopes:
-        dz = d @ m["out"].T
-        g = {"out": z.T @ d, "bias": d.sum(0), "leaf": np.zeros_like(m["leaf"]), "leaf_bias": np.zeros_like(m["leaf_bias"])}
-    order = np.argsort(of, kind="stable")
-    ends = np.searchsorted(of[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(ends)):
-        at = order[ends[c]:ends[c + 1]]
-        own, d = _chosen(z[at], m["leaf"][c], m["leaf_bias"][c], member[at], slopes)
-        got[at] += own
-        if slopes:
-            dz[at] += d @ m["leaf"][c].T
-            g["leaf"][c], g["leaf_bias"][c] = z[at].T @ d, d.sum(0)
+    d = z @ m["out"]
+    d += m["bias"]
+    got = _chosen(d, of, [slice(None)], slopes)
+    order, ends = np.argsort(of, kind="stable"), np.append(0, np.cumsum(np.bincount(of, minlength=CLASSES))).tolist()
+    parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+    own, e = z.take(order, axis=0), np.empty((len(z), MEMBERS), z.dtype)
+    for c, at in parts:
+        np.matmul(own[at], m["leaf"][c], out=e[at])
+    e += m["leaf_bias"].take(of[order], axis=0)
+    got[order] += _chosen(e, member[order], [at for _, at in parts], slopes)
+    if not slopes:
+        return got, None, {}
+    g = {"out": z.T @ d, "bias": d.sum(0), "leaf": np.zeros_like(m["leaf"]), "leaf_bias": np.zeros_like(m["leaf_bias"])}
+    more = np.empty_like(z)
+    for c, at in parts:
+        np.matmul(e[at], m["leaf"][c].T, out=more[at])
+        np.matmul(own[at].T, e[at], out=g["leaf"][c])
+        np.add.reduce(e[at], 0, out=g["leaf_bias"][c])
+    dz = d @ m["out"].T
+    dz[order] += more
     return got, dz, g
 
 
@@ -234,19 +221,25 @@ def backward(m: dict, inp: np.ndarray, state: tuple, dz: np.ndarray) -> dict[str
     dh = _dense(dz, m["w2"].T)
     dh *= h > 0
     g["w1"], g["b1"] = dot(y, dh), dh.sum((0, 1))
-    dy = dz + _dense(dh, m["w1"].T)
-    g["o"] = dot(c, dy)
-    dc = _dense(dy, m["o"].T)
-    da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q  # q is scaled already
-    g["q"], g["k"], g["v"] = dot(x, dq), dot(x, dk), dot(x, dv)
-    dx = dy + _dense(dq, m["q"].T) + _dense(dk, m["k"].T) + _dense(dv, m["v"].T)
+    dx = _dense(dh, m["w1"].T)
+    dx += dz
+    g["o"] = dot(c, dx)
+    dc = _dense(dx, m["o"].T)
+    ds, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
+    ds -= (ds * a).sum(2, keepdims=True)
+    ds *= a
+    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q  # q is scaled already
+    dq *= scale
+    for n, d in (("q", dq), ("k", dk), ("v", dv)):
+        g[n] = dot(x, d)
+        dx += _dense(d, m[n].T)
     g["pos"] = dx.sum(0)
-    order = np.argsort(inp, axis=None, kind="stable")
-    leaves, heads = np.unique(inp.ravel()[order], return_index=True)
+    leaf = inp.ravel()
+    order = np.argsort(leaf, kind="stable")
+    leaf = leaf[order]
+    heads = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
     g["emb"] = np.zeros_like(m["emb"])
-    g["emb"][leaves] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], heads, axis=0)
+    g["emb"][leaf[heads]] = np.add.reduceat(dx.reshape(-1, WIDTH).take(order, axis=0), heads, axis=0)
     return g
 
 
@@ -269,8 +262,9 @@ def windows(leaves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def train(m: dict, leaves: list[np.ndarray], epochs: int, seed: int) -> dict:
     """The model after ``epochs`` of Adam over the sequences."""
     inputs, targets, scored, _ = windows(leaves)
-    m = {k: v.astype(np.float32) for k, v in m.items()}
-    first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
+    flat = _flat(m)
+    m = _shaped(flat, m)  # parts of ``flat``
+    first, second, more = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     r, step = np.random.default_rng(seed), 0
     batch = int(np.clip(len(inputs) // STEPS, 16, BATCH))
     total = epochs * -(-len(inputs) // batch)
@@ -278,18 +272,28 @@ def train(m: dict, leaves: list[np.ndarray], epochs: int, seed: int) -> dict:
         order = r.permutation(len(inputs))
         for b in range(0, len(order), batch):
             pick = order[b:b + batch]
-            z, state = hidden(m, inputs[pick])
+            inp, at = inputs[pick], np.flatnonzero(scored[pick])
+            z, state = hidden(m, inp)
             dz = np.zeros_like(z)
-            _, dz[scored[pick]], grads = log_likelihood(m, z[scored[pick]], targets[pick][scored[pick]], True)
-            grads |= backward(m, inputs[pick], state, dz)
-            down = np.float32(-1 / max(1, scored[pick].sum()))
+            _, dz.reshape(-1, WIDTH)[at], grads = log_likelihood(m, z.reshape(-1, WIDTH).take(at, axis=0), targets[pick].ravel()[at], True)
+            grads |= backward(m, inp, state, dz)
+            g = _flat(grads)
+            g *= np.float32(-1 / max(1, len(at)))
             step += 1
-            rate = RATE * (1 - 0.9 * step / total)
-            for k, g in grads.items():
-                g = g * down
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                m[k] -= (rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+            np.subtract(g, first, out=more)
+            more *= np.float32(0.1)
+            first += more
+            g *= g
+            g -= second
+            g *= np.float32(0.01)
+            second += g
+            np.divide(second, np.float32(1 - 0.99 ** step), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-8)
+            np.divide(first, np.float32(1 - 0.9 ** step), out=more)
+            more *= np.float32(RATE * (1 - 0.9 * step / total))
+            more /= g
+            flat -= more
     return m
 
 
@@ -298,14 +302,14 @@ def score(m: dict, leaves: list[np.ndarray]) -> np.ndarray:
     inputs, targets, scored, doc = windows(leaves)
     out = np.zeros(len(leaves))
     for b in range(0, len(doc), CHUNK):
-        at = scored[b:b + CHUNK]
-        got = log_likelihood(m, hidden(m, inputs[b:b + CHUNK])[0][at], targets[b:b + CHUNK][at])[0]
-        out += np.bincount(np.repeat(doc[b:b + CHUNK], at.sum(axis=1)), weights=got, minlength=len(leaves))
+        at = np.flatnonzero(scored[b:b + CHUNK])
+        got = log_likelihood(m, hidden(m, inputs[b:b + CHUNK])[0].reshape(-1, WIDTH).take(at, axis=0), targets[b:b + CHUNK].ravel()[at])[0]
+        out += np.bincount(doc[b + at // WINDOW], weights=got, minlength=len(leaves))
     return out / np.log(10)
 
 
-def _flat(m: dict) -> list[float]:
-    return np.concatenate([m[k].ravel() for k in sorted(m)]).astype(float).tolist()
+def _flat(m: dict) -> np.ndarray:
+    return np.concatenate([m[k].ravel() for k in sorted(m)]).astype(np.float32, copy=False)
 
 
 def _shaped(values: np.ndarray, like: dict) -> dict:
@@ -319,10 +323,11 @@ def _shaped(values: np.ndarray, like: dict) -> dict:
 def _counted(train_docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: Counter = Counter()
-            for t in b.column(0).to_pylist():
-                seen.update(words(t))
-            seen[b""] += b.num_rows  # the end token
+            seen: dict[bytes, int] = {}
+            for first, last in blocks(b.column(0)):
+                number, many, _ = spelled(b.column(0).slice(first, last - first))
+                for w, n in zip(many, np.bincount(number, minlength=len(many)).tolist()):
+                    seen[w] = seen.get(w, 0) + n
             yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
     return staged(train_docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
@@ -382,41 +387,40 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
 
     dealt = dealt_out(learn, sum(r["c"] for r in counts.where(F.length("word") == 0).collect()))
 
-    def sequences(texts, ids: Subwords) -> list[np.ndarray]:
-        return [np.append(of[np.frombuffer(b"".join(ids.of(words(t))), "<u2")], of[END]) for t in texts]
-
     def learner(before: dict, turn: int):
-        def learnt(part: pd.DataFrame) -> pd.DataFrame:
-            seq = sequences(part.sort_values("h")["text"], Subwords(path))
-            return pd.DataFrame({"w": [_flat(train(before, seq, EPOCHS, turn))], "n": [float(sum(map(len, seq)))]})
+        def learnt(part: pa.Table) -> pa.Table:
+            texts, ids, seq = part.sort_by("h").column("text").combine_chunks(), Subwords(path), []
+            for first, last in blocks(texts):
+                number, many, n = spelled(texts.slice(first, last - first))
+                code, ends = spelled_ids(many, number, ids)
+                seq += np.split(of[code], ends[np.cumsum(n)[:-1] - 1])
+            w = _flat(train(before, seq, EPOCHS, turn))
+            return pa.table({"w": pa.array([w], pa.list_(pa.float32())), "n": [float(sum(map(len, seq)))]})
 
         return learnt
 
     for turn in range(ROUNDS):
-        copies = dealt.where(F.col("turn") == turn).groupBy("g").applyInPandas(learner(model, turn), "w array<double>, n double")
+        copies = dealt.where(F.col("turn") == turn).groupBy("g").applyInArrow(learner(model, turn), "w array<float>, n double")
         mean = copies.select(F.posexplode("w").alias("i", "x"), "n").groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).orderBy("i").collect()  # one row per weight
         if mean:
             model = _shaped(np.array([r["x"] for r in mean]), model)
     model = {k: v.astype(np.float32) for k, v in model.items()}
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, missing = WordRows(hot_words, Subwords(path)), len(hot_words)
+        place, missing, ids = {w: i for i, w in enumerate(hot_words)}, len(hot_words), Subwords(path)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for first, last in blocks(texts):
-                lists = [[*words(t), b""] for t in texts[first:last]]
-                n = np.array([len(x) for x in lists])
+            for first, last in blocks(b.column(1)):
+                number, many, n = spelled(b.column(1).slice(first, last - first))
                 heads = np.cumsum(n) - n
-                flat = list(chain.from_iterable(lists))
-                rows = table.of(flat)
-                rare = np.flatnonzero(rows >= missing)
-                cuts = np.searchsorted(rare, np.append(heads, len(flat)))
-                tails = [Counter([flat[i] for i in rare[u:v]]) for u, v in zip(cuts, cuts[1:])]
-                code, ends = table.sequence(rows), np.cumsum(np.add.reduceat(table.size[rows], heads))
-                begins = np.append(0, ends[:-1])
+                rows = np.array([place.get(w, missing) for w in many])[number]
+                rare = np.flatnonzero(rows == missing)
+                cuts = np.searchsorted(rare, np.append(heads, len(rows)))
+                tails = [Counter([many[i] for i in number[rare[u:v]]]) for u, v in zip(cuts, cuts[1:])]
+                code, ends = spelled_ids(many, number, ids)
+                begins = np.append(0, ends[heads[1:] - 1])
                 lm = score(model, np.split(of[code], begins[1:])) + np.add.reduceat(within[code], begins)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(n, pa.int64()), pa.array(n - np.diff(cuts), pa.int64()),
-                                                  pa.array(np.add.reduceat(hot_logs[np.minimum(rows, missing)], heads), pa.float64()), pa.array(lm, pa.float64()),
+                                                  pa.array(np.add.reduceat(hot_logs[rows], heads), pa.float64()), pa.array(lm, pa.float64()),
                                                   pa.array([list(t.keys()) for t in tails], pa.list_(pa.binary())), pa.array([list(t.values()) for t in tails], pa.list_(pa.int64()))],
                                                  names=["id", "n_tokens", "known", "base", "score", "tail", "times"])
 

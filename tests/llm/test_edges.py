@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -255,6 +256,36 @@ def test_model_is_a_distribution():
     assert all(b < a for a, b in zip(parts, parts[1:])) and lm.score(m, [seq, seq[:7]]) == pytest.approx([parts[-1], parts[6]], rel=1e-9)
 
 
+def test_both_softmax_levels_take_all_targets_at_once(monkeypatch):
+    """The softmax levels are worked out twice a call, not once a class, and give the sums and slopes of target by target."""
+    r = np.random.default_rng(8)
+    m = lm.new_model(r.random(lm.LEAVES) + 0.1)
+    z, targets = r.normal(0, 1, (300, lm.WIDTH)), r.integers(0, lm.LEAVES // 2, 300)  # half of the classes have no target
+    calls, chosen = [], lm._chosen
+    monkeypatch.setattr(lm, "_chosen", lambda *a: (calls.append(1), chosen(*a))[1])
+    got, dz, grads = lm.log_likelihood(m, z, targets, True)
+    assert len(calls) == 2
+    log = lambda x: x - np.log(np.exp(x).sum())
+    for i, t in enumerate(targets):
+        c, k = divmod(t, lm.MEMBERS)
+        top, low = log(z[i] @ m["out"] + m["bias"]), log(z[i] @ m["leaf"][c] + m["leaf_bias"][c])
+        assert got[i] == pytest.approx(top[c] + low[k], rel=1e-9)
+        assert dz[i] == pytest.approx(m["out"][:, c] - m["out"] @ np.exp(top) + m["leaf"][c][:, k] - m["leaf"][c] @ np.exp(low), abs=1e-9)
+    assert grads["leaf_bias"].sum(axis=1) == pytest.approx(0, abs=1e-9) and not grads["leaf"][lm.CLASSES // 2:].any()
+
+
+def test_words_of_a_block_are_told_apart_once():
+    texts = [*TEXTS, "A b a B", " \x0blead\x0c\x1cx\x85y\u2003z\r\n", "\t"]
+    number, words, n = lm.spelled(pa.array(["Before ä", *texts, "after"]).slice(1, len(texts)))
+    wanted = [(t or "").encode().lower().split() + [b""] for t in texts]
+    assert len(words) == len(set(words)) and [words[k] for k in number] == sum(wanted, []) and n.tolist() == list(map(len, wanted))
+    asked, ids = [], lm.Subwords(lm.vocabulary())
+    code, ends = lm.spelled_ids(words, number, type("Noted", (), {"of": lambda self, many: (asked.extend(many), ids.of(many))[1]})())
+    assert sorted(asked) == sorted(set(sum(wanted, [])))
+    assert code.tolist() == [i for w in sum(wanted, []) for i in (ids.coder.encode_ordinary(" " + w.decode()) if w else [lm.END])] and ends[-1] == len(code)
+    assert lm.spelled(pa.array([], pa.string()))[1] == [] and list(lm.blocks(pa.array([], pa.string()))) == []
+
+
 def test_model_beats_base_score(spark):
     """On held-out texts with regular word order the model scores above the unigram base."""
     r = np.random.default_rng(9)
